@@ -77,7 +77,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Texts are equal when they are identical after each run of white space has become one space."""
     named = cut(identities(docs, id_col, fold_spaces(F.col(text_col)), block_chars), "identities")
     groups = named.groupBy("rounds", "name").agg(F.min(id_col).alias("group_id"), F.sum("copies").alias("group_rows"))
-    out = named.join(groups.filter("group_rows > 1"), ["rounds", "name"], "left")
+    # A table of its own: a skewed join can then be split.
+    out = named.join(cut(groups.filter("group_rows > 1"), "groups"), ["rounds", "name"], "left")
     out = out.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     keep = F.coalesce("group_id", id_col)
     return out.select(id_col, keep.alias("keep_id"), F.coalesce("group_rows", F.lit(1)).cast("long").alias("group_size"), keep.eqNullSafe(F.col(id_col)).alias("kept"), "text_sha256")

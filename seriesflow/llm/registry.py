@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, ngram_join
+from . import exact_dedup, line_dedup, ngram_join, secret_scan
 
-QUERIES = {"op1_exact_dedup": exact_dedup.op1_exact_dedup, "op4_ngram_join": ngram_join.op4_ngram_join, "op5_line_dedup": line_dedup.op5_line_dedup}
+QUERIES = {"op1_exact_dedup": exact_dedup.op1_exact_dedup, "op3_secret_scan": secret_scan.op3_secret_scan, "op4_ngram_join": ngram_join.op4_ngram_join, "op5_line_dedup": line_dedup.op5_line_dedup}
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op5_line_dedup": line_dedup.ORACLE}
