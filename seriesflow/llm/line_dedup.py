@@ -92,7 +92,8 @@ def _streamed(min_docs: int):
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """(doc, salt, pos) of each line to drop: its key is in min_docs documents or more, and this document isn't the largest of them."""
-    rows = occurrences(docs, id_col, text_col, min_chars)
+    # Range partitioning reads its input twice (bounds, then rows): texts are split once.
+    rows = cut(occurrences(docs, id_col, text_col, min_chars), "occurrences")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["h", "tag", F.desc("doc"), "pos"]
     ranged = rows.repartitionByRange(parts, "h", "tag", F.desc("doc")).sortWithinPartitions(*order)
