@@ -113,12 +113,14 @@ def _near(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
     return both.filter((num + den) * (F.col("na") + F.col("nb") - differ) >= 2 * num * (F.col("na") + F.col("nb"))).select("a", "b").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """The pairs whose sets have the needed overlap."""
-    pairs = cut(pairs, "candidates")
+def _few(ids: DataFrame) -> DataFrame:
+    """A written table of ids, to be broadcast if it is small enough."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _sets_of(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(id, items) of the documents of pairs: their sorted shingles."""
     ids = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
-    few = ids.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(ids) if few else ids, "id", "left_semi")
 
     def gather(batches):
         for batch in batches:
@@ -130,6 +132,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int)
             flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(keep, pa.int64())), pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), pa.array(flat))], ["id", "items"])
 
+    return cut(docs.join(_few(ids), "id", "left_semi").mapInArrow(gather, "id long, items array<long>"), "sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose sets have the needed overlap."""
+
     def probe(batches):
         for batch in batches:
             xs, ys, keep = batch.column("xs"), batch.column("ys"), np.zeros(batch.num_rows, bool)
@@ -145,9 +153,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int)
                 keep[k] = den * common >= num * (len(x) + len(y) - common)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], ["a", "b"])
 
-    sets = cut(texts.mapInArrow(gather, "id long, items array<long>"), "sets")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("xs")), "a").join(sets.select(F.col("id").alias("b"), F.col("items").alias("ys")), "b")
-    return both.select("a", "b", "xs", "ys").mapInArrow(probe, "a long, b long").distinct()
+    both = pairs.join(sets.select(F.col("id").alias("b"), F.col("items").alias("ys")), "b").join(sets.select(F.col("id").alias("a"), F.col("items").alias("xs")), "a")
+    return cut(both.select("a", "b", "xs", "ys").mapInArrow(probe, "a long, b long").distinct(), "links")
+
+
+def _apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """The pairs that links leave in different components."""
+    of = cut(components(links), "components")
+    named = pairs.join(of.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(of.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+    return named.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -158,14 +172,21 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     every = cut(profiles(docs, size, num, den, frequent_slots(docs, size)), "profiles")
     full = every.filter("n > 0")
     same = cut(full.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
-    reps = full.select("id", "n", "prefix", "counts").join(same.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    copies = full.select("id", "k1", "k2", "n").join(same.filter("copies > 1"), ["k1", "k2", "n"]).filter("id <> rep").select("id").distinct()
+    # An id that repeats may stand for a class of its own as well.
+    copies = cut(copies.join(same.select(F.col("rep").alias("id")), "id", "left_anti"), "copies")
+    reps = full.select("id", "n", "prefix", "counts").join(_few(copies), "id", "left_anti")
     lists = reps.select("id", "n", F.posexplode("prefix").alias("pos", "h"))
-    heads = lists.groupBy("h").agg(F.min(F.struct("id", "n", "pos")).alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    merged = lists.join(heads, "h").select("h", "id", "n", "pos", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.pos").alias("hub_pos"), "m")
-    merged = cut(merged, "merged")
+    heads = lists.groupBy("h").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    merged = cut(lists.join(heads, "h").select("h", "id", "n", "pos", "hub", "m"), "merged")
     small = reps.select("id", "n", "counts")
-    stars = merged.filter("id <> hub").filter(_may_link("n", "pos", "hub_n", "hub_pos", num, den)).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = cut(_verified(_near(stars, small, num, den), docs, size, num, den), "links")
+    hubs = merged.filter("id = hub").select("h", F.col("n").alias("hub_n"), F.col("pos").alias("hub_pos"))
+    stars = merged.filter("id <> hub").join(hubs, "h").filter(_may_link("n", "pos", "hub_n", "hub_pos", num, den)).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    stars = cut(_near(stars, small, num, den), "stars")
+    sets = _sets_of(stars, docs, size)
+    # One hub for each document first; its others only where that leaves them apart.
+    links = _verified(stars.groupBy("b").agg(F.min("a").alias("a")), sets, num, den)
+    links = links.unionByName(_verified(cut(_apart(stars, links), "apart"), sets, num, den))
     first = cut(components(links), "components")
     named = merged.filter("m > 2").join(first.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("c", F.coalesce("component", "id"))
     several = named.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("h")
@@ -173,13 +194,14 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     x = rest.select("h", F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("c").alias("ca"))
     y = rest.select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("c").alias("cb"))
     pairs = x.join(y, (x["h"] == y["h"]) & (x["a"] < y["b"]) & (x["ca"] != y["cb"]) & _may_link("na", "pa", "nb", "pb", num, den)).select("a", "b").distinct()
-    more = cut(_verified(_near(pairs, small, num, den), docs, size, num, den), "links")
+    pairs = cut(_near(pairs, small, num, den), "pairs")
+    more = _verified(pairs, _sets_of(pairs, docs, size), num, den)
     # An id with several texts belongs to the classes of all of them.
     repeated = full.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("id")
     own = full.join(repeated, "id", "left_semi").join(same, ["k1", "k2", "n"]).select(F.col("rep").alias("a"), F.col("id").alias("b"))
     last = cut(components(links.unionByName(more).unionByName(own)), "components")
     member = same.join(last.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    found = full.select("id", "n", "k1", "k2").join(member.select("k1", "k2", "n", "component"), ["k1", "k2", "n"]).select("id", "n", "component")
+    found = full.select("id", "n", "k1", "k2").join(cut(member.select("k1", "k2", "n", "component"), "members"), ["k1", "k2", "n"]).select("id", "n", "component")
     out = found.unionByName(every.filter("n = 0").select("id", "n", F.col("id").alias("component")))
     blank = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return out.select(blank("id").alias(id_col), F.col("n").alias("n_shingles"), blank("component").alias("component_id"))

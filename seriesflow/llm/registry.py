@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, line_dedup, ngram_join, secret_scan
+from . import exact_dedup, language_id, line_dedup, ngram_join, quality_classifier, secret_scan
 
-QUERIES = {"op1_exact_dedup": exact_dedup.op1_exact_dedup, "op3_secret_scan": secret_scan.op3_secret_scan, "op4_ngram_join": ngram_join.op4_ngram_join, "op5_line_dedup": line_dedup.op5_line_dedup, "op9_language_id": language_id.op9_language_id}
+QUERIES = {"op1_exact_dedup": exact_dedup.op1_exact_dedup, "op2_quality_classifier": quality_classifier.op2_quality_classifier, "op3_secret_scan": secret_scan.op3_secret_scan, "op4_ngram_join": ngram_join.op4_ngram_join, "op5_line_dedup": line_dedup.op5_line_dedup, "op9_language_id": language_id.op9_language_id}
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op5_line_dedup": line_dedup.ORACLE}
