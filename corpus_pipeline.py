@@ -1,12 +1,63 @@
-"""The corpus pipeline: five stages over documents, each written as Parquet and read again."""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read again.
+
+1. quality: documents that the positive-unlabelled classifier scores below its threshold go.
+2. lines: lines that many documents share stay in one of them; the text and n_chars of the others change.
+3. near_duplicates: one document of each class of near copies (five-word shingles, similarity 0.8) stays, the one with the smallest id.
+4. benchmark: documents with a benchmark passage go.
+5. mixing: a sample by raked weights of source, language and topic; adds weight and probability.
+
+Rows without an id pass the stages that compare documents by id. Empty texts pass every stage but the sample by chance. An
+empty table passes through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from seriesflow.llm import decontamination, line_dedup, mixing, ngram_join, quality_classifier
+from seriesflow.llm.shared import cut, documents
+
+#: Up to so many ids a list of documents to drop is broadcast.
+BROADCAST_IDS = 1_000_000
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    ids = cut(ids.select("doc_id").distinct(), "dropped")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_anti").select(*docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scorer = quality_classifier.fold_scorer(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    kept = quality_classifier.score(docs, scorer, keep_text=True).filter(F.col("score") >= quality_classifier.THRESHOLD)
+    return kept.select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    thinned = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
+    return thinned.select(*(F.col("kept_text").alias("text") if c == "text" else F.length("kept_text").cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    classes = ngram_join.jaccard_classes(docs, size=5, num=80, den=100)
+    return _without(docs, classes.filter("doc_id <> component_id"))
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _without(docs, decontamination.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed(docs).filter("sampled").select(*docs.columns, "topic", "weight", "probability")
+
 
-STAGES: list = []
+STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("benchmark", benchmark), ("mixing", mix)]
+#: The first stage is a fitted classifier, which SQL can't express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES:
+        docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

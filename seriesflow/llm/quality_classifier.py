@@ -179,18 +179,19 @@ def train(positive: DataFrame, unlabelled: DataFrame, labelled: DataFrame) -> Sc
     return out
 
 
-def score(docs: DataFrame, scorer: Scorer | None, text_col: str = "text") -> DataFrame:
-    """docs without the text, with score."""
+def score(docs: DataFrame, scorer: Scorer | None, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """docs with score, and without the text unless keep_text."""
     rest = [c for c in docs.columns if c != text_col]
+    kept = docs.columns if keep_text else rest
     if scorer is None:
-        return docs.select(*rest, F.lit(0.5).alias("score"))
-    schema = T.StructType([docs.schema[c] for c in rest]).add("score", "double")
+        return docs.select(*kept, F.lit(0.5).alias("score"))
+    schema = T.StructType([docs.schema[c] for c in kept]).add("score", "double")
 
     def compute(batches):
         for batch in batches:
             parts = [scorer.score(features(data, offs)) for _, _, data, offs in text_chunks(batch, text_col)]
             flat = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(flat)], [*rest, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(flat)], [*kept, "score"])
 
     return docs.select(*rest, text_col).mapInArrow(compute, schema)
 
