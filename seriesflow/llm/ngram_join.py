@@ -34,6 +34,8 @@ PARTS = 32
 NO_ID = (1 << 63) - 1
 #: Up to so many ids (of 8 bytes) a table of ids is broadcast; a larger one is joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Shingles of a block of sets that are verified together, about.
+BLOCK_ITEMS = 2_000_000
 
 
 def _slots(h: np.ndarray) -> np.ndarray:
@@ -135,33 +137,66 @@ def _sets_of(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     return cut(docs.join(_few(ids), "id", "left_semi").mapInArrow(gather, "id long, items array<long>"), "sets")
 
 
+def _blocks(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(c, block, a, b): pairs by component of the graph of pairs, large components dealt out to blocks of bounded size by b."""
+    of = cut(components(pairs), "groups")
+    sizes = sets.select(F.col("id").alias("b"), F.size("items").alias("n"))
+    tagged = cut(pairs.join(of.select(F.col("node").alias("b"), F.col("component").alias("c")), "b").join(sizes.groupBy("b").agg(F.max("n").alias("n")), "b"), "tagged")
+    # A set is in one block only as b, however many pairs it has.
+    many = cut(tagged.select("c", "b", "n").distinct().groupBy("c").agg((F.expr(f"sum(n) div {BLOCK_ITEMS}") + 1).alias("blocks")).filter("blocks > 1"), "large")
+    return tagged.join(many, "c", "left").select("c", F.pmod(F.xxhash64("b"), F.coalesce("blocks", F.lit(1))).alias("block"), "a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose sets have the needed overlap."""
+    """Links that connect what the pairs with the needed overlap connect. A pair that earlier links of its block connect is skipped.
+
+    A block has each of its sets once, before its pairs, so that sets aren't shipped with every pair."""
+    blocks = cut(_blocks(pairs, sets), "blocks")
+    needed = blocks.select("c", "block", F.col("a").alias("id")).union(blocks.select("c", "block", "b")).distinct()
+    none = F.lit(None)
+    rows = needed.join(sets, "id").select("c", "block", F.lit(0).alias("kind"), F.col("id").alias("a"), none.cast("long").alias("b"), "items")
+    rows = rows.unionByName(blocks.select("c", "block", F.lit(1).alias("kind"), "a", "b", none.cast("array<long>").alias("items")))
 
     def probe(batches):
-        for batch in batches:
-            xs, ys, keep = batch.column("xs"), batch.column("ys"), np.zeros(batch.num_rows, bool)
-            xo, yo = xs.offsets.to_numpy(), ys.offsets.to_numpy()
-            xv, yv = xs.values.to_numpy().view(np.uint64), ys.values.to_numpy().view(np.uint64)
-            for k in range(batch.num_rows):
-                x, y = xv[xo[k] : xo[k + 1]], yv[yo[k] : yo[k + 1]]
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                common = int(np.count_nonzero(y[at] == x))
-                keep[k] = den * common >= num * (len(x) + len(y) - common)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], ["a", "b"])
+        now, held, top = None, {}, {}
 
-    both = pairs.join(sets.select(F.col("id").alias("b"), F.col("items").alias("ys")), "b").join(sets.select(F.col("id").alias("a"), F.col("items").alias("xs")), "a")
-    return cut(both.select("a", "b", "xs", "ys").mapInArrow(probe, "a long, b long").distinct(), "links")
+        def root(x):
+            while top.get(x, x) != x:
+                top[x] = x = top.get(top[x], top[x])
+            return x
 
+        def overlap(x, y):
+            if len(x) > len(y):
+                x, y = y, x
+            at = np.searchsorted(y, x)
+            at[at == len(y)] = 0
+            return int(np.count_nonzero(y[at] == x))
 
-def _apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
-    """The pairs that links leave in different components."""
-    of = cut(components(links), "components")
-    named = pairs.join(of.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(of.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-    return named.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+        for batch in batches:
+            items = batch.column("items")
+            offs, values = items.offsets.to_numpy(), items.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            c, block, kind = (batch.column(n).to_numpy() for n in ("c", "block", "kind"))
+            left, right = batch.column("a").to_numpy(), batch.column("b").fill_null(0).to_numpy()
+            found = []
+            for k in range(batch.num_rows):
+                if (c[k], block[k]) != now:
+                    now, held, top = (c[k], block[k]), {}, {}
+                if kind[k] == 0:
+                    # An id with several texts has several sets.
+                    held.setdefault(left[k], []).append(values[offs[k] : offs[k + 1]].copy())
+                elif root(left[k]) != root(right[k]):
+                    for x in held.get(left[k], ()):
+                        for y in held.get(right[k], ()):
+                            both = overlap(x, y)
+                            if den * both >= num * (len(x) + len(y) - both):
+                                top[root(left[k])] = root(right[k])
+                    if root(left[k]) == root(right[k]):
+                        found.append((left[k], right[k]))
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["a", "b"])
+
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(parts, "c", "block").sortWithinPartitions("c", "block", "kind", "b", "a")
+    return cut(dealt.mapInArrow(probe, "a long, b long"), "links")
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -184,9 +219,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = merged.filter("id <> hub").join(hubs, "h").filter(_may_link("n", "pos", "hub_n", "hub_pos", num, den)).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     stars = cut(_near(stars, small, num, den), "stars")
     sets = _sets_of(stars, docs, size)
-    # One hub for each document first; its others only where that leaves them apart.
-    links = _verified(stars.groupBy("b").agg(F.min("a").alias("a")), sets, num, den)
-    links = links.unionByName(_verified(cut(_apart(stars, links), "apart"), sets, num, den))
+    links = _verified(stars, sets, num, den)
     first = cut(components(links), "components")
     named = merged.filter("m > 2").join(first.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("c", F.coalesce("component", "id"))
     several = named.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("h")
