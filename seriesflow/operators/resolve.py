@@ -51,8 +51,9 @@ def resolve_all(series: DataFrame, targets: DataFrame, static: DataFrame, fetche
         .when(F.size("metric_labels") > most, "too_many_labels")
         .when(F.col("metric_type").isNull(), "metadata_not_found")
     )
-    rows = rows.withColumn("metric_labels", F.when(F.col("metric_type") == "histogram", L.drop_label(F.col("metric_labels"), "le")).otherwise(F.col("metric_labels")))
     rows = type_series(rows.withColumn("reason", reason)).withColumn("reason", F.coalesce("reason", "error"))
+    # After the limit, which counts it.
+    rows = rows.withColumn("metric_labels", F.when(F.col("metric_type") == "histogram", L.drop_label(F.col("metric_labels"), "le")).otherwise(F.col("metric_labels")))
     if renames is not None:
         rows = rename_metrics(rows, renames, "emitted")
     rows = rows.withColumn("metric", L.metric_type_name(F.col("emitted"), prefix))
