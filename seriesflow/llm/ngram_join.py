@@ -9,8 +9,8 @@ and only probes the T - 1 longest:
 2. Documents with identical sets are one class, which goes on as its smallest id.
 3. Short lists are merged by sorting on the shingle. Each list first proposes links to its smallest member only, which are
    verified; so thousands of near copies cost a link each, not all pairs. Lists that then still hold several components
-   propose the pairs between different components. A pair has to pass the bounds by size, position and a vector of 32
-   counts, all of which are lower bounds of the difference.
+   propose the pairs between different components. A pair has to pass the bounds by size, by position, and by a vector of
+   counts of shingles by hash (about one count for four shingles): what two vectors differ by is a lower bound of what the sets differ by.
 4. Candidates are verified by binary probes of the one document's shingles in the other's sorted list.
 
 Nothing is capped: a list of any length is merged, split over tasks by Spark where it is skewed.
@@ -30,7 +30,8 @@ from .components import components
 from .shared import cut, documents, mix64, shingles, text_chunks, words
 
 SLOT_BITS = 20
-PARTS = 32
+#: A set's vector has a power of two of counts, at least a quarter of its size, within these bounds.
+LEAST_COUNTS, MOST_COUNTS = 32, 1 << 16
 NO_ID = (1 << 63) - 1
 #: Up to so many ids (of 8 bytes) a table of ids is broadcast; a larger one is joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -52,6 +53,27 @@ def _sets(batch: pa.RecordBatch, size: int):
                 yield start + k, np.unique(every[at[k] : at[k + 1]])
 
 
+def _counts(mixed: np.ndarray) -> bytes:
+    """How many of a set's shingles have each of the possible top bits of their hash, up to 255."""
+    bits = max(LEAST_COUNTS, min(MOST_COUNTS, len(mixed) // 4 or 1))
+    bits = int(bits - 1).bit_length()
+    found = np.bincount((mixed >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(found, 255).astype(np.uint8).tobytes()
+
+
+def _difference(x: bytes, y: bytes) -> int:
+    """A lower bound of how many shingles are in one set only."""
+    a, b = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    if len(a) != len(b):
+        # Counts that reached the most are unknown beyond it; such a place tells nothing.
+        full = (255, 255)
+        large, small = (a, b) if len(a) > len(b) else (b, a)
+        step = len(large) // len(small)
+        capped = (large == full[0]).reshape(-1, step).any(axis=1) | (small == full[1])
+        return int(np.abs(large.reshape(-1, step).sum(axis=1) - small)[~capped].sum())
+    return int(np.abs(a - b).sum())
+
+
 def frequent_slots(docs: DataFrame, size: int) -> np.ndarray:
     """Document frequency by slot of a table of 2^20 slots, 0 where no task sees more than chance. A table of fixed size."""
 
@@ -74,14 +96,14 @@ def frequent_slots(docs: DataFrame, size: int) -> np.ndarray:
 def profiles(docs: DataFrame, size: int, num: int, den: int, slots: np.ndarray) -> DataFrame:
     """(id, n, k1, k2, prefix, counts) of every document; k1 and k2 identify the set, prefix has the shingles of the shortest lists in order."""
     table = docs.sparkSession.sparkContext.broadcast(slots)
-    out = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("prefix", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))])
+    out = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("prefix", pa.list_(pa.int64())), ("counts", pa.binary())])
 
     def profile(batches):
         freq = table.value
         for batch in batches:
             rows = batch.num_rows
             n, k1, k2 = np.zeros(rows, np.int64), np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)
-            lengths, prefixes, counts = np.zeros(rows + 1, np.int64), [], np.zeros((rows, PARTS), np.int32)
+            lengths, prefixes, counts = np.zeros(rows + 1, np.int64), [], [b""] * rows
             for k, s in _sets(batch, size):
                 n[k] = len(s)
                 mixed = mix64(s)
@@ -90,13 +112,12 @@ def profiles(docs: DataFrame, size: int, num: int, den: int, slots: np.ndarray)
                 order = np.argsort(freq[_slots(s)], kind="stable")[:short]
                 prefixes.append(s[order])
                 lengths[k + 1] = short
-                counts[k] = np.bincount((mixed >> np.uint64(59)).astype(np.int64), minlength=PARTS)
+                counts[k] = _counts(mixed)
             flat = np.concatenate(prefixes).view(np.int64) if prefixes else np.zeros(0, np.int64)
             prefix = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), pa.array(flat))
-            parts = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * PARTS, pa.int32()), pa.array(counts.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), prefix, parts], schema=out)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), prefix, pa.array(counts, pa.binary())], schema=out)
 
-    return docs.mapInArrow(profile, "id long, n long, k1 long, k2 long, prefix array<long>, counts array<int>")
+    return docs.mapInArrow(profile, "id long, n long, k1 long, k2 long, prefix array<long>, counts binary")
 
 
 def _may_link(na: str, pa_: str, nb: str, pb: str, num: int, den: int) -> Column:
@@ -110,9 +131,16 @@ def _near(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
     side = reps.select("id", "n", "counts")
     both = pairs.join(side.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca")), "a")
     both = both.join(side.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb")), "b")
-    differ = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    # Overlap is at most (na + nb - differ) / 2.
-    return both.filter((num + den) * (F.col("na") + F.col("nb") - differ) >= 2 * num * (F.col("na") + F.col("nb"))).select("a", "b").distinct()
+
+    def filtered(batches):
+        for batch in batches:
+            na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+            differ = np.fromiter((_difference(x, y) for x, y in zip(batch.column("ca").to_pylist(), batch.column("cb").to_pylist(), strict=True)), np.int64, batch.num_rows)
+            # Overlap is at most (na + nb - differ) / 2.
+            keep = pa.array((num + den) * (na + nb - differ) >= 2 * num * (na + nb))
+            yield batch.select(["a", "b"]).filter(keep)
+
+    return both.select("a", "b", "na", "nb", "ca", "cb").mapInArrow(filtered, "a long, b long").distinct()
 
 
 def _few(ids: DataFrame) -> DataFrame:
