@@ -13,7 +13,7 @@ rows without an id. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import cut, documents
@@ -55,16 +55,19 @@ def _targets(cells: DataFrame, margin: str, given: DataFrame | None, power: floa
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """cells with weight: after it, weighted tokens have the target shares of each margin (of the last one exactly)."""
+    """cells with weight: after it, weighted tokens have the target shares of each margin (of the last one exactly).
+
+    Targets join once; a step is then one window over the cells of each value of a margin."""
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     now = cells.withColumn("weight", F.lit(1.0))
+    for margin, wanted in targets.items():
+        now = now.join(wanted.select(margin, (F.col("share") * total).alias(f"__{margin}")), margin, "left")
+    now = cut(now.withColumns({f"__{m}": F.coalesce(f"__{m}", F.lit(0.0)) for m in targets}), "cells")
     for _ in range(rounds):
-        for margin, wanted in targets.items():
-            sums = now.groupBy(margin).agg(F.sum(F.col("tokens") * F.col("weight")).alias("mass")).join(wanted, margin, "left")
-            factor = F.when(F.col("mass") > 0, F.coalesce("share", F.lit(0.0)) * total / F.col("mass")).otherwise(0.0)
-            now = now.join(sums.select(margin, factor.alias("factor")), margin).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        now = cut(now.select(*MARGINS, "tokens", "weight"), "raked")
-    return now
+        for margin in targets:
+            mass = F.sum(F.col("tokens") * F.col("weight")).over(Window.partitionBy(margin))
+            now = now.withColumn("__mass", mass).withColumn("weight", F.when(F.col("__mass") > 0, F.col("weight") * F.col(f"__{margin}") / F.col("__mass")).otherwise(0.0)).drop("__mass")
+    return cut(now.select(*MARGINS, "tokens", "weight"), "raked")
 
 
 def calibrate(cells: DataFrame, budget: float) -> DataFrame:
