@@ -48,6 +48,8 @@ def features(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     pair = np.zeros(len(data), np.int64)
     if len(data) > 1:
         pair[1:] = (data[:-1].astype(np.int64) * 31 + data[1:] * 17 + (data[1:] >> 3)) % PAIRS
+        # A text's first byte has none before it.
+        pair[offs[:-1][size > 0]] = 0
     pairs = np.bincount(of * PAIRS + pair, minlength=n * PAIRS).reshape(n, PAIRS).astype(float)
     hashes, starts, ends, first = words(data, offs, lower=False)
     count = np.diff(first)
