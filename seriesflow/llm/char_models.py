@@ -150,10 +150,9 @@ class Model:
         for i in range(len(self.labels)):
             p = np.full(len(keys), self.floor)
             for k in range(self.order):
-                if k:
-                    at, found = _find(self.contexts[i][k][0], above[k])
-                    if found.any():
-                        p = p + np.where(found, self.contexts[i][k][1][at], 0.0)
+                at, found = _find(self.contexts[i][k][0], above[k])
+                if found.any():
+                    p = p + np.where(found, self.contexts[i][k][1][at], 0.0)
                 at, found = _find(self.grams[i][k][0], hashes[k])
                 if found.any():
                     p = np.where(found, self.grams[i][k][1][at], p)

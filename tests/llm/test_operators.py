@@ -165,7 +165,7 @@ def test_components(spark):
             old = {top.get(a, a), top.get(b, b)}
             members = [n for n in {*top, a, b} if top.get(n, n) in old]
             for n in members:
-                top[n] = min(*old)
+                top[n] = min(old)
     assert got == top
 
 
