@@ -89,12 +89,19 @@ _LOWER[65:91] += 32
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 _CODES = mix64(np.arange(1, 257, dtype=np.uint64))
-_powers: dict[str, np.ndarray] = {}
+class _Local(dict):
+    """A dictionary that each process fills for itself: functions that are sent to executors take it along empty."""
+
+    def __reduce__(self):
+        return type(self), ()
+
+
+_powers = _Local()
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if n > len(_powers.get("up", ())):
-        size = max(n, CHUNK_BYTES + 1)
+        size = 1 << n.bit_length()
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
