@@ -11,7 +11,7 @@ from .shared import cut
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+    return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -21,15 +21,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each a has one b, and no b is an a: then every b is the least of its component."""
+    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("center")).unionByName(edges.select(F.col("b").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("center")))
+    return ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("center").alias("center")).filter("out > 1 or (out = 1 and center = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """edges(a, b) of longs -> (node, component): the smallest node reachable; a row for each node of an edge with a <> b."""
-    now = cut(edges.filter("a <> b").select("a", "b").distinct(), "edges")
-    mark = None
+    now = cut(edges.filter("a <> b").select("a", "b"), "edges")
     while True:
-        now = cut(_small_star(_large_star(now)), "edges")
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if seen == mark:
+        # Small steps first: they direct every edge and drop repeated ones.
+        now = cut(_small_star(now), "edges")
+        if _are_stars(now):
             break
-        mark = seen
+        now = _large_star(now)
     leaves = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return leaves.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -166,13 +166,10 @@ def _sets_of(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
 
 
 def _blocks(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(c, block, a, b): pairs by component of the graph of pairs, large components dealt out to blocks of bounded size by b."""
-    of = cut(components(pairs), "groups")
-    sizes = sets.select(F.col("id").alias("b"), F.size("items").alias("n"))
-    tagged = cut(pairs.join(of.select(F.col("node").alias("b"), F.col("component").alias("c")), "b").join(sizes.groupBy("b").agg(F.max("n").alias("n")), "b"), "tagged")
-    # A set is in one block only as b, however many pairs it has.
-    many = cut(tagged.select("c", "b", "n").distinct().groupBy("c").agg((F.expr(f"sum(n) div {BLOCK_ITEMS}") + 1).alias("blocks")).filter("blocks > 1"), "large")
-    return tagged.join(many, "c", "left").select("c", F.pmod(F.xxhash64("b"), F.coalesce("blocks", F.lit(1))).alias("block"), "a", "b")
+    """(c, block, a, b): pairs by their first document c, those of a document with many dealt out to blocks of bounded size by b."""
+    sizes = sets.groupBy(F.col("id").alias("b")).agg(F.max(F.size("items")).alias("n"))
+    many = pairs.join(sizes, "b").groupBy("a").agg((F.expr(f"sum(n) div {BLOCK_ITEMS}") + 1).alias("blocks")).filter("blocks > 1")
+    return pairs.join(cut(many, "large"), "a", "left").select(F.col("a").alias("c"), F.pmod(F.xxhash64("b"), F.coalesce("blocks", F.lit(1))).alias("block"), "a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -256,12 +253,17 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     y = rest.select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("c").alias("cb"))
     pairs = x.join(y, (x["h"] == y["h"]) & (x["a"] < y["b"]) & (x["ca"] != y["cb"]) & _may_link("na", "pa", "nb", "pb", num, den)).select("a", "b").distinct()
     pairs = cut(_near(pairs, small, num, den), "pairs")
-    more = _verified(pairs, _sets_of(pairs, docs, size), num, den)
+    more = pairs if pairs.isEmpty() else _verified(pairs, _sets_of(pairs, docs, size), num, den)
     # An id with several texts belongs to the classes of all of them.
     repeated = full.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("id")
     own = full.join(repeated, "id", "left_semi").join(same, ["k1", "k2", "n"]).select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    last = cut(components(links.unionByName(more).unionByName(own)), "components")
-    member = same.join(last.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    # The second links connect components of the first ones: each end is replaced by its component.
+    extra = cut(more.unionByName(own), "extra")
+    to = lambda side: first.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
+    lifted = extra.join(to("a"), "a", "left").join(to("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    second = cut(components(lifted), "components").select(F.col("node").alias("c"), F.col("component").alias("second"))
+    member = same.join(first.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
+    member = member.join(second, "c", "left").withColumn("component", F.coalesce("second", "c"))
     found = full.select("id", "n", "k1", "k2").join(cut(member.select("k1", "k2", "n", "component"), "members"), ["k1", "k2", "n"]).select("id", "n", "component")
     out = found.unionByName(every.filter("n = 0").select("id", "n", F.col("id").alias("component")))
     blank = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
