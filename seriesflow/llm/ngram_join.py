@@ -55,8 +55,7 @@ def _sets(batch: pa.RecordBatch, size: int):
 
 def _counts(mixed: np.ndarray) -> bytes:
     """How many of a set's shingles have each of the possible top bits of their hash, up to 255."""
-    bits = max(LEAST_COUNTS, min(MOST_COUNTS, len(mixed) // 4 or 1))
-    bits = int(bits - 1).bit_length()
+    bits = (max(LEAST_COUNTS, min(MOST_COUNTS, len(mixed) // 4)) - 1).bit_length()
     found = np.bincount((mixed >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(found, 255).astype(np.uint8).tobytes()
 
@@ -65,11 +64,10 @@ def _difference(x: bytes, y: bytes) -> int:
     """A lower bound of how many shingles are in one set only."""
     a, b = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
     if len(a) != len(b):
-        # Counts that reached the most are unknown beyond it; such a place tells nothing.
-        full = (255, 255)
+        # Counts that reached 255 are unknown beyond it; such a place tells nothing.
         large, small = (a, b) if len(a) > len(b) else (b, a)
         step = len(large) // len(small)
-        capped = (large == full[0]).reshape(-1, step).any(axis=1) | (small == full[1])
+        capped = (large == 255).reshape(-1, step).any(axis=1) | (small == 255)
         return int(np.abs(large.reshape(-1, step).sum(axis=1) - small)[~capped].sum())
     return int(np.abs(a - b).sum())
 

@@ -37,6 +37,13 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def smallest_hashes(rows: DataFrame, column: str, n: int) -> DataFrame:
+    """At most n rows, those whose column has the smallest hash. Hashes alone give the bound, so that no task sends more rows than are used."""
+    hashed = rows.withColumn("__h", F.xxhash64(column))
+    bound = hashed.select("__h").orderBy("__h").limit(n).agg(F.max("__h")).first()[0]
+    return hashed.filter(F.col("__h") <= bound if bound is not None else F.lit(False)).drop("__h").limit(n)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
