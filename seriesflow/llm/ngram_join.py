@@ -36,7 +36,7 @@ NO_ID = (1 << 63) - 1
 #: Up to so many ids (of 8 bytes) a table of ids is broadcast; a larger one is joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Shingles of a block of sets that are verified together, about.
-BLOCK_ITEMS = 2_000_000
+BLOCK_ITEMS = 50_000
 
 
 def _slots(h: np.ndarray) -> np.ndarray:
