@@ -145,21 +145,26 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps:
     return w[:-1], float(w[-1])
 
 
-def _matrix(rows) -> np.ndarray:
-    return np.array([r.features for r in rows], float).reshape(len(rows), WIDTH)
+def _matrix(samples: DataFrame) -> tuple[np.ndarray, np.ndarray | None]:
+    """The features of a bounded sample, and its quality if it has one. Arrow columns become arrays without Python objects in between."""
+    table = text_features(samples).toArrow()
+    x = table.column("features").combine_chunks()
+    x = x.flatten().to_numpy(zero_copy_only=False) if len(table) else np.zeros(0)
+    y = table.column("quality").to_numpy().astype(float) if "quality" in table.column_names else None
+    return x.reshape(len(table), WIDTH), y
 
 
 def train(positive: DataFrame, unlabelled: DataFrame, labelled: DataFrame) -> Scorer | None:
     """positive(text), unlabelled(text), labelled(text, quality): bounded samples of the training fold. None without positives."""
-    pos, unl = (text_features(x.select("text")).collect() for x in (positive, unlabelled))
-    known = text_features(labelled.select("text", "quality")).collect()
-    if not pos:
+    p, _ = _matrix(positive.select("text"))
+    if not len(p):
         return None
-    p, u = _matrix(pos), _matrix(unl or pos)
+    u, _ = _matrix(unlabelled.select("text"))
+    u = u if len(u) else p
+    k, y = _matrix(labelled.select("text", "quality"))
     both = np.concatenate([p, u])
     mean, scale = both.mean(axis=0), both.std(axis=0) + 1e-6
     std = lambda x: np.clip((x - mean) / scale, -8, 8)
-    y = np.array([float(r.quality) for r in known])
     mixed = len(y) and 0 < y.mean() < 1
     prior = float(y.mean()) if mixed else 0.5
     w, b = fit_nnpu(std(p), std(u), prior)
@@ -169,7 +174,7 @@ def train(positive: DataFrame, unlabelled: DataFrame, labelled: DataFrame) -> Sc
         w, b = fit_nnpu(std(p), std(u), prior)
     out = Scorer(mean, scale, w, b, 4.0, 0.0, prior)
     if mixed:
-        m = out.margin(_matrix(known))
+        m = out.margin(k)
         spread = m.std() + 1e-9
 
         def gradient(a):
