@@ -33,14 +33,22 @@ def sum_squared_deviation(buckets: Column, counts: Column, centre: Column) -> Co
     return F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
 
 
+#: Which rows of members() count.
+MEMBER = "(suffix in ('_sum', '_count') or (suffix = '_bucket' and bound is not null))"
+
+
+def members(rows: DataFrame) -> DataFrame:
+    """rows(labels, suffix) with the key of their histogram and their bucket's bound."""
+    return rows.withColumns({"key": L.histogram_key(F.col("labels")), "bound": F.when(F.col("suffix") == "_bucket", L.bucket_bound(L.get(F.col("labels"), "le")))})
+
+
 def assemble(samples: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """(base, key, scrape_id, t, seq, start, count, total, buckets, *extra) of each complete histogram sample.
 
     samples are reset-adjusted ones with labels, base and suffix. A histogram is the series of one base name with the same
     labels but `le`; its start is that of its count. It goes if its count is missing or any member is a first sample. A
     bucket with a bound that isn't a number is ignored. Of one bound's buckets all stay, in order of their value."""
-    rows = samples.withColumns({"key": L.histogram_key(F.col("labels")), "bound": F.when(F.col("suffix") == "_bucket", L.bucket_bound(L.get(F.col("labels"), "le")))})
-    rows = rows.filter("suffix in ('_sum', '_count') or (suffix = '_bucket' and bound is not null)")
+    rows = members(samples).filter(MEMBER)
     of = lambda s, c: F.max(F.when(F.col("suffix") == s, F.col(c)))
     bucket = F.when(F.col("suffix") == "_bucket", F.struct("bound", F.col("adjusted").cast("long").alias("value")))
     grouped = rows.groupBy("base", "key", "scrape_id", "t").agg(

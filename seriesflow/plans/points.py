@@ -14,6 +14,13 @@ POINT = ("series_key", "ref", "seq", "t", "start", "metric", "metric_kind", "val
 SERIES = ("ref", "series_key", "metric", "metric_kind", "metric_type", "value_type", "suffix", "base", "labels")
 
 
+def typed_scalars(points: DataFrame) -> DataFrame:
+    """points(value, value_type, metric_type) with double_value, int64_value and an empty distribution."""
+    whole = F.when(F.col("metric_type") == "summary", F.col("value").try_cast("long")).otherwise(F.round("value").try_cast("long"))
+    none = F.lit(None).cast("struct<count:bigint,mean:double,sum_sq_dev:double,bounds:array<double>,bucket_counts:array<bigint>>")
+    return points.withColumns({"double_value": L.typed_double(F.col("value_type"), F.col("value")), "int64_value": F.when(F.col("value_type") == "int64", whole), "distribution": none})
+
+
 def make_points(samples: DataFrame, resolved: DataFrame) -> DataFrame:
     """POINT columns of every point, overlaps not yet rejected. resolved is joined before any window, so samples that go nowhere aren't shuffled."""
     joined = drop_nan(samples).join(resolved.select(*SERIES), "ref")
@@ -22,9 +29,7 @@ def make_points(samples: DataFrame, resolved: DataFrame) -> DataFrame:
     moved = reset_adjust(joined.filter("metric_kind = 'CUMULATIVE'"))
     counters = moved.filter("value_type <> 'distribution' and not first").withColumn("value", F.col("adjusted")).drop("adjusted", "first")
     scalars = gauges.unionByName(counters)
-    whole = F.when(F.col("metric_type") == "summary", F.col("value").try_cast("long")).otherwise(F.round("value").try_cast("long"))
-    none = F.lit(None).cast("struct<count:bigint,mean:double,sum_sq_dev:double,bounds:array<double>,bucket_counts:array<bigint>>")
-    scalars = scalars.withColumns({"double_value": L.typed_double(F.col("value_type"), F.col("value")), "int64_value": F.when(F.col("value_type") == "int64", whole), "distribution": none})
+    scalars = typed_scalars(scalars)
     members = moved.filter("value_type = 'distribution'")
     made = distribution(assemble(members, ("series_key", "ref", "metric", "metric_kind", "value_type")))
     made = made.withColumns({"double_value": F.lit(None).cast("double"), "int64_value": F.lit(None).cast("long")})

@@ -15,7 +15,9 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ..operators.batching import assign_batches
 from ..operators.counters import drop_nan
+from ..operators.histograms import BUCKET, MEMBER, distribution, members
 from ..operators.overlap import accepts
+from ..plans.points import typed_scalars
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -57,7 +59,7 @@ def stream_counter_deltas(samples: DataFrame) -> DataFrame:
 
 
 class Points(StatefulProcessor):
-    """Per output series: reset state of each raw series that feeds it, and the interval of the last kept point."""
+    """Per output series: reset state of each raw series that feeds it, and the interval of the last kept point. Histograms are assembled per scrape."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.resets = handle.getMapState("resets", "ref long", "base double, start long, previous double")
@@ -77,34 +79,57 @@ class Points(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         data = pd.concat(list(rows)).sort_values("seq")
         last = tuple(self.interval.get()) if self.interval.exists() else None
-        out = []
+        made, histograms = [], {}
         for r in data.itertuples():
             start, value = (None, r.v) if r.metric_kind == "GAUGE" else self._adjusted(int(r.ref), int(r.t), float(r.v))
-            if value is None:
-                continue
-            now = (0 if start is None else int(start), int(r.t))
+            if r.member:
+                histograms.setdefault((r.base, r.key, r.scrape_id, r.t), []).append((r, start, value))
+            elif value is not None:
+                made.append((int(r.seq), int(r.t), start, value, r.value_type, r.metric_type, None, None, None))
+        made += [p for p in map(_histogram, histograms.values()) if p is not None]
+        out = []
+        for point in sorted(made, key=lambda p: p[0]):
+            now = (0 if point[2] is None else int(point[2]), point[1])
             if last is not None and not accepts(*now, *last):
                 continue
             last = now
-            out.append((key[0], int(r.seq), int(r.t), start, value, r.value_type, r.metric_type))
+            out.append((key[0], *point))
         if last is not None:
             self.interval.update(last)
-        frame = pd.DataFrame(out, columns=["series_key", "seq", "t", "start", "value", "value_type", "metric_type"])
-        yield frame.astype({"seq": "int64", "t": "int64", "start": "Int64", "value": "float64"})
+        frame = pd.DataFrame(out, columns=["series_key", "seq", "t", "start", "value", "value_type", "metric_type", "count", "total", "buckets"])
+        yield frame.astype({"seq": "int64", "t": "int64", "start": "Int64", "value": "float64", "count": "float64", "total": "float64"})
 
     def close(self) -> None:
         pass
 
 
+def _histogram(found: list) -> tuple | None:
+    """The point of one histogram and scrape, as histograms.assemble makes it, from (sample, start, adjusted value) of its members."""
+    counts = [(start, value) for r, start, value in found if r.suffix == "_count"]
+    if not counts or any(value is None for _, _, value in found):
+        return None
+    sums = [value for r, _, value in found if r.suffix == "_sum"]
+    buckets = [{"bound": b, "value": n} for b, n in sorted((float(r.bound), int(value)) for r, _, value in found if r.suffix == "_bucket")]
+    r = found[0][0]
+    start, count = (max(x) for x in zip(*counts, strict=True))
+    return int(r.seq), int(r.t), start, None, r.value_type, r.metric_type, count, max(sums, default=0.0), buckets
+
+
 def stream_points(samples: DataFrame, resolved: DataFrame) -> DataFrame:
-    """(series_key, seq, t, start, value, value_type, metric_type) of the kept points of scalar series, in append mode.
+    """(series_key, seq, t, start, value, value_type, metric_type, double_value, int64_value, distribution) of the kept points, in append mode.
 
+    value is the number before it is typed, null for histograms. A scrape's samples have to come in one micro-batch, as those of
+    read_samples_stream do: a histogram is assembled from what is there.
     resolved is a static table: it is read when the query starts; see refresh_dimensions for one that changes."""
     _rocks(samples.sparkSession)
-    side = resolved.filter("value_type <> 'distribution'").select("ref", "series_key", "metric_kind", "metric_type", "value_type")
+    side = members(resolved).withColumn("member", F.expr("metric_kind = 'CUMULATIVE' and value_type = 'distribution'")).filter(f"not member or {MEMBER}")
+    side = side.select("ref", "series_key", "metric_kind", "metric_type", "value_type", "suffix", "base", "key", "bound", "member")
     joined = drop_nan(samples).join(side, "ref")
-    schema = "series_key string, seq long, t long, start long, value double, value_type string, metric_type string"
-    return joined.groupBy("series_key").transformWithStateInPandas(Points(), schema, "Append", "None")
+    schema = "series_key string, seq long, t long, start long, value double, value_type string, metric_type string, count double, total double, " + f"buckets {BUCKET}"
+    kept = joined.groupBy("series_key").transformWithStateInPandas(Points(), schema, "Append", "None")
+    # A scalar has no buckets, and so no distribution.
+    made = distribution(typed_scalars(kept).drop("distribution"))
+    return made.withColumn("distribution", F.when(F.col("buckets").isNotNull(), F.col("distribution"))).drop("count", "total", "buckets")
 
 
 def drop_replays(samples: DataFrame, delay: str = "1 hour") -> DataFrame:
