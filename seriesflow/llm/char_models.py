@@ -3,20 +3,28 @@
 A gram of k symbols is packed into 64 bits, `bits` for each symbol; its hash is a bijection of that word, so no two grams
 share one. Per label and order, a model has the sorted hashes of seen grams with the logarithm of the interpolated
 probability of their last symbol, and the sorted hashes of seen contexts with the weight that they leave to shorter ones.
+All of them are kept: tasks write the arrays as files into the shared folder and map them into memory where they score.
 """
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import CHUNK_BYTES, cut, mix64
+from .shared import CHUNK_BYTES, cut, mix64, new_path
 
 BOS, EOS = 1, 2
+#: About how many grams of a label and order one file holds.
+SHARD_GRAMS = 1 << 21
 
 
 @dataclass
@@ -131,32 +139,77 @@ def gram_counts(texts: DataFrame, alphabet: Alphabet) -> DataFrame:
     return counted.groupBy("label", "key").agg(F.sum("n").alias("n"))
 
 
+def _filesystem(folder: str) -> tuple[fs.FileSystem, str]:
+    if folder.startswith(("/", "file:")):
+        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(folder)
+
+
+def _mapped(folder: str, name: str, kind: type) -> np.ndarray:
+    """A file of numbers, mapped into memory; one of a store that isn't mounted is copied to the process's temporary folder before."""
+    store, path = _filesystem(f"{folder}/{name}")
+    if isinstance(store, fs.LocalFileSystem):
+        return np.asarray(np.memmap(path, kind, "r"))
+    with tempfile.TemporaryFile() as copy:
+        with store.open_input_stream(path) as source:
+            shutil.copyfileobj(source, copy)
+        copy.flush()
+        return np.asarray(np.memmap(copy, kind, "r"))
+
+
 @dataclass
 class Model:
     labels: list[str]
     order: int
     bits: int
-    #: Per label, from order 1 up: sorted hashes and log probabilities of grams, sorted hashes and log weights of contexts.
-    grams: list[list[tuple[np.ndarray, np.ndarray]]]
-    contexts: list[list[tuple[np.ndarray, np.ndarray]]]
+    folder: str
+    #: Of "gram" or "context", order, shard and label: the name of its files. A shard is what hashes begin with.
+    files: dict[tuple[str, int, int, str], str]
+    shard_bits: int
     floor: float
+    _arrays: dict = field(default_factory=dict, repr=False)
+
+    def __getstate__(self):
+        return {**self.__dict__, "_arrays": {}}
+
+    def _find(self, kind: str, k: int, label: str, hashes: np.ndarray, shards: list) -> tuple[np.ndarray, np.ndarray]:
+        """The logarithms that are stored for hashes, and which hashes are stored."""
+        values, found = np.zeros(len(hashes)), np.zeros(len(hashes), bool)
+        for shard, mine in shards:
+            part = (kind, k, shard, label)
+            if part not in self.files:
+                continue
+            if part not in self._arrays:
+                name = self.files[part]
+                self._arrays[part] = (_mapped(self.folder, name + ".hashes", np.int64), _mapped(self.folder, name + ".values", np.float64))
+            stored, logs = self._arrays[part]
+            at = np.searchsorted(stored, hashes[mine])
+            at[at == len(stored)] = 0
+            hit = stored[at] == hashes[mine]
+            found[mine] = hit
+            values[mine] = np.where(hit, logs[at], 0.0)
+        return values, found
+
+    def _shards(self, hashes: np.ndarray) -> list:
+        """(shard, positions) of hashes."""
+        if not self.shard_bits:
+            return [(0, slice(None))]
+        shard = hashes >> np.int64(64 - self.shard_bits)
+        by = np.argsort(shard, kind="stable")
+        names, first = np.unique(shard[by], return_index=True)
+        return list(zip(names.tolist(), np.split(by, first[1:]), strict=True))
 
     def log_probability(self, keys: np.ndarray) -> np.ndarray:
         """(labels, keys): log probability of each packed gram's last symbol given those before it."""
-        short = [keys & np.uint64((1 << (self.bits * k)) - 1) for k in range(1, self.order + 1)]
-        hashes = [mix64(x) for x in short]
-        above = [mix64(x >> np.uint64(self.bits)) for x in short]
-        out = np.empty((len(self.labels), len(keys)))
-        for i in range(len(self.labels)):
-            p = np.full(len(keys), self.floor)
-            for k in range(self.order):
-                at, found = _find(self.contexts[i][k][0], above[k])
-                if found.any():
-                    p = p + np.where(found, self.contexts[i][k][1][at], 0.0)
-                at, found = _find(self.grams[i][k][0], hashes[k])
-                if found.any():
-                    p = np.where(found, self.grams[i][k][1][at], p)
-            out[i] = p
+        out = np.full((len(self.labels), len(keys)), self.floor)
+        for k in range(1, self.order + 1):
+            short = keys & np.uint64((1 << (self.bits * k)) - 1)
+            hashes, above = mix64(short).view(np.int64), mix64(short >> np.uint64(self.bits)).view(np.int64)
+            mine, theirs = self._shards(hashes), self._shards(above)
+            for i, label in enumerate(self.labels):
+                weight, _ = self._find("context", k, label, above, theirs)
+                value, found = self._find("gram", k, label, hashes, mine)
+                out[i] = np.where(found, value, out[i] + weight)
         return out
 
     def means(self, texts: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray]:
@@ -169,31 +222,60 @@ class Model:
         return sums / sizes[:, None], sizes
 
 
-def _find(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(table):
-        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
-    at = np.searchsorted(table, values)
-    at[at == len(table)] = 0
-    return at, table[at] == values
+def _store(rows: DataFrame, shard_bits: int) -> tuple[str, dict[tuple[str, int, int, str], str]]:
+    """rows(kind, k, label, key, value) -> the folder and names of Model. Only the names of files come to the driver."""
+    folder = new_path(rows.sparkSession, "model")
 
+    def hashed(batches):
+        for batch in batches:
+            keys = batch.column("key").to_numpy(zero_copy_only=False)
+            at = batch.schema.get_field_index("key")
+            yield batch.set_column(at, "key", pa.array(mix64(keys.view(np.uint64)).view(np.int64)))
 
-def _bounded(level: DataFrame, most: int) -> DataFrame:
-    """The grams of a level whose count reaches the least threshold with at most `most` grams; rarer ones back off."""
-    steps = level.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count(F.lit(1)).alias("grams")).orderBy(F.desc("n")).collect()
-    kept, least = 0, 1001
-    for row in steps:
-        if kept + row.grams > most:
-            break
-        kept, least = kept + row.grams, row.n
-    return level if steps and least == min(r.n for r in steps) else level.filter(F.col("n") >= least)
+    def write(batches):
+        store, root = _filesystem(folder)
+        store.create_dir(root, recursive=True)
+        now, name, out, done = None, None, (), []
 
+        def close():
+            for o in out:
+                o.close()
+            if now is not None:
+                done.append((now, name))
 
-def fit(counts: DataFrame, alphabet: Alphabet, smoothing: str = "kneser-ney", max_grams: int = 1 << 20) -> Model:
+        for batch in batches:
+            parts = batch.column("part").dictionary_encode()
+            names, codes = parts.dictionary.to_pylist(), parts.indices.to_numpy()
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "value")]
+            edges = [0, *(np.flatnonzero(np.diff(codes)) + 1), len(codes)] if len(codes) else [0]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if names[codes[a]] != now:
+                    close()
+                    # An attempt that fails leaves files that nothing names.
+                    now, name = names[codes[a]], uuid.uuid4().hex
+                    out = [store.open_output_stream(f"{root}/{name}.{end}") for end in ("hashes", "values")]
+                for o, column in zip(out, columns, strict=True):
+                    o.write(column[a:b].tobytes())
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in done], pa.string()) for j in range(2)], ["part", "name"])
+
+    shard = F.shiftright("key", 64 - shard_bits) if shard_bits else F.lit(0)
+    parts = rows.mapInArrow(hashed, rows.schema).select(F.concat_ws("/", "kind", "k", shard, "label").alias("part"), "key", "value")
+    written = parts.repartition("part").sortWithinPartitions("part", "key").mapInArrow(write, "part string, name string").collect()
+    files = {}
+    for r in written:
+        kind, k, of, label = r.part.split("/", 3)
+        if files.setdefault((kind, int(k), int(of), label), r.name) != r.name:
+            raise ValueError(f"{r.part} was written by two tasks")
+    return folder, files
+
+
+def fit(counts: DataFrame, alphabet: Alphabet, smoothing: str = "kneser-ney", shard_grams: int = SHARD_GRAMS) -> Model:
     """counts(label, key, n) of the full order -> Model.
 
     kneser-ney: shorter grams count their different left neighbours, and an absolute discount n1 / (n1 + 2 n2) per label and
     order goes to shorter contexts. witten-bell: plain counts, and a context gives N / (n + N) to shorter ones, N being its
-    number of different continuations. At most max_grams grams of each order are stored (the most frequent)."""
+    number of different continuations. All grams are stored, in files of about shard_grams each."""
     bits, order = alphabet.bits, alphabet.order
     level = cut(counts, "grams")
     levels = {order: level}
@@ -203,7 +285,7 @@ def fit(counts: DataFrame, alphabet: Alphabet, smoothing: str = "kneser-ney", ma
         level = cut(level.groupBy("label", suffix.alias("key")).agg(n.alias("n")), "grams")
         levels[k] = level
     symbols = levels[1].select("key").distinct().count() + 1
-    tables, contexts = {}, {}
+    stored = []
     lower = None
     for k in range(1, order + 1):
         level = levels[k]
@@ -225,22 +307,10 @@ def fit(counts: DataFrame, alphabet: Alphabet, smoothing: str = "kneser-ney", ma
             joined = joined.withColumn("suffix", F.col("key").bitwiseAND(F.lit((1 << (bits * (k - 1))) - 1))).join(short, ["label", "suffix"])
             lower = joined.select("label", "key", "n", "context", ((F.col("n") - F.col("d")) / F.col("z") + F.col("left") * F.col("q")).alias("p"))
         lower = cut(lower, "probabilities")
-        kept = _bounded(lower, max_grams)
-        tables[k] = kept.select("label", "key", F.log("p").alias("p")).toPandas()
-        # Contexts of stored grams only: no more of them than grams.
-        used = stats.join(kept.select("label", "context").distinct(), ["label", "context"], "left_semi")
-        contexts[k] = used.select("label", "context", F.log("left").alias("w")).toPandas()
-    labels = sorted(tables[1]["label"].unique())
-
-    def arrays(frame, name, value):
-        out = []
-        for label in labels:
-            mine = frame[frame["label"] == label]
-            h = mix64(mine[name].to_numpy(np.int64).view(np.uint64))
-            by = np.argsort(h)
-            out.append((h[by], mine[value].to_numpy(np.float64)[by]))
-        return out
-
-    grams = [arrays(tables[k], "key", "p") for k in range(1, order + 1)]
-    weights = [arrays(contexts[k], "context", "w") for k in range(1, order + 1)]
-    return Model(labels, order, bits, [[grams[k][i] for k in range(order)] for i in range(len(labels))], [[weights[k][i] for k in range(order)] for i in range(len(labels))], float(-np.log(symbols)))
+        of = lambda kind, k=k: (F.lit(kind).alias("kind"), F.lit(k).alias("k"), "label")
+        stored.append(lower.select(*of("gram"), "key", F.log("p").alias("value")))
+        stored.append(stats.select(*of("context"), F.col("context").alias("key"), F.log("left").alias("value")))
+    # No order has more grams than the longest.
+    shard_bits = max(0, -(-levels[order].count() // shard_grams) - 1).bit_length()
+    folder, files = _store(reduce(DataFrame.unionByName, stored), shard_bits)
+    return Model(sorted({label for _, _, _, label in files}), order, bits, folder, files, shard_bits, float(-np.log(symbols)))

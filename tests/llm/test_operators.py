@@ -306,6 +306,28 @@ def test_kneser_ney(spark):
     assert model.log_probability(keys)[0] == pytest.approx([want(int(k)) for k in keys])
 
 
+@pytest.mark.parametrize("shard_grams", [5, 1000])
+def test_shards_of_a_model(spark, shard_grams):
+    letters = language_id.alphabet()
+    texts = {"en": ["the cat sat on the mat", "that hat"], "a/b": ["der Hund saß", "das Haus"]}
+    rows = spark.createDataFrame([(x, t) for x, ts in texts.items() for t in ts], "label string, text string")
+    model = char_models.fit(char_models.gram_counts(rows, letters), letters, shard_grams=shard_grams)
+    every = char_models.fit(char_models.gram_counts(rows, letters), letters)
+    keys, _ = letters.grams(["the hat zat", "Hunde sah"])
+    assert model.labels == ["a/b", "en"] and (model.shard_bits > 0) == (shard_grams == 5)
+    assert model.log_probability(keys) == pytest.approx(every.log_probability(keys))
+
+
+def test_no_gram_is_dropped(spark):
+    letters = language_id.alphabet()
+    symbols = np.random.default_rng(5).integers(0x4E00, 0x9F00, (1100, 1000))
+    texts = ["".join(map(chr, x)) for x in symbols]
+    model = language_id.train(spark.createDataFrame([("zh", t) for t in texts], "lang string, text string"))
+    keys, _ = letters.grams(texts[:50])
+    # Each gram and nearly each context comes once: at least half of the context's mass is the gram's.
+    assert (model.log_probability(keys)[0] >= np.log(0.5)).mean() > 0.99
+
+
 def test_languages_on_held_out_rows(spark):
     d = "/root/testdata/sf0.01"
     got = language_id.op9_language_id(spark, d).join(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
