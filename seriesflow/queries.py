@@ -282,7 +282,7 @@ _MATCHED = "matched as (select s.*, t.ordinal, t.kind, t.n from fx_series s left
 
 @query(_with(X.SAMPLES, X.SERIES) + "select s.seq, s.ref, name, usr from fx_samples s join fx_series r on s.ref = r.ref where r.segment < 5")
 def q_join_series(spark, d):
-    out = series.join_series(X.samples(spark, d), series.latest_series(X.series(spark, d).filter("segment < 5")))
+    out = series.join_series(X.samples(spark, d), series.latest_series(X.series(spark, d)))
     return out.select("seq", "ref", L.get(F.col("labels"), "__name__").alias("name"), *_flat(out, "usr"))
 
 

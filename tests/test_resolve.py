@@ -5,7 +5,8 @@ from seriesflow.functions import labels as L
 from seriesflow.functions.matchers import Matcher, any_of
 from seriesflow.operators import resolve, resources, series
 from seriesflow.plans.points import points
-from seriesflow.sources import readers
+from seriesflow.queries import QUERIES
+from seriesflow.sources import fixtures, readers
 
 from .util import rows
 
@@ -140,3 +141,15 @@ def test_first_metadata_wins_and_not_found_is_empty(spark, tmp_path):
     (tmp_path / "m.json").write_text('{"status":"error","errorType":"bad_data","error":"no"}\n')
     with pytest.raises(Exception, match="metadata lookup failed"):
         readers.read_metadata(spark, str(tmp_path)).collect()
+
+
+def test_samples_of_unknown_series_go(spark):
+    samples = spark.createDataFrame([(0, 1), (1, 2), (2, 1), (3, 3)], "seq long, ref long")
+    known = spark.createDataFrame([(1, {"a": "x"}, 0, 0), (3, {"a": "y"}, 7, 1)], "ref long, labels map<string,string>, segment int, seq long")
+    assert rows(series.join_series(samples, series.latest_series(known)), "seq", "ref") == [(0, 1), (2, 1), (3, 3)]
+
+
+def test_all_series_join(spark):
+    """Also those that a longer log sees first in its later segments."""
+    d = "/root/testdata/sf0.1"
+    assert QUERIES["join_series"](spark, d).count() == fixtures.samples(spark, d).count()
