@@ -345,6 +345,17 @@ def test_texts_without_letters_have_no_language(spark):
     assert [r.score for r in got[:3]] == [0.0] * 3 and all(0 < r.score <= 1 for r in got[3:])
 
 
+def test_calibration_takes_whole_and_different_texts(spark):
+    a, b = "the cat sat " * 200 + "zq xj vw " * 300, "that hat"
+    letters = language_id.alphabet()
+    frame = lambda texts: spark.createDataFrame([("en", t) for t in texts], "lang string, text string")
+    model = language_id.train(frame([a, b]))
+    own = -model.means([a, b], letters)[0][:, 0]
+    assert language_id.calibrate(model, frame([a]))[1] == pytest.approx(own[0] + 0.05)
+    for texts in ([a] * 20 + [b], [b] * 20 + [a]):
+        assert language_id.calibrate(model, frame(texts), rows=2)[1] == pytest.approx(np.quantile(own, 0.999) + 0.05)
+
+
 def test_grams_of_pieces_are_those_of_texts():
     a = char_models.Alphabet(bits=16, order=3, fold=True, join=True, kind="letters")
     texts = ["ab  c", "", "İx", "123", "z"]
