@@ -20,7 +20,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import CHUNK_BYTES, cut, mix64, new_path
+from .shared import CHUNK_BYTES, cut, filesystem, mix64, new_path
 
 BOS, EOS = 1, 2
 #: About how many grams of a label and order one file holds.
@@ -139,15 +139,9 @@ def gram_counts(texts: DataFrame, alphabet: Alphabet) -> DataFrame:
     return counted.groupBy("label", "key").agg(F.sum("n").alias("n"))
 
 
-def _filesystem(folder: str) -> tuple[fs.FileSystem, str]:
-    if folder.startswith(("/", "file:")):
-        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(folder)
-
-
 def _mapped(folder: str, name: str, kind: type) -> np.ndarray:
     """A file of numbers, mapped into memory; one of a store that isn't mounted is copied to the process's temporary folder before."""
-    store, path = _filesystem(f"{folder}/{name}")
+    store, path = filesystem(f"{folder}/{name}")
     if isinstance(store, fs.LocalFileSystem):
         return np.asarray(np.memmap(path, kind, "r"))
     with tempfile.TemporaryFile() as copy:
@@ -233,7 +227,7 @@ def _store(rows: DataFrame, shard_bits: int) -> tuple[str, dict[tuple[str, int,
             yield batch.set_column(at, "key", pa.array(mix64(keys.view(np.uint64)).view(np.int64)))
 
     def write(batches):
-        store, root = _filesystem(folder)
+        store, root = filesystem(folder)
         store.create_dir(root, recursive=True)
         now, name, out, done = None, None, (), []
 

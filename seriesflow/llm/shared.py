@@ -5,9 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,17 +19,52 @@ CHUNK_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or, where that is unset (tests), a temporary one."""
-    known = spark.sparkContext.getCheckpointDir()
+    """The folder that all executors share: spark.checkpoint.dir, or, where that is unset and Spark is one local process, a temporary one."""
+    context = spark.sparkContext
+    known = context.getCheckpointDir()
     if known:
         return known
-    path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seriesflow-")
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        path = tempfile.mkdtemp(prefix="seriesflow-")
+    context.setCheckpointDir(path)
+    return context.getCheckpointDir()
+
+
+#: Per open scratch, the paths made since.
+_made: list[list[str]] = []
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _made:
+        _made[-1].append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What is written into the shared folder in here is deleted at the end."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            delete(spark, path)
+
+
+def filesystem(path: str) -> tuple[fs.FileSystem, str]:
+    """The store of a path or URI, for tasks that read or write files by themselves, and the path in it."""
+    if path.startswith(("/", "file:")):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path)
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
