@@ -2,10 +2,10 @@
 
 Every text is cut into blocks of a fixed number of characters. Sorting the different blocks gives each an integer name.
 Pairs of adjacent names are then named in the same way, again and again, until each document has one name. Two documents
-of the same number of naming rounds have the same name only if their texts are identical, whatever any hash function does.
+of the same number of naming rounds have the same name only if their blocks are identical: names never rest on a hash.
 
 Empty and null texts are one (empty) block and so copies of each other. Rows that repeat an id give one result row each, also
-if the id is null; a null id is a group's keeper only if no row of the group has an id. Extra columns are ignored. An empty
+if the id is null, and are told apart by their text's SHA-256; a null id is a group's keeper only if no row of the group has an id. Extra columns are ignored. An empty
 table gives an empty result.
 """
 
@@ -48,9 +48,9 @@ def identities(docs: DataFrame, id_col: str, text: Column, block_chars: int = BL
     """(id, copies, text_sha256, rounds, name): rounds and name together identify the text; copies counts the rows of this id and text."""
     body = docs.select(F.col(id_col).alias("id"), text.alias("body"))
     # The hash tells texts of the same id apart; it takes no part in naming.
-    body = body.select(F.struct("id", F.xxhash64("body").alias("salt")).alias("row"), "body", F.sha2("body", 256).alias("sha"))
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.expr(f"cast((char_length(body) - 1) div {block_chars} as int)")))
-    cells = F.transform(starts, lambda k: F.substring(F.col("body"), k * block_chars + 1, F.lit(block_chars)))
+    body = body.select("id", "body", F.sha2("body", 256).alias("sha")).select(F.struct("id", F.unhex("sha").alias("salt")).alias("row"), "body", "sha")
+    # One pass over the text, however long it is.
+    cells = F.when(F.col("body") == "", F.array(F.lit(""))).otherwise(F.regexp_extract_all("body", F.lit(f"(?s).{{1,{block_chars}}}"), F.lit(0)))
     blocks = body.select("row", F.posexplode(cells).alias("pos", "block"), F.col("sha"))
     blocks = blocks.select("row", "pos", F.xxhash64("block").alias("h"), "block", F.when(F.col("pos") == 0, F.col("sha")).alias("sha"))
     level = cut(_name_blocks(blocks), "blocks")
