@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import time
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -50,6 +52,14 @@ def test_exact_duplicates(spark, block):
     assert sorted((tuple(r) for r in got.select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()), key=str) == want
 
 
+def test_names_of_a_long_text_take_seconds(spark):
+    long = "abcdefgh é😀" * 2_000_000
+    began = time.time()
+    got = exact_dedup.exact_duplicates(docs_of(spark, [long, long + "x", long])).collect()
+    assert time.time() - began < 90
+    assert sorted((r.doc_id, r.keep_id) for r in got) == [(0, 0), (1, 1), (2, 0)]
+
+
 def test_blocks_that_share_a_hash_are_told_apart(spark):
     blocks = spark.createDataFrame([(1, 0, 7, "x", "s"), (2, 0, 7, "y", "s"), (3, 0, 7, "x", "s"), (4, 0, 8, "z", "s")], "row long, pos int, h long, block string, sha string")
     names = {r.row: r.name for r in exact_dedup._name_blocks(blocks).collect()}
@@ -188,9 +198,11 @@ def brute_lines(rows, min_chars=40, min_docs=5):
     return sorted(out)
 
 
-@pytest.mark.parametrize("parts", ["1", "8", "40"])
-def test_lines(spark, parts):
+@pytest.mark.parametrize(("parts", "batch"), [("1", 10000), ("1", 1), ("3", 2), ("8", 7), ("40", 3)])
+def test_lines(spark, parts, batch, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", 0 if batch == 7 else 1 << 20)
     spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     try:
         rng = random.Random(5)
         pool = [f"shared line number {k} " + "x" * 30 for k in range(12)]
@@ -201,6 +213,24 @@ def test_lines(spark, parts):
         assert sorted(tuple(r) for r in got.collect()) == brute_lines(list(enumerate(texts)))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_lines_with_long_white_space_take_seconds(spark):
+    line = "a" * 20 + " " * 100_000 + "b" * 20
+    texts = [line + " " * k for k in range(6)] + [line + "\n" * 200_000]
+    began = time.time()
+    df = docs_of(spark, texts)
+    got = line_dedup.apply_bitmaps(df, line_dedup.keep_bitmaps(df)).select("doc_id", "n_lines", "n_dropped", "kept_text").collect()
+    assert time.time() - began < 30
+    assert sorted(tuple(r) for r in got) == brute_lines(list(enumerate(texts)))
+
+
+def test_bitmaps_mark_what_stays(spark):
+    shared, own = "shared " * 10, "own " * 15
+    df = docs_of(spark, [f"{own}{k}\n{shared}\n{own}" for k in range(2)] + [shared] * 4, [*range(2), *range(10, 14)])
+    maps = {r.doc: bytes(r.keep) for r in line_dedup.keep_bitmaps(df).collect()}
+    assert sorted(maps) == [0, 1, 10, 11, 12] and zlib.decompress(maps[0]) == bytes([0b11111101]) and zlib.decompress(maps[10]) == bytes([0b11111110])
 
 
 # 6
