@@ -1,28 +1,37 @@
 """WARC archives: writing captures, reading archives back, and assembling transactions.
 
 Each page gives a response (or, for a payload that an earlier page has, a revisit), a request and a metadata record. The
-request names the response in WARC-Concurrent-To, the metadata record names the request. Reading finds records by their
-Content-Length, in plain and in gzip files of any number of members. Assembly follows concurrent-to identifiers, also over
-one record in between and also from a response to its request, and emits one nested row per capture.
-
-Null html is an empty payload. Null urls have no WARC-Target-URI; line breaks in a url are written as %0D and %0A. Rows that repeat a page id, url
-and html are one capture. Records without a response form captures of their own. Extra columns are ignored.
+request names the response in WARC-Concurrent-To, the metadata record names the request. Tasks write archives of bounded size, each
+record a gzip member of its own, and read them as streams, so that neither holds more than a record of any length. Reading finds
+records by their Content-Length, in plain and in gzip files of any number of members. Assembly follows concurrent-to identifiers,
+also over one record in between and also from a response to its request, and emits one nested row per capture.
+
+Every row is a capture, also rows that repeat a page id, url and html: one of them may be the response, the others revisit it. Null
+page ids come after all others: they are the response only if no page with an id has the payload, and revisits of one refer to a
+record, but to no page id. Null html is an empty payload. Null urls have no WARC-Target-URI; line breaks in a url are written as %0D
+and %0A. Records without a response form captures of their own. Extra columns are ignored. An empty table gives no archive and no rows.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import io
+import uuid
 import zlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import cut, new_path
+from .shared import cut, delete, filesystem, new_path
 
 END = "\r\n"
 REVISIT_BYTES = 100
-RECORDS_PER_FILE = 3000
+#: A file ends with the capture that brings it to so many bytes.
+FILE_BYTES = 256 << 20
+#: Copies of one row that a task numbers.
+COPIES = 1000
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -46,18 +55,41 @@ def _clean(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
 
-def write_archive(pages: DataFrame, path: str, revisit_bytes: int = REVISIT_BYTES, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Writes pages(page_id, url, html) as gzip WARC files into the folder `path`, by Spark's writer: any store that Spark reaches will do."""
+def _numbered(rows: DataFrame, per: DataFrame) -> DataFrame:
+    """rows with n: 0, and for rows that repeat in full 0, 1, 2 ... per(digest, page_id, url, copies)."""
+    key = ("digest", "page_id", "url")
+    again = cut(per.filter("copies > 1").select(*(F.col(c).alias(f"__{c}") for c in key), "copies"), "repeated")
+    one = F.lit(0).cast("long").alias("n")
+    if again.isEmpty():
+        return rows.select("*", one)
+    same = (F.col("digest") == F.col("__digest")) & F.col("page_id").eqNullSafe(F.col("__page_id")) & F.col("url").eqNullSafe(F.col("__url"))
+    # One row of each kind goes on; its copies are made in tasks of their own, a bounded number each.
+    single = rows.join(again, same, "left_anti").select("*", one)
+    kinds = rows.join(again, same).drop("__digest", "__page_id", "__url").dropDuplicates(key)
+    dealt = kinds.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {COPIES}")))).repartition("digest", "page_id", "url", "block")
+    last = F.least(F.col("copies"), (F.col("block") + 1) * COPIES) - 1
+    return single.unionByName(dealt.withColumn("n", F.explode(F.sequence(F.col("block") * COPIES, last))).drop("copies", "block"))
+
+
+def _compressed(record: bytes) -> bytes:
+    """A record and the two line breaks after it as one gzip member."""
+    packer = zlib.compressobj(4, zlib.DEFLATED, 31)
+    return packer.compress(record) + packer.compress(b"\r\n\r\n") + packer.flush()
+
+
+def write_archive(pages: DataFrame, path: str, revisit_bytes: int = REVISIT_BYTES, file_bytes: int = FILE_BYTES) -> None:
+    """Adds archives of pages(page_id, url, html) to the folder `path`. Files appear there when all are complete."""
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.select("*", F.octet_length("html").cast("long").alias("bytes"), F.sha2("html", 256).alias("digest"))
-    large = rows.filter(F.col("bytes") >= revisit_bytes)
-    first = large.groupBy("digest").agg(F.min(F.struct("page_id", "url")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
+    per = cut(rows.groupBy("digest", "page_id", "url").agg(F.count(F.lit(1)).alias("copies"), F.max("bytes").alias("bytes")), "payloads")
+    order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", F.col("url").isNull().alias("no_url"), "url")
+    first = per.filter(F.col("bytes") >= revisit_bytes).groupBy("digest").agg(F.min(order).alias("first"), F.sum("copies").alias("n")).filter("n > 1").select("digest", "first")
     first = cut(first, "first-payloads")
-    told = rows.join(first, "digest", "left").withColumns({"first_id": F.col("first.page_id"), "first_url": F.col("first.url")})
+    told = _numbered(rows, per).join(first, "digest", "left").withColumns({"first_id": F.col("first.page_id"), "first_url": F.col("first.url"), "zero": F.lit(0).cast("long")})
     # A payload under the size has no entry: its digest isn't among those of large ones.
-    again = F.col("first").isNotNull() & ~(F.col("first_id").eqNullSafe(F.col("page_id")) & F.col("first_url").eqNullSafe(F.col("url")))
-    me = ("page_id", "url", "digest")
-    told = told.withColumns({"again": again, "response_id": _record_id("response", *me), "request_id": _record_id("request", *me), "metadata_id": _record_id("metadata", *me), "first_response": _record_id("response", "first_id", "first_url", "digest")})
+    again = F.col("first").isNotNull() & ~(F.col("first_id").eqNullSafe(F.col("page_id")) & F.col("first_url").eqNullSafe(F.col("url")) & (F.col("n") == 0))
+    me = ("page_id", "url", "digest", "n")
+    told = told.withColumns({"again": again, "response_id": _record_id("response", *me), "request_id": _record_id("request", *me), "metadata_id": _record_id("metadata", *me), "first_response": _record_id("response", "first_id", "first_url", "digest", "zero")})
     date, uri, page = F.lit("WARC-Date: " + DATE), _header("WARC-Target-URI", _clean(F.col("url"))), _header("X-Page-Id", F.col("page_id").cast("string"))
     kind = F.when(F.col("again"), "revisit").otherwise("response")
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(END + END))
@@ -82,64 +114,95 @@ def write_archive(pages: DataFrame, path: str, revisit_bytes: int = REVISIT_BYTE
         F.concat(F.lit("GET "), F.when(target == "", "/").otherwise(target), F.lit(" HTTP/1.1\r\nHost: "), host, F.lit(END + END)),
     )
     metadata = _record([F.lit("WARC-Type: metadata"), _header("WARC-Record-ID", F.col("metadata_id")), date, uri, _header("WARC-Concurrent-To", F.col("request_id")), F.lit("Content-Type: application/warc-fields")], F.lit("via: seriesflow\r\n"))
-    records = told.select(F.explode(F.array(response, request, metadata)).alias("value"))
-    # Two line breaks end a record; the text writer puts them after each.
-    records.write.option("lineSep", END + END).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
-
-
-def _inflated(data: bytes) -> bytes:
-    out = []
-    while data[:2] == b"\x1f\x8b":
-        member = zlib.decompressobj(31)
-        out.append(member.decompress(data))
-        data = member.unused_data
-    return b"".join(out) if out else data
-
-
-def parse_records(data: bytes):
-    """(headers with lower-cased names, block) of each record of an archive's bytes."""
-    data = _inflated(data)
-    at = data.find(b"WARC/")
-    while at >= 0:
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0:
-            return
+    staging = f"{path}/_staging-{uuid.uuid4().hex}"
+
+    def write(batches):
+        store, root = filesystem(staging)
+        out, names = None, []
+        for batch in batches:
+            for records in zip(*(c.cast(pa.binary()).to_pylist() for c in batch.columns), strict=True):
+                if out is None:
+                    # An attempt that fails leaves a file that nothing names.
+                    names.append(f"{uuid.uuid4().hex}.warc.gz")
+                    out = store.open_output_stream(f"{root}/{names[-1]}", compression=None)
+                for record in records:
+                    out.write(_compressed(record))
+                if out.tell() >= file_bytes:
+                    out.close()
+                    out = None
+        if out is not None:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["name"])
+
+    store, root = filesystem(path)
+    store.create_dir(filesystem(staging)[1], recursive=True)
+    written = told.select(response.alias("response"), request.alias("request"), metadata.alias("metadata")).mapInArrow(write, "name string").collect()
+    for row in written:
+        store.move(f"{filesystem(staging)[1]}/{row.name}", f"{root}/{row.name}")
+    delete(pages.sparkSession, staging)
+
+
+def _opened(source: pa.NativeFile) -> io.BufferedIOBase:
+    """An archive's bytes as a stream, unpacked if it is gzip."""
+    packed = source.read(2) == b"\x1f\x8b"
+    source.seek(0)
+    return gzip.GzipFile(fileobj=source, mode="rb") if packed else io.BufferedReader(source)
+
+
+def parse_records(stream: io.BufferedIOBase):
+    """(headers with lower-cased names, block) of each record of an archive."""
+    while line := stream.readline():
+        # Line breaks end a record.
+        if not line.startswith(b"WARC/"):
+            continue
         headers = {}
-        for line in data[at:end].split(b"\r\n")[1:]:
+        while (line := stream.readline().rstrip(b"\r\n")):
             name, _, value = line.partition(b":")
             headers[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-        size = int(headers.get("content-length", "0"))
-        yield headers, data[end + 4 : end + 4 + size]
-        at = data.find(b"WARC/", end + 4 + size)
+        yield headers, stream.read(int(headers.get("content-length", "0")))
 
 
 RECORD = "record_id string, kind string, concurrent_to string, refers_to string, target_uri string, page_id long, payload_bytes long, payload_digest string, payload binary"
 
 
 def read_archive(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """The records of all archives in a folder. The digest of a response is that of its payload as read; that of a revisit is from its header."""
+    """The records of all archives in a folder. The digest of a response is that of its payload as read; that of a revisit is from its header.
+
+    Spark lists the files, and tasks read them as streams."""
     names = [c.strip().split()[0] for c in RECORD.split(",")]
+    kinds = [pa.int64() if n in ("page_id", "payload_bytes") else pa.binary() if n == "payload" else pa.string() for n in names]
+
+    def row(headers, block):
+        kind = headers.get("warc-type")
+        payload = size = digest = None
+        if kind in ("response", "revisit"):
+            head, _, payload = block.partition(b"\r\n\r\n")
+            size, digest = len(payload), hashlib.sha256(payload).hexdigest()
+            if kind == "revisit":
+                digest = headers.get("warc-payload-digest", "").removeprefix("sha256:")
+                size = next((int(x.split(b":")[1]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")), size)
+        page = headers.get("x-page-id")
+        return headers.get("warc-record-id"), kind, headers.get("warc-concurrent-to"), headers.get("warc-refers-to"), headers.get("warc-target-uri"), int(page) if page else None, size, digest, payload if payloads else None
+
+    def packed(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     def parse(batches):
         for batch in batches:
-            for content in batch.column("content"):
-                rows = []
-                for headers, block in parse_records(content.as_py()):
-                    kind = headers.get("warc-type")
-                    payload = size = digest = None
-                    if kind in ("response", "revisit"):
-                        head, _, payload = block.partition(b"\r\n\r\n")
-                        size, digest = len(payload), hashlib.sha256(payload).hexdigest()
-                        if kind == "revisit":
-                            digest = headers.get("warc-payload-digest", "").removeprefix("sha256:")
-                            size = next((int(x.split(b":")[1]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")), size)
-                    page = headers.get("x-page-id")
-                    rows.append((headers.get("warc-record-id"), kind, headers.get("warc-concurrent-to"), headers.get("warc-refers-to"), headers.get("warc-target-uri"), int(page) if page else None, size, digest, payload if payloads else None))
-                cols = list(zip(*rows, strict=True)) or [()] * len(names)
-                kinds = [pa.int64() if n in ("page_id", "payload_bytes") else pa.binary() if n == "payload" else pa.string() for n in names]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parse, RECORD)
+            for name in batch.column("path").to_pylist():
+                store, file = filesystem(name)
+                rows, size = [], 0
+                with store.open_input_file(file) as source:
+                    for headers, block in parse_records(_opened(source)):
+                        rows.append(row(headers, block))
+                        size += len(block) if payloads else 0
+                        if len(rows) >= 4096 or size >= 8 << 20:
+                            yield packed(rows)
+                            rows, size = [], 0
+                if rows:
+                    yield packed(rows)
+
+    return spark.read.format("binaryFile").load(path).select("path").mapInArrow(parse, RECORD)
 
 
 def assemble(records: DataFrame) -> DataFrame:
@@ -164,7 +227,9 @@ def assemble(records: DataFrame) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
-    captures = cut(assemble(read_archive(spark, path, payloads=False)).filter("response is not null").select("capture_id", "response.*", F.col("request").isNotNull().alias("has_request"), F.size("metadata").alias("n_metadata")), "captures")
+    # Archives are parsed once: what follows uses the records more than once.
+    records = cut(read_archive(spark, path, payloads=False), "records")
+    captures = cut(assemble(records).filter("response is not null").select("capture_id", "response.*", F.col("request").isNotNull().alias("has_request"), F.size("metadata").alias("n_metadata")), "captures")
     originals = captures.filter("kind = 'response'").select(F.col("capture_id").alias("refers_to"), F.col("page_id").alias("original"))
     again = captures.filter("kind = 'revisit'").join(originals, "refers_to", "left")
     shared = ("page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"))

@@ -1,5 +1,6 @@
 """Operators of seriesflow.llm on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, extra columns."""
 
+import gzip
 import hashlib
 import random
 import re
@@ -260,16 +261,57 @@ def test_mixing_of_odd_rows(spark):
 
 def test_warc_round_trip(spark, tmp_path):
     big = "<p>" + "é" * 200 + "\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n</p>"
-    rows = [(1, "http://a/x?y#z", big), (2, None, big), (3, "http://a/\r\nb", "small"), (4, "nothing", "small"), (5, "http://a", None), (6, "http://b", "x" * 100), (7, "http://b", "x" * 100), (7, "http://b", "x" * 100)]
-    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "w"), records_per_file=4)
+    long = "0123456789" * 300_000
+    rows = [(1, "http://a/x?y#z", big), (2, None, big), (3, "http://a/\r\nb", "small"), (4, "nothing", "small"), (5, "http://a", None), (6, "http://b", "x" * 100), (7, "http://b", "x" * 100), (7, "http://b", "x" * 100), (8, "http://l", long)]
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "w"), file_bytes=300)
     records = warc.read_archive(spark, str(tmp_path / "w"))
-    got = {r.response.page_id: r for r in warc.assemble(records).collect()}
-    assert sorted(got) == [1, 2, 3, 4, 5, 6, 7]
-    assert all(r.request is not None and len(r.metadata) == 1 for r in got.values())
+    every = [r for r in warc.assemble(records).collect()]
+    got = {r.response.page_id: r for r in every}
+    assert sorted(r.response.page_id for r in every) == [1, 2, 3, 4, 5, 6, 7, 7, 8]
+    assert all(r.request is not None and len(r.metadata) == 1 for r in every)
     assert bytes(got[1].response.payload) == big.encode() and got[1].response.payload_bytes == len(big.encode())
-    assert {k: r.response.kind for k, r in got.items()} == {1: "response", 2: "revisit", 3: "response", 4: "response", 5: "response", 6: "response", 7: "revisit"}
+    assert bytes(got[8].response.payload) == long.encode()
+    assert {k: r.response.kind for k, r in got.items()} == {1: "response", 2: "revisit", 3: "response", 4: "response", 5: "response", 6: "response", 7: "revisit", 8: "response"}
     assert got[2].response.refers_to == got[1].response.record_id and got[2].response.payload_digest == got[1].response.payload_digest
     assert got[2].response.payload_bytes == len(big.encode())
+    files = list((tmp_path / "w").iterdir())
+    assert len(files) >= 4 and all(f.name.endswith(".warc.gz") for f in files)
+    for f in files:
+        # A gzip member holds one record.
+        data = f.read_bytes()
+        while data:
+            member = zlib.decompressobj(31)
+            whole = member.decompress(data)
+            head, _, rest = whole.partition(b"\r\n\r\n")
+            size = int(re.search(rb"Content-Length: (\d+)", head)[1])
+            assert whole.startswith(b"WARC/1.1\r\n") and rest[size:] == b"\r\n\r\n"
+            data = member.unused_data
+
+
+def test_plain_archives_are_read_as_well(spark, tmp_path):
+    one = b"WARC/1.1\r\nWARC-Type: request\r\nWARC-Record-ID: <a>\r\nContent-Length: 9\r\n\r\nWARC/1.1\n\r\n\r\n"
+    (tmp_path / "plain.warc").write_bytes(one * 3)
+    (tmp_path / "packed.warc.gz").write_bytes(gzip.compress(one * 2) + gzip.compress(one))
+    assert [r.record_id for r in warc.read_archive(spark, str(tmp_path)).collect()] == ["<a>"] * 6
+
+
+def pages_query(spark, folder, rows):
+    spark.createDataFrame(rows, "page_id long, url string, html string, bytes string, digest string, n long").write.parquet(f"{folder}/pages.parquet")
+    return sorted((tuple(r)[:5] for r in warc.op7_warc(spark, str(folder)).select("page_id", "payload_bytes", "record_type", "refers_to", "has_request").collect()), key=str)
+
+
+def test_every_page_is_a_capture(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "COPIES", 2)
+    big, other, third = "y" * 150, "z" * 100, "w" * 120
+    extra = ("x", "x", 7)
+    rows = [(5, "u", big, *extra), (None, "u", big, *extra), (9, None, big, *extra), (9, None, big, *extra), (None, "a", other, *extra), (None, "a", other, *extra), (3, None, None, *extra), (3, None, None, *extra), *[(4, "v", third, *extra)] * 5]
+    want = [(5, 150, "response", None, True), (None, 150, "revisit", 5, True), (9, 150, "revisit", 5, True), (9, 150, "revisit", 5, True), (None, 100, "response", None, True), (None, 100, "revisit", None, True), (3, 0, "response", None, True), (3, 0, "response", None, True)]
+    want += [(4, 120, "response", None, True), *[(4, 120, "revisit", 4, True)] * 4]
+    assert pages_query(spark, tmp_path, rows) == sorted(want, key=str)
+
+
+def test_no_pages(spark, tmp_path):
+    assert pages_query(spark, tmp_path, []) == []
 
 
 def test_assembly_follows_identifiers(spark):
