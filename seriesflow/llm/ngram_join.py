@@ -1,19 +1,22 @@
 """Similarity join on word shingles: T-occurrence search with DivideSkip, and the classes that links form.
 
 Two documents link when their sets of shingles have a Jaccard similarity of at least num / den. Of the n inverted lists of
-a document, a partner with the needed overlap T occurs in at least one of the n - T + 1 shortest. DivideSkip merges those
-and only probes the T - 1 longest:
+a document, a partner with the needed overlap T occurs in at least one of the n - T + 1 shortest.
 
 1. A pass over all documents counts shingles and tells which are frequent; it gives the order of lists by length. (Any
-   order gives right results; a good one gives short merges.)
+   order gives right results; a good one gives short lists.)
 2. Documents with identical sets are one class, which goes on as its smallest id.
-3. Short lists are merged by sorting on the shingle. Each list first proposes links to its smallest member only, which are
-   verified; so thousands of near copies cost a link each, not all pairs. Lists that then still hold several components
-   propose the pairs between different components. A pair has to pass the bounds by size, by position, and by a vector of
-   counts of shingles by hash (about one count for four shingles): what two vectors differ by is a lower bound of what the sets differ by.
-4. Candidates are verified by binary probes of the one document's shingles in the other's sorted list.
-
-Nothing is capped: a list of any length is merged, split over tasks by Spark where it is skewed.
+3. The short lists deal documents to blocks. Each list first proposes its smallest member as a query against its other members,
+   so thousands of near copies cost a search each, not all pairs. Lists that then still hold several components propose the pairs
+   between different components, within neighbouring classes of set sizes. A pair has to pass the bounds by size, by position, and by
+   a vector of counts of shingles by hash (about one count for four shingles): what two vectors differ by is a lower bound of what
+   the sets differ by.
+4. A block is a query and sets to search: these are indexed as inverted lists, and DivideSkip finds the sets that occur in T of
+   the query's lists. The L longest lists are set apart, L being where merging and probing cost least. The others are merged; a set
+   that occurs in T - L of them is looked up by binary search in each of the L long ones, and is retained if it reaches T.
+
+Nothing is capped: a list of any length is dealt out, and one that holds a large share of all rows stays where it is and meets what
+it joins by a broadcast of such lists' heads, of which there are few.
 
 Null and empty texts, and texts of white space, have an empty set and link with nothing. Rows that repeat an id are
 different texts of one document. Rows without an id are one document whose id sorts last. Extra columns are ignored.
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import cut, documents, mix64, shingles, text_chunks, words
+from .shared import cut, documents, join_counted, mix64, shingles, text_chunks, words
 
 SLOT_BITS = 20
 #: A set's vector has a power of two of counts, at least a quarter of its size, within these bounds.
@@ -35,7 +38,7 @@ LEAST_COUNTS, MOST_COUNTS = 32, 1 << 16
 NO_ID = (1 << 63) - 1
 #: Up to so many ids (of 8 bytes) a table of ids is broadcast; a larger one is joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-#: Shingles of a block of sets that are verified together, about.
+#: Shingles of a block of sets that are searched together, about.
 BLOCK_ITEMS = 50_000
 
 
@@ -166,60 +169,117 @@ def _sets_of(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
 def _blocks(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(c, block, a, b): pairs by their first document c, those of a document with many dealt out to blocks of bounded size by b."""
     sizes = sets.groupBy(F.col("id").alias("b")).agg(F.max(F.size("items")).alias("n"))
-    many = pairs.join(sizes, "b").groupBy("a").agg((F.expr(f"sum(n) div {BLOCK_ITEMS}") + 1).alias("blocks")).filter("blocks > 1")
-    return pairs.join(cut(many, "large"), "a", "left").select(F.col("a").alias("c"), F.pmod(F.xxhash64("b"), F.coalesce("blocks", F.lit(1))).alias("block"), "a", "b")
+    many = pairs.join(sizes, "b").groupBy("a").agg((F.expr(f"sum(n) div {BLOCK_ITEMS}") + 1).alias("blocks"), F.count(F.lit(1)).alias("m")).filter("blocks > 1")
+    many = cut(many, "large")
+    few = pairs.join(F.broadcast(many) if many.count() <= BROADCAST_IDS else many, "a", "left")
+    return few.select(F.col("a").alias("c"), F.pmod(F.xxhash64("b"), F.coalesce("blocks", F.lit(1))).alias("block"), "a", "b")
+
+
+class Lists:
+    """Inverted lists of a block's sets: for each shingle the sets that have it, in order."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        items = np.concatenate(sets)
+        order = np.argsort(items, kind="stable")
+        self.members = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.items, begins = np.unique(items[order], return_index=True)
+        self.begins = np.append(begins, len(items))
+
+    def reaching(self, query: np.ndarray, num: int, den: int) -> np.ndarray:
+        """The sets whose overlap with the query is large enough, by DivideSkip."""
+        needed = -(-num * (len(query) + self.sizes) // (num + den))
+        at = np.searchsorted(self.items, query)
+        at[at == len(self.items)] = 0
+        at = at[self.items[at] == query]
+        lengths = self.begins[at + 1] - self.begins[at]
+        by = np.argsort(-lengths, kind="stable")
+        at, lengths = at[by], lengths[by]
+        n_long = self._long(lengths, int(needed.min()))
+        short = at[n_long:]
+        # Lists laid end to end are merged by one sort; a run is a set, its length the number of its lists.
+        found, occurs = np.unique(self.members[_ranges(self.begins[short], lengths[n_long:])], return_counts=True)
+        if n_long:
+            # Sets of no short list stay out: more than n_long occurrences are needed.
+            near = occurs >= needed[found] - n_long
+            found, occurs = found[near], occurs[near]
+            for k in range(n_long):
+                one = self.members[self.begins[at[k]] : self.begins[at[k]] + lengths[k]]
+                place = np.searchsorted(one, found)
+                place[place == len(one)] = 0
+                occurs = occurs + (one[place] == found)
+                # What can't reach its threshold any more isn't looked up again.
+                left = occurs + (n_long - 1 - k) >= needed[found]
+                found, occurs = found[left], occurs[left]
+                if not len(found):
+                    break
+        return found[occurs >= needed[found]]
+
+    def _long(self, lengths: np.ndarray, needed: int) -> int:
+        """How many of the longest lists to probe: less than needed, and where merging the others and probing these cost least."""
+        most = min(len(lengths), needed - 1)
+        if most <= 0:
+            return 0
+        n = np.arange(most + 1)
+        merged = lengths.sum() - np.append(0, np.cumsum(lengths[:most]))
+        candidates = np.minimum(merged / (needed - n), len(self.sizes))
+        # A probe of a list by itself costs a call, as much as some hundred entries of a merge.
+        cost = merged * np.log2(merged + 2) + n * (candidates * np.log2(lengths[0] + 1) + 100)
+        return int(cost.argmin())
+
+
+def _ranges(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of begins[k] .. begins[k] + lengths[k], one range after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - lengths), lengths)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links that connect what the pairs with the needed overlap connect. A pair that earlier links of its block connect is skipped.
+    """The pairs with the needed overlap.
 
-    A block has each of its sets once, before its pairs, so that sets aren't shipped with every pair."""
+    A block has its query's sets first (several if the query's id has several texts), then those to search, each once."""
     blocks = cut(_blocks(pairs, sets), "blocks")
-    needed = blocks.select("c", "block", F.col("a").alias("id")).union(blocks.select("c", "block", "b")).distinct()
-    none = F.lit(None)
-    rows = needed.join(sets, "id").select("c", "block", F.lit(0).alias("kind"), F.col("id").alias("a"), none.cast("long").alias("b"), "items")
-    rows = rows.unionByName(blocks.select("c", "block", F.lit(1).alias("kind"), "a", "b", none.cast("array<long>").alias("items")))
-
-    def probe(batches):
-        now, held, top = None, {}, {}
-
-        def root(x):
-            while top.get(x, x) != x:
-                top[x] = x = top.get(top[x], top[x])
-            return x
-
-        def overlap(x, y):
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.searchsorted(y, x)
-            at[at == len(y)] = 0
-            return int(np.count_nonzero(y[at] == x))
+    rows = blocks.select("c", "block", F.lit(0).alias("kind"), F.col("a").alias("id")).distinct().unionByName(blocks.select("c", "block", F.lit(1).alias("kind"), F.col("b").alias("id")).distinct())
+    rows = rows.join(sets, "id")
+
+    def search(batches):
+        now, queries, ids, members = None, [], [], []
+
+        def found():
+            if not queries or not members:
+                return np.zeros(0, np.int64)
+            lists = Lists(members)
+            hits = np.unique(np.concatenate([lists.reaching(q, num, den) for q in queries]))
+            return np.unique(np.array(ids, np.int64)[hits])
 
         for batch in batches:
             items = batch.column("items")
             offs, values = items.offsets.to_numpy(), items.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            c, block, kind = (batch.column(n).to_numpy() for n in ("c", "block", "kind"))
-            left, right = batch.column("a").to_numpy(), batch.column("b").fill_null(0).to_numpy()
-            found = []
+            c, block, kind, of = (batch.column(n).to_numpy() for n in ("c", "block", "kind", "id"))
+            out = []
             for k in range(batch.num_rows):
                 if (c[k], block[k]) != now:
-                    now, held, top = (c[k], block[k]), {}, {}
+                    if now is not None:
+                        out.append((now[0], found()))
+                    now, queries, ids, members = (c[k], block[k]), [], [], []
+                one = values[offs[k] : offs[k + 1]].copy()
                 if kind[k] == 0:
-                    # An id with several texts has several sets.
-                    held.setdefault(left[k], []).append(values[offs[k] : offs[k + 1]].copy())
-                elif root(left[k]) != root(right[k]):
-                    for x in held.get(left[k], ()):
-                        for y in held.get(right[k], ()):
-                            both = overlap(x, y)
-                            if den * both >= num * (len(x) + len(y) - both):
-                                top[root(left[k])] = root(right[k])
-                    if root(left[k]) == root(right[k]):
-                        found.append((left[k], right[k]))
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["a", "b"])
+                    queries.append(one)
+                else:
+                    ids.append(of[k])
+                    members.append(one)
+            yield linked(out)
+        if now is not None:
+            yield linked([(now[0], found())])
+
+    def linked(out):
+        a = np.repeat(np.array([x[0] for x in out], np.int64), [len(x[1]) for x in out]) if out else np.zeros(0, np.int64)
+        b = np.concatenate([x[1] for x in out]) if out else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(parts, "c", "block").sortWithinPartitions("c", "block", "kind", "b", "a")
-    return cut(dealt.mapInArrow(probe, "a long, b long"), "links")
+    dealt = rows.select("c", "block", "kind", "id", "items").repartition(parts, "c", "block").sortWithinPartitions("c", "block", "kind", "id")
+    return cut(dealt.mapInArrow(search, "a long, b long"), "links")
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -235,21 +295,25 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies = cut(copies.join(same.select(F.col("rep").alias("id")), "id", "left_anti"), "copies")
     reps = full.select("id", "n", "prefix", "counts").join(_few(copies), "id", "left_anti")
     lists = reps.select("id", "n", F.posexplode("prefix").alias("pos", "h"))
-    heads = lists.groupBy("h").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    merged = cut(lists.join(heads, "h").select("h", "id", "n", "pos", "hub", "m"), "merged")
+    # The query that a list proposes: its smallest member.
+    hub = F.min(F.struct("id", "n", "pos")).alias("hub")
+    heads = cut(lists.groupBy("h").agg(hub, F.count(F.lit(1)).alias("m")).filter("m > 1"), "heads")
+    told = ("h", "id", "n", "pos", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.pos").alias("hub_pos"), "m")
+    merged = cut(join_counted(lists, heads, "h").select(*told), "merged")
     small = reps.select("id", "n", "counts")
-    hubs = merged.filter("id = hub").select("h", F.col("n").alias("hub_n"), F.col("pos").alias("hub_pos"))
-    stars = merged.filter("id <> hub").join(hubs, "h").filter(_may_link("n", "pos", "hub_n", "hub_pos", num, den)).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    stars = merged.filter("id <> hub").filter(_may_link("n", "pos", "hub_n", "hub_pos", num, den)).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     stars = cut(_near(stars, small, num, den), "stars")
     sets = _sets_of(stars, docs, size)
     links = _verified(stars, sets, num, den)
-    first = cut(components(links), "components")
-    named = merged.filter("m > 2").join(first.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("c", F.coalesce("component", "id"))
-    several = named.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("h")
-    rest = cut(named.filter("id <> hub").join(several, "h", "left_semi").select("h", "id", "n", "pos", "c"), "rest")
-    x = rest.select("h", F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("c").alias("ca"))
-    y = rest.select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("c").alias("cb"))
-    pairs = x.join(y, (x["h"] == y["h"]) & (x["a"] < y["b"]) & (x["ca"] != y["cb"]) & _may_link("na", "pa", "nb", "pb", num, den)).select("a", "b").distinct()
+    first = components(links)
+    named = cut(merged.filter("m > 2").join(first.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("c", F.coalesce("component", "id")), "named")
+    several = cut(named.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("rows")).filter("lo < hi").select("h", "rows"), "several")
+    # Sets that link have sizes of the same class or of neighbouring ones: classes are wider than the ratio that a link allows.
+    kind = F.floor(F.log("n") / float(np.log(1.001 * den / num))).cast("int")
+    rest = cut(join_counted(named.filter("id <> hub").select("h", "id", "n", "pos", "c", kind.alias("kind")), several, "h", "rows"), "rest")
+    x = rest.select("h", F.explode(F.array(*(F.col("kind") + k for k in (-1, 0, 1)))).alias("kind"), F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("c").alias("ca"))
+    y = rest.select("h", "kind", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("c").alias("cb"))
+    pairs = x.join(y, (x["h"] == y["h"]) & (x["kind"] == y["kind"]) & (x["a"] < y["b"]) & (x["ca"] != y["cb"]) & _may_link("na", "pa", "nb", "pb", num, den)).select("a", "b").distinct()
     pairs = cut(_near(pairs, small, num, den), "pairs")
     more = pairs if pairs.isEmpty() else _verified(pairs, _sets_of(pairs, docs, size), num, den)
     # An id with several texts belongs to the classes of all of them.
@@ -259,7 +323,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     extra = cut(more.unionByName(own), "extra")
     to = lambda side: first.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
     lifted = extra.join(to("a"), "a", "left").join(to("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    second = cut(components(lifted), "components").select(F.col("node").alias("c"), F.col("component").alias("second"))
+    second = components(lifted).select(F.col("node").alias("c"), F.col("component").alias("second"))
     member = same.join(first.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
     member = member.join(second, "c", "left").withColumn("component", F.coalesce("second", "c"))
     found = full.select("id", "n", "k1", "k2").join(cut(member.select("k1", "k2", "n", "component"), "members"), ["k1", "k2", "n"]).select("id", "n", "component")

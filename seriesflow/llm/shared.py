@@ -74,6 +74,19 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_counted(rows: DataFrame, counted: DataFrame, on: str, m: str = "m") -> DataFrame:
+    """rows joined with a written table of one row a key, which has in m how many of rows have the key.
+
+    Keys with so many rows that a task would notice are few, at most four a partition: they are broadcast, so that their rows stay where they are."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bound = (counted.agg(F.sum(m)).first()[0] or 0) // (4 * parts) + 1
+    hot = counted.filter(F.col(m) > bound)
+    if hot.isEmpty():
+        return rows.join(counted, on)
+    others = rows.join(F.broadcast(hot.select(on)), on, "left_anti").join(counted.filter(F.col(m) <= bound), on)
+    return rows.join(F.broadcast(hot), on).unionByName(others)
+
+
 def smallest_hashes(rows: DataFrame, column: str, n: int) -> DataFrame:
     """At most n rows, those whose column has the smallest hash. Hashes alone give the bound, so that no task sends more rows than are used."""
     hashed = rows.withColumn("__h", F.xxhash64(column))

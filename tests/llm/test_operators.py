@@ -161,6 +161,21 @@ def test_jaccard_classes(spark, size, num):
     assert sorted(tuple(r) for r in got.collect()) == brute_classes(list(enumerate(texts)), size, num, 100)
 
 
+@pytest.mark.parametrize(("num", "den"), [(90, 100), (50, 100), (1, 100)])
+def test_divide_skip(num, den):
+    rng = np.random.default_rng(num)
+    common = np.arange(60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.permutation(common)[: rng.integers(1, 60)], rng.integers(100, 400, rng.integers(0, 30)).astype(np.uint64)])) for _ in range(80)]
+    sets += [np.delete(s, rng.integers(0, len(s), len(s) // 12)) for s in sets[:40] if len(s) > 1]
+    sets = [s for s in sets if len(s)]
+    lists = ngram_join.Lists(sets)
+    for cost in (lists._long, lambda lengths, needed: 0, lambda lengths, needed: min(len(lengths), needed - 1)):
+        lists._long = cost
+        for q in [*sets[:30], np.array([7, 5000], np.uint64), np.array([5000], np.uint64)]:
+            want = [k for k, s in enumerate(sets) if den * len(np.intersect1d(q, s)) >= num * len(np.union1d(q, s))]
+            assert lists.reaching(q, num, den).tolist() == want
+
+
 def test_classes_with_repeated_and_missing_ids(spark):
     got = ngram_join.jaccard_classes(docs_of(spark, ["a b c d e f", "x y z u v w", "a b c d e f", "x y z u v w", "lone text of its own here"], [5, 5, None, 9, 7]))
     assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([(5, 2, 5), (5, 2, 5), (None, 2, 5), (9, 2, 5), (7, 2, 7)], key=str)
