@@ -1,18 +1,24 @@
 """Quality classifier by positive-unlabelled learning.
 
-Trusted positives and unlabelled web text are all that the loss sees. With class prior p, the risk is
-p * R_pos(+) + max(0, R_unl(-) - p * R_pos(-)), the non-negative unbiased estimate, for the logistic loss and a linear
-model of style features. The prior is estimated from the labelled rows of the training fold (their share of positives), or,
-where these have positives only, by the share of unlabelled texts that score like positives. A last step maps the
-model's output to a probability; it is fitted on labelled rows of the training fold.
+Trusted positives and unlabelled web text are all that is learnt from: which texts were labelled negative is never used. With class prior
+p, the risk of a linear model of style features is p * R_pos(+) + max(0, R_unl(-) - p * R_pos(-)), the non-negative unbiased
+estimate, for the logistic loss. Under that loss the first part of both terms joins to -p * (mean of the positives' margins), so the risk is
+convex, and Newton's method finds its least; where the part in max() gets below zero, and so overfits, its square is a penalty that
+turns steps back. Each step is a pass over all training texts, whose partial sums the tasks return: nothing is sampled.
+
+The prior is the least share of unlabelled to positive texts among those that score above some bound (with a margin for chance, which
+picks the bound), as above a good bound nearly all unlabelled texts are positive. Model and prior are fitted in turn. The logistic
+loss makes the model's output a probability under that prior; no label calibrates it.
 
 Features come from the whole text only: character classes, line and word shapes, repetition, and a hashed histogram of
 byte pairs. Labels, language, source and id are never features. Null and empty texts have the features of an empty text
-and get a score like any other. Rows that repeat get the same score. Without training rows every score is 0.5.
+and get a score like any other. Rows that repeat get the same score, and count as often as they occur. Rows without an id are never in a
+training fold (nor held out). Without a positive text every score is 0.5. Extra columns are ignored, or kept where columns are passed on.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,12 +27,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import documents, shingles, text_chunks, words
+from .shared import cut, documents, shingles, text_chunks, words
 
 PAIRS = 96
-#: Most rows of each kind (positive, unlabelled, labelled for calibration) that the fit uses: those with the smallest hash.
-FIT_ROWS = 10_000
 THRESHOLD = 0.3
+#: Weight of the squared weights in the risk.
+DECAY = 1e-3
+#: Most passes of a fit; it ends before when a step changes the risk by less than TOLERANCE.
+PASSES = 12
+TOLERANCE = 1e-6
+#: Weight of the penalty on a negative estimate of the negatives' risk.
+PENALTY = 100.0
+#: Times that model and prior are fitted in turn.
+TURNS = 3
+BINS = 2000
 
 _CLASS = np.zeros(256, np.int64)
 for _k, _chars in enumerate((range(65, 91), range(97, 123), range(48, 58), b"!?", b"|", b"#$%&*@^~<>{}[]\\=_", b".,;:", b"'\"()-/", range(128, 192), range(192, 256), b"\n", b" \t\r"), 1):
@@ -82,15 +96,16 @@ WIDTH = features(np.zeros(0, np.uint8), np.zeros(2, np.int64)).shape[1]
 
 
 def text_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs without the text, with its features."""
+    """docs without the text, with its features as the bytes of 32-bit floats."""
     rest = [c for c in docs.columns if c != text_col]
-    schema = T.StructType([docs.schema[c] for c in rest]).add("features", T.ArrayType(T.DoubleType()))
+    schema = T.StructType([docs.schema[c] for c in rest]).add("features", "binary")
 
     def compute(batches):
         for batch in batches:
             parts = [features(data, offs) for _, _, data, offs in text_chunks(batch, text_col)]
-            flat = np.concatenate(parts) if parts else np.zeros((0, WIDTH))
-            cells = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * WIDTH, pa.int32()), pa.array(flat.ravel()))
+            flat = (np.concatenate(parts) if parts else np.zeros((0, WIDTH))).astype(np.float32)
+            offsets = np.arange(len(flat) + 1, dtype=np.int32) * (4 * WIDTH)
+            cells = pa.Array.from_buffers(pa.binary(), len(flat), [None, pa.py_buffer(offsets), pa.py_buffer(flat.tobytes())])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), cells], [*rest, "features"])
 
     return docs.select(*rest, text_col).mapInArrow(compute, schema)
@@ -102,118 +117,151 @@ class Scorer:
     scale: np.ndarray
     weights: np.ndarray
     bias: float
-    slope: float
-    shift: float
     prior: float
 
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.scale, -8, 8)
+
     def margin(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights + self.bias
+        return self.standard(x) @ self.weights + self.bias
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.margin(x) + self.shift, -30, 30)))
-
-
-def _descend(x: np.ndarray, gradient, steps: int, rate: float) -> np.ndarray:
-    """Adam on the vector x."""
-    m, v = np.zeros_like(x), np.zeros_like(x)
-    for t in range(1, steps + 1):
-        g = gradient(x)
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        x = x - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return x
-
-
-def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.02, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk on standardised features."""
-    p1, u1 = np.column_stack([positive, np.ones(len(positive))]), np.column_stack([unlabelled, np.ones(len(unlabelled))])
-
-    def slope(x, w, sign):
-        """Mean gradient, and mean, of the loss log(1 + exp(-sign * margin))."""
-        z = np.clip(sign * (x @ w), -30, 30)
-        return x.T @ (-sign / (1 + np.exp(z))) / len(x), np.logaddexp(0, -z).mean()
-
-    def gradient(w):
-        up, _ = slope(p1, w, 1.0)
-        down, r_pos = slope(p1, w, -1.0)
-        rest, r_unl = slope(u1, w, -1.0)
-        negative = r_unl - prior * r_pos
-        # Below zero the negative part overfits: step back on it instead.
-        g = prior * up + (rest - prior * down) if negative >= 0 else prior * down - rest
-        return g + decay * np.append(w[:-1], 0.0)
-
-    w = _descend(np.zeros(p1.shape[1]), gradient, steps, rate)
-    return w[:-1], float(w[-1])
-
-
-def _matrix(samples: DataFrame) -> tuple[np.ndarray, np.ndarray | None]:
-    """The features of a bounded sample, and its quality if it has one. Arrow columns become arrays without Python objects in between."""
-    table = text_features(samples).toArrow()
-    x = table.column("features").combine_chunks()
-    x = x.flatten().to_numpy(zero_copy_only=False) if len(table) else np.zeros(0)
-    y = table.column("quality").to_numpy().astype(float) if "quality" in table.column_names else None
-    return x.reshape(len(table), WIDTH), y
-
-
-def train(positive: DataFrame, unlabelled: DataFrame, labelled: DataFrame) -> Scorer | None:
-    """positive(text), unlabelled(text), labelled(text, quality): bounded samples of the training fold. None without positives."""
-    p, _ = _matrix(positive.select("text"))
-    if not len(p):
+        return 1 / (1 + np.exp(-np.clip(self.margin(x), -30, 30)))
+
+
+def _added(rows: DataFrame, of: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """rows(positive, features) -> the sum over all batches of what `of` makes of their features and which are positive.
+
+    Tasks add up their batches, and a shuffle of one row a task those of tasks, before the driver gets them."""
+
+    def part(batches):
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                column = batch.column("features")
+                data = np.frombuffer(column.buffers()[2], np.float32)
+                first = int(np.frombuffer(column.buffers()[1], np.int32)[column.offset]) // 4
+                x = data[first : first + batch.num_rows * WIDTH].reshape(-1, WIDTH)
+                one = of(x.astype(np.float64), batch.column("positive").to_numpy(zero_copy_only=False))
+                total = one if total is None else total + one
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    def join(batches):
+        total = None
+        for batch in batches:
+            for one in batch.column("sums").to_pylist():
+                one = np.frombuffer(one)
+                total = one if total is None else total + one
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sums = [np.frombuffer(r.sums) for r in rows.mapInArrow(part, "sums binary").repartition(parts).mapInArrow(join, "sums binary").collect()]
+    return np.sum(sums, axis=0) if sums else np.zeros(0)
+
+
+def _softplus(z: np.ndarray) -> np.ndarray:
+    return np.logaddexp(0, z)
+
+
+def risk_terms(x: np.ndarray, positive: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Sums over a batch of standardised features with a last column of ones: number, loss when called negative, the loss's gradient
+    and its second derivatives of all texts; number, loss, gradient and features of the positives."""
+    z = x @ w
+    s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    p = x[positive]
+    return np.concatenate([[len(x), _softplus(z).sum()], x.T @ s, ((x * (s * (1 - s))[:, None]).T @ x).ravel(), [len(p), _softplus(z[positive]).sum()], p.T @ s[positive], p.sum(axis=0)])
+
+
+def fit_nnpu(terms: Callable[[np.ndarray], np.ndarray], width: int, prior: float, start: np.ndarray | None = None, passes: int = PASSES, decay: float = DECAY) -> np.ndarray:
+    """The weights (the bias last) that minimise the non-negative risk; terms(w) are the sums of risk_terms over all texts."""
+    size = width + 1
+    ridge = np.append(np.full(width, decay), 1e-9)
+    places = np.cumsum([2, size, size * size, 2, size])
+    best = None
+    w = np.zeros(size) if start is None else start
+    for _ in range(passes):
+        (n, loss), gradient, hessian, (n_pos, loss_pos), gradient_pos, centre = np.split(terms(w), places)
+        negative = loss / n - prior * loss_pos / n_pos
+        below = min(0.0, negative)
+        risk = loss / n - prior * w @ centre / n_pos + ridge @ (w * w) / 2 + PENALTY / 2 * below**2
+        if best is not None and risk > best[0]:
+            w = (best[1] + w) / 2
+            continue
+        done = best is not None and best[0] - risk < TOLERANCE
+        best = (risk, w)
+        if done:
+            break
+        slope = gradient / n - prior * gradient_pos / n_pos
+        bend = hessian.reshape(size, size) / n + np.diag(ridge) + (PENALTY * np.outer(slope, slope) if below else 0)
+        w = w - np.linalg.solve(bend, gradient / n - prior * centre / n_pos + ridge * w + PENALTY * below * slope)
+    return best[1]
+
+
+def prior_of(positive: np.ndarray, unlabelled: np.ndarray, gamma: float = 0.01, delta: float = 0.1) -> float:
+    """The class prior from histograms of scores, bins in rising order."""
+    n_p, n_u = positive.sum(), unlabelled.sum()
+    above_p, above_u = np.cumsum(positive[::-1]) / n_p, np.cumsum(unlabelled[::-1]) / n_u
+    ok = above_p > 0
+    above_p, above_u = above_p[ok], above_u[ok]
+    chance = np.sqrt(np.log(4 / delta) / (2 * n_u)) + np.sqrt(np.log(4 / delta) / (2 * n_p))
+    k = int((above_u / above_p + (1 + gamma) / above_p * chance).argmin())
+    return float(np.clip(above_u[k] / above_p[k], 0.01, 0.99))
+
+
+def train(rows: DataFrame) -> Scorer | None:
+    """rows(positive, features), a written table of the training texts: all of them are the unlabelled ones. None without positives."""
+    sums = _added(rows, lambda x, y: np.concatenate([[len(x), np.count_nonzero(y)], x.sum(axis=0), (x * x).sum(axis=0)]))
+    if not len(sums) or not sums[1]:
         return None
-    u, _ = _matrix(unlabelled.select("text"))
-    u = u if len(u) else p
-    k, y = _matrix(labelled.select("text", "quality"))
-    both = np.concatenate([p, u])
-    mean, scale = both.mean(axis=0), both.std(axis=0) + 1e-6
-    std = lambda x: np.clip((x - mean) / scale, -8, 8)
-    mixed = len(y) and 0 < y.mean() < 1
-    prior = float(y.mean()) if mixed else 0.5
-    w, b = fit_nnpu(std(p), std(u), prior)
-    if not mixed:
-        cut_at = np.quantile(std(p) @ w + b, 0.05)
-        prior = float(np.clip((std(u) @ w + b >= cut_at).mean() / 0.95, 0.05, 0.95))
-        w, b = fit_nnpu(std(p), std(u), prior)
-    out = Scorer(mean, scale, w, b, 4.0, 0.0, prior)
-    if mixed:
-        m = out.margin(k)
-        spread = m.std() + 1e-9
-
-        def gradient(a):
-            z = 1 / (1 + np.exp(-np.clip(a[0] * m / spread + a[1], -30, 30)))
-            return np.array([((z - y) * m / spread).mean() + 1e-3 * a[0], (z - y).mean()])
-
-        a = _descend(np.array([1.0, 0.0]), gradient, 2000, 0.05)
-        out.slope, out.shift = float(a[0] / spread), float(a[1])
+    mean = sums[2 : 2 + WIDTH] / sums[0]
+    scale = np.sqrt(np.maximum(sums[2 + WIDTH :] / sums[0] - mean * mean, 0)) + 1e-6
+    out = Scorer(mean, scale, np.zeros(WIDTH), 0.0, 0.5)
+    decay = DECAY + 1 / sums[0]
+
+    def terms(w):
+        return _added(rows, lambda x, y: risk_terms(np.column_stack([out.standard(x), np.ones(len(x))]), y, w))
+
+    def scores(x, y):
+        bins = np.minimum((out.score(x) * BINS).astype(np.int64), BINS - 1)
+        return np.concatenate([np.bincount(bins[y], minlength=BINS), np.bincount(bins, minlength=BINS)]).astype(float)
+
+    w = None
+    for turn in range(TURNS):
+        w = fit_nnpu(terms, WIDTH, out.prior, w, decay=decay)
+        out = Scorer(mean, scale, w[:-1], float(w[-1]), out.prior)
+        if turn < TURNS - 1:
+            histogram = _added(rows, scores)
+            out.prior = prior_of(histogram[:BINS], histogram[BINS:])
     return out
 
 
-def score(docs: DataFrame, scorer: Scorer | None, text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """docs with score, and without the text unless keep_text."""
+def score(docs: DataFrame, scorer: Scorer | None, text_col: str = "text", keep_text: bool = False, name: str = "score") -> DataFrame:
+    """docs with a column `name` for the score, in place of one that has this name, and without the text unless keep_text."""
+    docs = docs.drop(name)
     rest = [c for c in docs.columns if c != text_col]
     kept = docs.columns if keep_text else rest
     if scorer is None:
-        return docs.select(*kept, F.lit(0.5).alias("score"))
-    schema = T.StructType([docs.schema[c] for c in kept]).add("score", "double")
+        return docs.select(*kept, F.lit(0.5).alias(name))
+    schema = T.StructType([docs.schema[c] for c in kept]).add(name, "double")
 
     def compute(batches):
         for batch in batches:
             parts = [scorer.score(features(data, offs)) for _, _, data, offs in text_chunks(batch, text_col)]
             flat = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(flat)], [*kept, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(flat)], [*kept, name])
 
     return docs.select(*rest, text_col).mapInArrow(compute, schema)
 
 
-def fold_scorer(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Scorer | None:
-    """A scorer learnt from labels of rows whose crc32(id) mod 5 isn't 0, and from texts of such rows without a label."""
+def fold_scorer(docs: DataFrame, labels: DataFrame) -> Scorer | None:
+    """A scorer learnt from the texts of rows whose crc32(id) mod 5 isn't 0, and which of them are labelled 1 (and never 0)."""
     fold = docs.select("doc_id", "text").filter("doc_id is not null").filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
-    marks = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    # Pick the rows by id first; texts are read for the picked ones only.
-    ids = fold.select("doc_id").join(marks, "doc_id", "left").select("doc_id", "quality", F.xxhash64("doc_id").alias("h"))
-    kinds = (ids.filter("quality = 1"), ids.filter("quality is null"), ids.filter("quality is not null"))
-    picked = [k.orderBy("h", "doc_id").limit(rows).select("doc_id", "quality") for k in kinds]
-    # At most `rows` ids each.
-    parts = [fold.join(F.broadcast(k), "doc_id").select("text", "quality") for k in picked]
-    return train(*parts)
+    trusted = labels.groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("quality")).filter("quality = 1").select("doc_id", F.lit(True).alias("positive"))
+    # Features join labels, so that no text is shuffled.
+    marked = text_features(fold).join(trusted, "doc_id", "left").select(F.coalesce("positive", F.lit(False)).alias("positive"), "features")
+    return train(cut(marked, "features"))
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,13 +85,56 @@ def test_empty_tables(spark):
 # 2
 
 
-def test_classifier_learns_from_positives_and_unlabelled():
+def positives_and_unlabelled(n_good=4000, n_bad=800):
+    """Standardised features with ones, which are trusted positives, and which really are positive."""
     rng = np.random.default_rng(1)
-    good, bad = rng.normal(0, 1, (1500, 6)), rng.normal(0, 1, (300, 6)) + np.array([3, 0, -3, 0, 0, 0])
-    w, b = quality_classifier.fit_nnpu(good[:500], np.concatenate([good[500:1300], bad[:200]]), 0.8)
-    # Where to cut is a matter of the calibration; what counts here is that held-out rows are in order.
-    yes, no = good[1300:] @ w + b, bad[200:] @ w + b
-    assert (yes[:, None] > no[None, :]).mean() > 0.98
+    x = np.concatenate([rng.normal(0, 1, (n_good, 6)), rng.normal(0, 1, (n_bad, 6)) + np.array([3, 0, -3, 0, 0, 0])])
+    truth = np.arange(len(x)) < n_good
+    x = np.column_stack([(x - x.mean(axis=0)) / x.std(axis=0), np.ones(len(x))])
+    return x, truth & (rng.random(len(x)) < 0.4), truth
+
+
+def plain_risk(x, positive, w, prior, decay):
+    """The non-negative risk by the book."""
+    loss = lambda rows, sign: np.mean([np.log1p(np.exp(-sign * (row @ w))) for row in rows])
+    rest = loss(x, -1) - prior * loss(x[positive], -1)
+    return prior * loss(x[positive], 1) + max(0.0, rest) + decay / 2 * (w[:-1] @ w[:-1]), rest
+
+
+def test_fit_minimises_the_non_negative_risk():
+    x, positive, truth = positives_and_unlabelled(400, 80)
+    for prior, decay in ((0.83, 1e-3), (0.5, 1e-2)):
+        w = quality_classifier.fit_nnpu(lambda w: quality_classifier.risk_terms(x, positive, w), 6, prior, passes=60, decay=decay)
+        least, rest = plain_risk(x, positive, w, prior, decay)
+        assert rest >= -0.01
+        # No point near by has a lower risk, but where the estimate is more negative.
+        rng = np.random.default_rng(2)
+        for _ in range(60):
+            other, there = plain_risk(x, positive, w + rng.normal(0, 0.05, 7), prior, decay)
+            assert other >= least - 1e-3 or there < rest
+
+
+def test_classifier_learns_from_positives_and_unlabelled():
+    x, positive, truth = positives_and_unlabelled()
+    prior = 0.5
+    for _ in range(3):
+        w = quality_classifier.fit_nnpu(lambda w: quality_classifier.risk_terms(x, positive, w), 6, prior)
+        score = 1 / (1 + np.exp(-(x @ w)))
+        of = lambda rows: np.histogram(score[rows], 500, (0, 1))[0].astype(float)
+        prior = quality_classifier.prior_of(of(positive), of(np.ones(len(x), bool)))
+    assert prior == pytest.approx(truth.mean(), abs=0.05)
+    assert ((score >= 0.3) == truth).mean() > 0.95
+
+
+def test_held_out_labels_change_nothing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("features", F.lit(1)).withColumn("positive", F.lit(1))
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    turned = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
+    # Which training texts are labelled negative is of no account either.
+    fewer = labels.filter(held | (F.col("quality") == 1))
+    a, b, c = (quality_classifier.fold_scorer(docs, x) for x in (labels, turned, fewer))
+    assert np.allclose(a.weights, b.weights) and np.allclose(a.weights, c.weights) and a.prior == pytest.approx(c.prior)
 
 
 def test_features_do_not_depend_on_the_piece():
@@ -115,7 +158,7 @@ def test_quality_on_held_out_rows(spark):
 
 def test_scores_of_odd_texts(spark):
     texts = [None, "", " ", "word " * 40000, "word " * 40000]
-    scorer = quality_classifier.Scorer(np.zeros(quality_classifier.WIDTH), np.ones(quality_classifier.WIDTH), np.ones(quality_classifier.WIDTH), 0.0, 1.0, 0.0, 0.5)
+    scorer = quality_classifier.Scorer(np.zeros(quality_classifier.WIDTH), np.ones(quality_classifier.WIDTH), np.ones(quality_classifier.WIDTH), 0.0, 0.5)
     got = [r.score for r in quality_classifier.score(docs_of(spark, texts), scorer).orderBy("doc_id").collect()]
     assert got[0] == got[1] and got[3] == got[4] and all(0 <= s <= 1 for s in got)
 
