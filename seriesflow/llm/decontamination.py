@@ -5,12 +5,12 @@ it, all on diagonals (position in the text less position in the item) that diffe
 diagonals, each overlapping the next by half, so that every such region lies in one band; bands that reach the bound are
 aligned with the item in a band of edit-distance cells, and those within the budget of edits are leaks.
 
-Characters are compared after A-Z are lower-cased and each run of white space has become one space. Edits count in bytes of
-UTF-8. The budget is `rate` of the item's length, but never so much that the bound falls below one shared q-gram; items
+Characters (code points) are compared after A-Z are lower-cased and each run of white space has become one space. The budget is `rate` of the item's length, but never so much that the bound falls below one shared q-gram; items
 shorter than q leak where a text has them exactly. Items without any visible character match nothing.
 
-Items are a stated query set: they go to the tasks in blocks of bounded size, and each block meets all documents. Null and empty texts
-have no leaks. Rows that repeat are judged each by itself. Extra columns are ignored.
+Items are a stated query set: they go to the tasks in blocks of bounded size, and each block meets all documents. Shared q-grams are
+counted in parts of bounded size, and long texts in overlapping slices, so that a q-gram of many items or a long text costs time, not memory. Null and empty texts
+have no leaks. Of items that repeat an id the least edits count. Rows that repeat are judged each by itself. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +30,11 @@ RATE = 0.06
 #: Characters of items that go to the tasks at a time.
 BLOCK_CHARS = 4_000_000
 SLOT_BITS = 22
+#: Pairs of a q-gram in a text and in an item that are counted at a time.
+PART = 4_000_000
+#: Characters of a text that are searched at a time.
+SLICE = 4_000_000
+_NO_CHARACTER = 0x110000
 
 
 @dataclass
@@ -48,28 +53,37 @@ class Items:
 
 
 def _normal(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets after lower-casing and merging of white space."""
+    """Code points, and each text's place in them, of UTF-8 bytes after lower-casing and merging of white space."""
     space = _IS_SPACE[data]
     keep = np.ones(len(data), bool)
     keep[1:] = ~(space[1:] & space[:-1])
     inner = offs[:-1][offs[:-1] < len(data)]
     keep[inner] = True
-    total = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(keep, out=total[1:])
     out = np.where(space, np.uint8(32), _LOWER[data])[keep]
-    return out, total[offs]
+    begins = keep & ((data & 0xC0) != 0x80)
+    total = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(begins, out=total[1:])
+    return np.frombuffer(out.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32), total[offs]
+
+
+_BASE = 0x9E3779B97F4A7C15
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
-    """A hash of the q-gram that begins at each byte, for all but the last Q - 1."""
+    """A hash of the q-gram that begins at each character, for all but the last Q - 1."""
     if len(data) < Q:
         return np.zeros(0, np.uint64)
+    power = lambda n: np.uint64(pow(_BASE, n, 1 << 64))
     x = data.astype(np.uint64)
-    two = x[:-1] | (x[1:] << np.uint64(8))
-    four = two[:-2] | (two[2:] << np.uint64(16))
-    eight = four[:-4] | (four[4:] << np.uint64(32))
+    two = x[:-1] * power(1) + x[1:]
+    four = two[:-2] * power(2) + two[2:]
+    eight = four[:-4] * power(4) + four[4:]
     n = len(data) - Q + 1
-    return (eight[:n] * np.uint64(0x9E3779B97F4A7C15)) ^ (four[8 : 8 + n] * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xFF51AFD7ED558CCD)
+    return (eight[:n] * power(4) + four[8 : 8 + n]) * np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _text(data: np.ndarray) -> str:
+    return data.tobytes().decode("utf-32-le")
 
 
 def index_items(ids: list[int], texts: list[str], rate: float = RATE) -> Items:
@@ -77,7 +91,7 @@ def index_items(ids: list[int], texts: list[str], rate: float = RATE) -> Items:
     for t in texts:
         raw = np.frombuffer((t or "").encode("utf-8", "replace"), np.uint8)
         body = _normal(raw, np.array([0, len(raw)]))[0]
-        clean.append(np.frombuffer(body.tobytes().strip(b" "), np.uint8))
+        clean.append(np.frombuffer(_text(body).strip(" ").encode("utf-32-le"), np.uint32))
     size = np.array([len(c) for c in clean], np.int64)
     budgets = np.maximum(np.minimum((rate * size).astype(np.int64), (size - Q) // Q), 0)
     needed = np.maximum(size - Q + 1 - budgets * Q, 1)
@@ -97,7 +111,7 @@ def banded_edits(item: np.ndarray, text: np.ndarray, first: int, width: int, bud
     inf = budget + 1
     band = np.arange(width + 1)
     row = np.where((first + band >= 0) & (first + band <= len(text)), 0, inf)
-    padded = np.full(len(item) + len(text) + 2 * width + abs(first) + 4, 256, np.int64)
+    padded = np.full(len(item) + len(text) + 2 * width + abs(first) + 4, _NO_CHARACTER, np.int64)
     shift = abs(first) + width + 1
     padded[shift : shift + len(text)] = text
     for i, c in enumerate(item, 1):
@@ -115,64 +129,109 @@ def banded_edits(item: np.ndarray, text: np.ndarray, first: int, width: int, bud
     return int(row.min())
 
 
-def find_leaks(block: Items, marked: np.ndarray, data: np.ndarray, offs: np.ndarray):
-    """(row, item, edits, start, end) of each item found in a piece; start and end are those of the normalised text's band."""
-    data, offs = _normal(data, offs)
+def _bands(block: Items, hits: np.ndarray, at: np.ndarray, row: np.ndarray, place: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, item, band) with enough shared q-grams; hits[k] is where the text `row[k]`, at its `place[k]`, has the q-gram keys[at[k]]."""
+    n_items = len(block.texts)
+    half = block.budgets + 1
+    width = int((int(place.max()) + longest) // int(half.min())) + 3 if len(place) else 1
+    total = int((block.begins[at + 1] - block.begins[at]).sum())
+    # A q-gram's entries are in order of items: a range of items is a part of each.
+    ranges = -(-total // (8 * PART)) or 1
+    entry_gram = np.repeat(np.arange(len(block.keys)), np.diff(block.begins)) if ranges > 1 else None
+    rows, items, bands = [], [], []
+    for r in range(ranges):
+        if ranges == 1:
+            low, high = block.begins[at], block.begins[at + 1]
+        else:
+            code = entry_gram * n_items + block.item
+            low, high = (np.searchsorted(code, at * n_items + n_items * x // ranges) for x in (r, r + 1))
+        each = high - low
+        sums = np.cumsum(each)
+        code, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        begin = 0
+        while begin < len(at):
+            done = int(sums[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(sums, done + PART, "right")))
+            part = slice(begin, end)
+            spread = np.repeat(np.arange(begin, end), each[part])
+            entry = np.repeat(low[part], each[part]) + np.arange(len(spread)) - np.repeat(sums[part] - each[part] - done, each[part])
+            item = block.item[entry]
+            # Counting from the least diagonal there can be keeps band numbers positive.
+            band = (place[spread] - block.offset[entry] + longest) // half[item]
+            # Each half belongs to two bands: its own and the next.
+            new = (row[spread].astype(np.int64) * n_items + item) * width + band
+            code = np.concatenate([code, new, new + 1])
+            code, which = np.unique(code, return_inverse=True)
+            count = np.bincount(which, np.concatenate([count, np.ones(2 * len(new), np.int64)]), len(code)).astype(np.int64)
+            begin = end
+        item = code // width % n_items
+        good = count >= block.needed[item]
+        rows.append(code[good] // width // n_items)
+        items.append(item[good])
+        bands.append(code[good] % width)
+    return np.concatenate(rows), np.concatenate(items), np.concatenate(bands)
+
+
+def _search(block: Items, marked: np.ndarray, data: np.ndarray, offs: np.ndarray) -> dict:
+    """(row, item) -> (edits, start, end) of each item found in normalised texts."""
     grams = _grams(data)
-    hits = np.flatnonzero(marked[grams >> np.uint64(64 - SLOT_BITS)])
+    hits = np.flatnonzero(marked[grams >> np.uint64(64 - SLOT_BITS)]) if len(block.keys) else np.zeros(0, np.int64)
+    at = row = np.zeros(0, np.int64)
     if len(hits):
         at = np.searchsorted(block.keys, grams[hits])
         at[at == len(block.keys)] = 0
         found = block.keys[at] == grams[hits]
         hits, at = hits[found], at[found]
-    out = {}
-    if len(hits):
         row = np.searchsorted(offs, hits, "right") - 1
         inside = hits + Q <= offs[row + 1]
         hits, at, row = hits[inside], at[inside], row[inside]
-        each = block.begins[at + 1] - block.begins[at]
-        spread = np.repeat(np.arange(len(hits)), each)
-        entry = np.repeat(block.begins[at], each) + np.arange(len(spread)) - np.repeat(np.cumsum(each) - each, each)
-        item = block.item[entry]
-        diagonal = hits[spread] - offs[row[spread]] - block.offset[entry]
-        # Counting from the least diagonal there can be keeps band numbers positive.
-        longest = max((len(t) for t in block.texts), default=0)
-        half = block.budgets[item] + 1
-        band = (diagonal + longest) // half
-        n_items = len(block.texts)
-        width = int(band.max()) + 2
-        # Each half belongs to two bands: its own and the next.
-        code = (row[spread].astype(np.int64) * n_items + item) * width + band
-        code, count = np.unique(np.concatenate([code, code + 1]), return_counts=True)
-        item = code // width % n_items
-        good = count >= block.needed[item]
-        for c, i in zip(code[good], item[good], strict=True):
-            r, b = int(c // width // n_items), int(c % width)
+    out = {}
+    longest = max((len(t) for t in block.texts), default=0)
+    if len(hits):
+        for r, i, b in zip(*(x.tolist() for x in _bands(block, hits, at, row, hits - offs[row], longest)), strict=True):
+            if out.get((r, i), (1,))[0] == 0:
+                continue
             budget = int(block.budgets[i])
             first = (b - 1) * (budget + 1) - longest
             text = data[offs[r] : offs[r + 1]]
-            size = len(block.texts[i])
-            begin, end = max(0, first), min(len(text), first + 2 * (budget + 1) + size + budget)
+            begin, end = max(0, first), min(len(text), first + 2 * (budget + 1) + len(block.texts[i]) + budget)
             region = text[begin:end]
-            if (int(r), int(i)) in out and out[int(r), int(i)][0] == 0:
-                continue
-            if region.tobytes().find(block.texts[i].tobytes()) >= 0:
+            if _text(block.texts[i]) in _text(region):
                 edits = 0
             else:
                 # Diagonals of a path within the budget stray from a shared q-gram's by the budget at most.
                 edits = banded_edits(block.texts[i], region, first - begin - budget, 2 * (budget + 1) + 2 * budget, budget)
             if edits <= budget:
                 now = (edits, begin, end)
-                out[int(r), int(i)] = min(out.get((int(r), int(i)), now), now)
+                out[r, i] = min(out.get((r, i), now), now)
+    whole = _text(data) if block.short else ""
     for i in block.short:
-        word = block.texts[i].tobytes()
-        whole = data.tobytes()
+        word = _text(block.texts[i])
         at = whole.find(word)
         while at >= 0:
             r = int(np.searchsorted(offs, at, "right")) - 1
-            if at + len(word) <= offs[r + 1]:
+            inside = at + len(word) <= offs[r + 1]
+            if inside:
                 out.setdefault((r, i), (0, int(at - offs[r]), int(at - offs[r]) + len(word)))
-            at = whole.find(word, at + 1)
+            # A text needs to be found once.
+            at = whole.find(word, int(offs[r + 1]) if inside else at + 1)
+    return out
+
+
+def find_leaks(block: Items, marked: np.ndarray, data: np.ndarray, offs: np.ndarray):
+    """(row, item, edits, start, end) of each item found in a piece of UTF-8 texts; start and end are those of the normalised text's band."""
+    data, offs = _normal(data, offs)
+    if len(offs) > 2 or len(data) <= SLICE:
+        out = _search(block, marked, data, offs)
+    else:
+        # An item with its edits lies in a slice as a whole.
+        overlap = max((len(t) + 4 * (int(k) + 1) for t, k in zip(block.texts, block.budgets, strict=True)), default=0)
+        out = {}
+        for begin in range(0, len(data), SLICE):
+            part = data[begin : begin + SLICE + overlap]
+            for key, (edits, start, end) in _search(block, marked, part, np.array([0, len(part)])).items():
+                now = (edits, begin + start, begin + end)
+                out[key] = min(out.get(key, now), now)
     return [(r, i, *v) for (r, i), v in sorted(out.items())]
 
 
