@@ -85,11 +85,40 @@ class Alphabet:
         return key[inside], begin[starts]
 
 
+    def parts(self, text: str, limit: int = CHUNK_BYTES):
+        """The packed grams of one text, of about limit characters at a time."""
+        pad, table, at = self.order - 1, self.table(), 0
+        tail = np.full(pad, BOS, np.uint32)
+        while at <= len(text):
+            end = at + limit
+            if end < len(text):
+                # Lower-casing may look at neighbours, but not over a space.
+                space = text.rfind(" ", at + limit // 2, end)
+                end = space if space > 0 else end
+            part = text[at:end]
+            codes = np.frombuffer((part.lower() if self.fold else part).encode("utf-32-le", "replace"), np.uint32)
+            symbols = np.concatenate([tail, table[codes], np.full(int(end >= len(text)), EOS, np.uint32)])
+            if self.join:
+                keep = np.ones(len(symbols), bool)
+                keep[pad:] = (symbols[pad:] != 32) | (symbols[pad - 1 : -1] != 32)
+                symbols = symbols[keep]
+            packed = symbols.astype(np.uint64)
+            key = packed.copy()
+            for j in range(1, self.order):
+                key[j:] |= packed[: len(packed) - j] << np.uint64(self.bits * j)
+            yield key[pad:]
+            tail = symbols[len(symbols) - pad :]
+            at = end if end < len(text) else len(text) + 1
+
+
 def text_pieces(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES):
-    """(first row, texts) of pieces of about `limit` characters; null is empty."""
+    """(first row, texts) of pieces of about `limit` characters, a longer text alone; null is empty."""
     texts = [t or "" for t in batch.column(column).to_pylist()]
     at, size = 0, 0
     for k, t in enumerate(texts):
+        if len(t) >= limit and at < k:
+            yield at, texts[at:k]
+            at, size = k, 0
         size += len(t)
         if size >= limit:
             yield at, texts[at : k + 1]
@@ -119,9 +148,15 @@ def gram_counts(texts: DataFrame, alphabet: Alphabet) -> DataFrame:
         for batch in batches:
             labels = batch.column("label").to_pylist()
             for at, piece in text_pieces(batch, "text"):
-                keys, begin = alphabet.grams(piece)
                 mine = labels[at : at + len(piece)]
                 names = sorted(set(mine))
+                if len(piece) == 1 and len(piece[0]) >= CHUNK_BYTES:
+                    for keys in alphabet.parts(piece[0]):
+                        part = np.unique(keys, return_counts=True)
+                        held[names[0]] = [merged([*held.get(names[0], ()), part])]
+                        size += len(part[0])
+                    continue
+                keys, begin = alphabet.grams(piece)
                 which = np.fromiter((names.index(x) for x in mine), np.int64, len(mine))
                 of = np.repeat(which, np.diff(np.append(begin, len(keys))))
                 for k, name in enumerate(names):
@@ -208,6 +243,14 @@ class Model:
 
     def means(self, texts: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray]:
         """(texts, labels): mean log probability per symbol; and the number of symbols."""
+        if len(texts) == 1 and len(texts[0]) >= CHUNK_BYTES:
+            # Its grams are never there all at once.
+            total, size = np.zeros(len(self.labels)), 0
+            for keys in alphabet.parts(texts[0]):
+                different, n = np.unique(keys, return_counts=True)
+                total += self.log_probability(different) @ n
+                size += len(keys)
+            return total[None, :] / size, np.array([size])
         keys, begin = alphabet.grams(texts)
         different, at = np.unique(keys, return_inverse=True)
         logp = self.log_probability(different)

@@ -10,6 +10,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from seriesflow.llm import char_models, decontamination, exact_dedup, language_id, line_dedup, mixing, ngram_join, quality_classifier, url_filter, warc
@@ -395,10 +396,63 @@ def test_urls(spark):
     assert [r.verdict for r in got if r.rule] == ["allow", "block", "allow", "block", "block"]
 
 
+def test_url_verdicts_match_brute_force(spark):
+    rng = random.Random(6)
+    name = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    urls = [f"http://{name('abcd', 4)}.net/de/{name('abcdef', 9)}" for _ in range(60)] + [f"http://{name('wxyz', 4)}.org/es/{name('uvwxyz', 9)}" for _ in range(15)]
+    urls += [f"http://{name(x, 4)}.io/{name(x, 8)}" for x in ("abcd", "wxyz", "amwz") for _ in range(20)] + [None, "http://long.io/" + name("abcdwxyz", 200_000), urls[0], urls[0]]
+    rows = spark.createDataFrame([(k, u, "h") for k, u in enumerate(urls)], "page_id long, url string, host string")
+    got = {r.page_id: r for r in url_filter.judge(rows).collect()}
+    hashed = {r.page_id for r in rows.filter(F.pmod(F.xxhash64("url"), F.lit(10)) == 0).collect()}
+    kind = {k: "allow" if ".net/de/" in u else "block" for k, u in enumerate(urls) if u and (".net/de/" in u or ".org/es/" in u)}
+    letters = url_filter.alphabet()
+    models = {x: brute_witten_bell([urls[k] for k in kind if kind[k] == x and k not in hashed], letters, symbols_of([urls[k] for k in kind if k not in hashed], letters)) for x in ("allow", "block")}
+
+    def score(u):
+        keys = [int(g) for g in letters.grams([u or ""])[0]]
+        return np.mean([models["allow"](g) - models["block"](g) for g in keys])
+
+    few = [k for k in got if k not in kind and len(urls[k] or "") < 1000]
+    for k in few:
+        assert got[k].lm_score == pytest.approx(score(urls[k]))
+    limit = url_filter._threshold([Row(lm_score=score(urls[k]), label=kind[k]) for k in kind if k in hashed])
+    for k in few:
+        assert got[k].verdict == ("allow" if got[k].lm_score >= limit else "block")
+    assert len(got) == len(urls) and all(got[k].verdict == x for k, x in kind.items())
+
+
 # 9
 
 
-def brute_kneser_ney(texts, order, alphabet):
+def symbols_of(texts, alphabet):
+    return len({int(g) & ((1 << alphabet.bits) - 1) for t in texts for g in alphabet.grams([t])[0]}) + 1
+
+
+def brute_witten_bell(texts, alphabet, symbols):
+    """Log probabilities of the full-order grams of one label: a context's counts, and its number of kinds for shorter ones."""
+    bits, counts = alphabet.bits, defaultdict(int)
+    for t in texts:
+        for g in map(int, alphabet.grams([t])[0]):
+            for k in range(1, alphabet.order + 1):
+                counts[k, g & ((1 << bits * k) - 1)] += 1
+    total, kinds = defaultdict(int), defaultdict(int)
+    for (k, g), n in counts.items():
+        total[k, g >> bits] += n
+        kinds[k, g >> bits] += 1
+
+    def p(g, k):
+        if k == 0:
+            return 1 / symbols
+        g &= (1 << bits * k) - 1
+        above = k, g >> bits
+        if above not in total:
+            return p(g, k - 1)
+        return (counts.get((k, g), 0) + kinds[above] * p(g, k - 1)) / (total[above] + kinds[above])
+
+    return lambda g: np.log(p(g, alphabet.order))
+
+
+def brute_kneser_ney(texts, order, alphabet, symbols=None):
     """Log probabilities of the full-order grams of one language, by the book."""
     grams = defaultdict(int)
     for t in texts:
@@ -411,7 +465,7 @@ def brute_kneser_ney(texts, order, alphabet):
         for g in levels[k + 1]:
             less[g & ((1 << bits * k) - 1)] += 1
         levels[k] = dict(less)
-    symbols = len(levels[1]) + 1
+    symbols = symbols or len(levels[1]) + 1
 
     def p(g, k):
         if k == 0:
@@ -448,6 +502,41 @@ def test_shards_of_a_model(spark, shard_grams):
     assert model.log_probability(keys) == pytest.approx(every.log_probability(keys))
 
 
+def test_a_language_of_few_texts_keeps_its_model(spark):
+    letters = language_id.alphabet()
+    few = ["kala ja vesi", "vesi on kala"]
+    rows = [("en", f"the cat {k} sat on the mat of house {'abcdefghij'[k % 10] * 3}") for k in range(400)] + [("et", t) for t in few]
+    model = language_id.train(spark.createDataFrame(rows, "lang string, text string"))
+    keys, _ = letters.grams(["kala on vesi"])
+    n = symbols_of([t for _, t in rows], letters)
+    want = brute_kneser_ney(few, letters.order, letters, n)
+    assert model.log_probability(keys)[model.labels.index("et")] == pytest.approx([want(int(k)) for k in keys])
+
+
+def test_long_texts_are_counted_and_scored_in_parts(spark, monkeypatch):
+    letters = language_id.alphabet()
+    text = ("The  Cat ΣΑΣ sat  \n" * 40)[:-3]
+    whole = letters.grams([text])[0]
+    for limit in (7, 31, 10_000):
+        assert np.concatenate(list(letters.parts(text, limit))).tolist() == whole.tolist()
+    assert np.concatenate(list(letters.parts(""))).tolist() == letters.grams([""])[0].tolist()
+    model = language_id.train(spark.createDataFrame([("en", text), ("de", "der Hund")], "lang string, text string"))
+    want = model.means([text], letters)[0]
+    monkeypatch.setattr(char_models, "CHUNK_BYTES", 50)
+    assert model.means([text], letters)[0] == pytest.approx(want)
+
+
+def test_calibration_texts_are_not_counted(spark):
+    rows = [("en", f"the cat sat on mat {k}") for k in range(30)] + [("de", f"der Hund saß auf {k}") for k in range(30)]
+    texts = spark.createDataFrame(rows, "lang string, text string")
+    model, sharp, highest = language_id.fitted(texts)
+    apart = F.pmod(F.xxhash64("text"), F.lit(10)) == 0
+    alone = language_id.train(texts.filter(~apart))
+    keys, _ = language_id.alphabet().grams(["der Hund sat 7"])
+    assert model.log_probability(keys) == pytest.approx(alone.log_probability(keys))
+    assert (sharp, highest) == language_id.calibrate(alone, texts.filter(apart))
+
+
 def test_no_gram_is_dropped(spark):
     letters = language_id.alphabet()
     symbols = np.random.default_rng(5).integers(0x4E00, 0x9F00, (1100, 1000))
@@ -509,9 +598,9 @@ def brute_edits(item, text):
 
 def test_leaks_match_brute_force(spark):
     rng = random.Random(9)
-    text_of = lambda n: "".join(rng.choice("abcdefghij klm") for _ in range(n)).strip() or "a"
+    text_of = lambda n: "".join(rng.choice("abcdefgħij 犬😀m") for _ in range(n)).strip() or "a"
     items = [text_of(rng.randrange(30, 260)) for _ in range(12)] + ["short one", "", None, " "]
-    clean = [decontamination.index_items([0], [t]).texts[0].tobytes().decode() for t in items]
+    clean = [decontamination._text(decontamination.index_items([0], [t]).texts[0]) for t in items]
     budgets = decontamination.index_items(list(range(len(items))), items).budgets
     texts = [None, "", "Short  ONE", "short on"]
     for _ in range(80):
@@ -536,3 +625,28 @@ def test_blocks_of_items_give_the_same(spark):
     docs = docs_of(spark, [f"before benchmark item number {k} with a text of some length and digits {k * 7919} after" for k in (3, 11)])
     key = lambda df: sorted(tuple(r) for r in df.collect())
     assert key(decontamination.leaks(docs, items, block_chars=200)) == key(decontamination.leaks(docs, items)) and len(key(decontamination.leaks(docs, items))) >= 2
+
+
+def search_alone(items, texts):
+    block = decontamination.index_items(list(range(len(items))), items)
+    marked = np.ones(1 << decontamination.SLOT_BITS, bool)
+    raw = [t.encode() for t in texts]
+    return [(r, i, e) for r, i, e, *_ in decontamination.find_leaks(block, marked, np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))]
+
+
+def test_parts_and_slices_give_the_same(monkeypatch):
+    common = "a phrase that very many of the items have "
+    items = [f"{common}and number {k * 7919} of them ends here" for k in range(300)] + ["ab" * 60, "é"]
+    texts = [common * 3, f"x {items[5]} y {items[9]}", "ab" * 3000, "long é " * 5000 + items[17] + " z" * 3000]
+    want = search_alone(items, texts)
+    assert {(1, 5, 0), (1, 9, 0), (2, 300, 0), (3, 17, 0), (3, 301, 0)} <= set(want)
+    monkeypatch.setattr(decontamination, "PART", 500)
+    assert search_alone(items, texts) == want
+    monkeypatch.setattr(decontamination, "SLICE", 3000)
+    assert [(3, i, e) for _, i, e in search_alone(items, texts[3:])] == [x for x in want if x[0] == 3]
+
+
+def test_an_item_of_one_letter_takes_seconds():
+    began = time.time()
+    assert search_alone(["a"], ["a" * 5_000_000, "b", "ba"]) == [(0, 0, 0), (2, 0, 0)]
+    assert time.time() - began < 20
