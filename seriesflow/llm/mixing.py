@@ -84,7 +84,8 @@ def calibrate(cells: DataFrame, budget: float) -> DataFrame:
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets: dict[str, DataFrame] | None = None, budget: float = BUDGET, rounds: int = ROUNDS, power: float = POWER, seed: str = "mix") -> DataFrame:
-    """docs (with source and lang; topic is added if there is none) with weight, probability and sampled."""
+    """docs (with source and lang; topic is added if there is none) with weight, probability and sampled, in place of columns with these names."""
+    docs = docs.drop("weight", "probability", "sampled")
     if "topic" not in docs.columns:
         docs = docs.withColumn("topic", topic_of(F.coalesce(F.col(text_col), F.lit(""))))
     cells = cut(_cells(docs, text_col), "cells")
