@@ -1,24 +1,30 @@
 """Mixing sources to target weights by iterative proportional fitting. DataFrame functions only.
 
-Tokens are summed per cell of source, language and topic. Raking multiplies the cells' weights, one margin after the other and round
-after round, by target over present share, until the weighted tokens have all target marginals. A document is then sampled
+Tokens are summed per cell of source, language and topic. A cell's weight is the product of a factor for each of the three. Raking sets the
+factors of one margin after the other to target over the tokens weighted by the other factors, round after round, until no factor
+changes any more, or for ROUNDS at most: the weighted tokens then have all target marginals. Where factors still change by more than 1 in
+10,000 (few documents a cell, or targets that no weights meet together), a warning says by how much; the last margin is met even then. A document is then sampled
 with probability min(1, c * weight of its cell); c is calibrated so that the expected tokens are the budget.
 
 Targets of a margin are shares by value; values without a target get none of it, targets without tokens are left out and the
 others scaled to add up to 1. Without given targets a margin's target is its tokens' shares to a power below 1, which
 lifts small values. Null values are a value of their own (shown as ''), null and empty texts have no tokens (weight of
 their cell, or 0 where a cell has no tokens at all). The draw depends on the id alone, so rows that repeat share their fate, and so do
-rows without an id. An empty table gives an empty result.
+rows without an id. Texts of any length count whole. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import warnings
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import cut, documents
 
 MARGINS = ("source", "lang", "topic")
+#: Raking ends when no factor changes by more than this share, or after so many rounds.
+TOLERANCE = 1e-10
 ROUNDS = 10
 POWER = 0.5
 #: Expected tokens of the sample, of all.
@@ -54,32 +60,46 @@ def _targets(cells: DataFrame, margin: str, given: DataFrame | None, power: floa
     return raw.select(margin, (F.col("raw") / total).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """cells with weight: after it, weighted tokens have the target shares of each margin (of the last one exactly).
+def rake(cells: DataFrame, targets: dict[str, DataFrame], most: int = ROUNDS) -> DataFrame:
+    """cells with weight: after it, weighted tokens have the target shares of each margin.
 
-    Targets join once; a step is then one window over the cells of each value of a margin."""
+    Cells are only ever summed up per value, which tasks begin by themselves, and join tables of one row a value."""
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    now = cells.withColumn("weight", F.lit(1.0))
-    for margin, wanted in targets.items():
-        now = now.join(wanted.select(margin, (F.col("share") * total).alias(f"__{margin}")), margin, "left")
-    now = cut(now.withColumns({f"__{m}": F.coalesce(f"__{m}", F.lit(0.0)) for m in targets}), "cells")
-    for _ in range(rounds):
+    factors = {m: cut(cells.select(m).distinct().join(t, m, "left").select(m, (F.coalesce("share", F.lit(0.0)) * total).alias("wanted"), F.lit(1.0).alias("factor")), "factors") for m, t in targets.items()}
+
+    def joined(*margins: str) -> DataFrame:
+        now = cells.withColumn("weight", F.lit(1.0))
+        for m in margins:
+            now = now.join(factors[m].select(m, F.col("factor").alias("__f")), m).withColumn("weight", F.col("weight") * F.col("__f")).drop("__f")
+        return now
+
+    change = 0.0
+    for _ in range(most):
+        change = 0.0
         for margin in targets:
-            mass = F.sum(F.col("tokens") * F.col("weight")).over(Window.partitionBy(margin))
-            now = now.withColumn("__mass", mass).withColumn("weight", F.when(F.col("__mass") > 0, F.col("weight") * F.col(f"__{margin}") / F.col("__mass")).otherwise(0.0)).drop("__mass")
-    return cut(now.select(*MARGINS, "tokens", "weight"), "raked")
+            mass = joined(*(m for m in targets if m != margin)).groupBy(margin).agg(F.sum(F.col("tokens") * F.col("weight")).alias("mass"))
+            new = F.when(F.col("mass") > 0, F.col("wanted") / F.col("mass")).otherwise(0.0)
+            factors[margin] = cut(factors[margin].select(margin, "wanted", F.col("factor").alias("before")).join(mass, margin).select(margin, "wanted", new.alias("factor"), "before"), "factors")
+            change = max(change, factors[margin].agg(F.max(F.abs(F.col("factor") - F.col("before")) / F.greatest(F.abs("factor"), F.abs("before"), F.lit(1e-300)))).first()[0] or 0.0)
+        if change < TOLERANCE:
+            break
+    if change > 1e-4:
+        warnings.warn(f"raking has not converged: factors still change by a share of {change:.3g}", stacklevel=2)
+    return cut(joined(*targets).select(*MARGINS, "tokens", "weight"), "raked")
 
 
 def calibrate(cells: DataFrame, budget: float) -> DataFrame:
-    """cells with probability min(1, c * weight): c makes the expected tokens `budget` of all, as far as weights above zero allow."""
+    """cells with probability min(1, c * weight): c makes the expected tokens `budget` of all, as far as weights above zero allow.
+
+    Each step raises c, and ends when no more cells have reached 1: after a few steps, and never more than there are cells."""
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    c = 0.0
-    for _ in range(FILLS):
+    c, reached = 0.0, -1
+    while True:
         full = F.col("weight") * c >= 1
-        row = cells.agg(F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("full"), F.sum(F.when(full, 0.0).otherwise(F.col("tokens") * F.col("weight"))).alias("mass")).first()
-        if not row.mass:
+        row = cells.agg(F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("full"), F.sum(F.when(full, 0.0).otherwise(F.col("tokens") * F.col("weight"))).alias("mass"), F.coalesce(F.sum(full.cast("int")), F.lit(0)).alias("reached")).first()
+        if not row.mass or row.reached == reached:
             break
-        c = (budget * total - row.full) / row.mass
+        c, reached = (budget * total - row.full) / row.mass, row.reached
     return cells.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * c))
 
 

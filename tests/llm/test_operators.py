@@ -309,6 +309,33 @@ def test_raking_meets_all_marginals(spark):
     assert got.tokens[got.sampled].sum() == pytest.approx(0.4 * got.tokens.sum(), rel=0.2)
 
 
+def test_raking_by_the_book(spark):
+    rng = random.Random(8)
+    cells = [(f"s{a}", b, c, rng.randrange(1, 500)) for a in range(5) for b in ("en", "de", "") for c in ("x", "y") if rng.random() < 0.8]
+    shares = {"source": {f"s{a}": a + 1.0 for a in range(5)}, "lang": {"en": 5.0, "de": 2.0, "": 1.0}, "topic": {"x": 1.0, "y": 3.0}}
+    total = sum(c[3] for c in cells)
+    weight = [1.0] * len(cells)
+    for _ in range(300):
+        for k, m in enumerate(mixing.MARGINS):
+            wanted = {v: x / sum(shares[m].values()) * total for v, x in shares[m].items()}
+            mass = defaultdict(float)
+            for c, w in zip(cells, weight, strict=True):
+                mass[c[k]] += c[3] * w
+            weight = [w * wanted[c[k]] / mass[c[k]] for c, w in zip(cells, weight, strict=True)]
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+    targets = {m: spark.createDataFrame([(v, x / sum(s.values())) for v, x in s.items()], f"{m} string, share double") for m, s in shares.items()}
+    got = {tuple(r)[:3]: r.weight for r in mixing.rake(df, targets, most=40).collect()}
+    assert got == pytest.approx({c[:3]: w for c, w in zip(cells, weight, strict=True)}, rel=1e-6)
+
+
+def test_targets_that_cannot_be_met_are_told(spark):
+    cells = spark.createDataFrame([("s0", "en", "x", 10), ("s1", "de", "x", 10)], "source string, lang string, topic string, tokens long")
+    side = lambda m, **shares: spark.createDataFrame(list(shares.items()), f"{m} string, share double")
+    with pytest.warns(UserWarning, match="not converged"):
+        got = mixing.rake(cells, {"source": side("source", s0=0.9, s1=0.1), "lang": side("lang", en=0.5, de=0.5), "topic": side("topic", x=1.0)}, most=3).collect()
+    assert sum(r.tokens * r.weight for r in got) == pytest.approx(20)
+
+
 def test_mixing_of_odd_rows(spark):
     rows = [(None, None, None, None, "n", "h", "b", "c"), (1, "", "en", "s", "n", "h", "b", "c"), (2, "w " * 9, "en", "s", "n", "h", "b", "c"), (2, "w " * 9, "en", "s", "n", "h", "b", "c")]
     got = mixing.mixed(spark.createDataFrame(rows, DOCS)).collect()
