@@ -35,12 +35,14 @@ THRESHOLD = 0.3
 DECAY = 1e-3
 #: Most passes of a fit; it ends before when a step changes the risk by less than TOLERANCE.
 PASSES = 12
-TOLERANCE = 1e-6
+TOLERANCE = 1e-5
 #: Weight of the penalty on a negative estimate of the negatives' risk.
 PENALTY = 100.0
 #: Times that model and prior are fitted in turn.
 TURNS = 3
 BINS = 2000
+#: Texts whose features are worked on at a time.
+BLOCK = 1024
 
 _CLASS = np.zeros(256, np.int64)
 for _k, _chars in enumerate((range(65, 91), range(97, 123), range(48, 58), b"!?", b"|", b"#$%&*@^~<>{}[]\\=_", b".,;:", b"'\"()-/", range(128, 192), range(192, 256), b"\n", b" \t\r"), 1):
@@ -142,8 +144,10 @@ def _added(rows: DataFrame, of: Callable[[np.ndarray, np.ndarray], np.ndarray])
                 data = np.frombuffer(column.buffers()[2], np.float32)
                 first = int(np.frombuffer(column.buffers()[1], np.int32)[column.offset]) // 4
                 x = data[first : first + batch.num_rows * WIDTH].reshape(-1, WIDTH)
-                one = of(x.astype(np.float64), batch.column("positive").to_numpy(zero_copy_only=False))
-                total = one if total is None else total + one
+                y = batch.column("positive").to_numpy(zero_copy_only=False)
+                for k in range(0, len(x), BLOCK):
+                    one = of(x[k : k + BLOCK].astype(np.float64), y[k : k + BLOCK])
+                    total = one if total is None else total + one
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
 
@@ -174,7 +178,7 @@ def risk_terms(x: np.ndarray, positive: np.ndarray, w: np.ndarray) -> np.ndarray
     return np.concatenate([[len(x), _softplus(z).sum()], x.T @ s, ((x * (s * (1 - s))[:, None]).T @ x).ravel(), [len(p), _softplus(z[positive]).sum()], p.T @ s[positive], p.sum(axis=0)])
 
 
-def fit_nnpu(terms: Callable[[np.ndarray], np.ndarray], width: int, prior: float, start: np.ndarray | None = None, passes: int = PASSES, decay: float = DECAY) -> np.ndarray:
+def fit_nnpu(terms: Callable[[np.ndarray], np.ndarray], width: int, prior: float, start: np.ndarray | None = None, passes: int = PASSES, decay: float = DECAY, tolerance: float = TOLERANCE) -> np.ndarray:
     """The weights (the bias last) that minimise the non-negative risk; terms(w) are the sums of risk_terms over all texts."""
     size = width + 1
     ridge = np.append(np.full(width, decay), 1e-9)
@@ -189,7 +193,7 @@ def fit_nnpu(terms: Callable[[np.ndarray], np.ndarray], width: int, prior: float
         if best is not None and risk > best[0]:
             w = (best[1] + w) / 2
             continue
-        done = best is not None and best[0] - risk < TOLERANCE
+        done = best is not None and best[0] - risk < tolerance
         best = (risk, w)
         if done:
             break
@@ -229,7 +233,8 @@ def train(rows: DataFrame) -> Scorer | None:
 
     w = None
     for turn in range(TURNS):
-        w = fit_nnpu(terms, WIDTH, out.prior, w, decay=decay)
+        # Only the last turn's model stays.
+        w = fit_nnpu(terms, WIDTH, out.prior, w, decay=decay, tolerance=TOLERANCE if turn == TURNS - 1 else 100 * TOLERANCE)
         out = Scorer(mean, scale, w[:-1], float(w[-1]), out.prior)
         if turn < TURNS - 1:
             histogram = _added(rows, scores)
