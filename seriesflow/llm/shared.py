@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 #: The characters that count as white space in texts.
 SPACE = "\\x20\\x09-\\x0D"
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def shared_dir(spark: SparkSession) -> str:
