@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,36 +13,44 @@ def accepts(start: int, end: int, last_start: int, last_end: int) -> bool:
     return (start == last_start and end > last_end) or (start > last_start and start >= last_end)
 
 
+def _follows(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Of each interval but the first: whether it may follow the one before."""
+    return ((start[1:] == start[:-1]) & (end[1:] > end[:-1])) | ((start[1:] > start[:-1]) & (start[1:] >= end[:-1]))
+
+
 def _fold(batches):
+    """Rows in order of key and seq without the rejected ones. State is the last kept interval of the present key."""
     now, last = None, None
     for batch in batches:
-        keys, starts, ends = (batch.column(c).to_pylist() for c in ("__key", "__start", "__end"))
-        keep = []
-        for key, start, end in zip(keys, starts, ends, strict=True):
-            if key != now:
-                now, last = key, None
-            kept = last is None or accepts(start, end, *last)
-            if kept:
-                last = (start, end)
-            keep.append(kept)
+        if not batch.num_rows:
+            continue
+        codes = batch.column("__key").dictionary_encode()
+        names, of = codes.dictionary.to_pylist(), codes.indices.to_numpy(zero_copy_only=False)
+        starts, ends = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("__start", "__end"))
+        keep = np.ones(len(of), bool)
+        edges = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+        # A row that may follow the one before it, as all before it may, is kept.
+        calm = np.append(True, _follows(starts, ends))
+        broken = np.append(0, np.cumsum(~calm))
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if names[of[a]] != now:
+                now, last = names[of[a]], None
+            if broken[b] == broken[a + 1] and (last is None or accepts(starts[a], ends[a], *last)):
+                last = (starts[b - 1], ends[b - 1])
+                continue
+            for k in range(a, b):
+                keep[k] = last is None or accepts(starts[k], ends[k], *last)
+                if keep[k]:
+                    last = (starts[k], ends[k])
         yield batch.filter(pa.array(keep)).drop_columns(["__key", "__start", "__end"])
 
 
-def reject_overlaps(points: DataFrame, key: str = "series_key", feeder: str = "ref") -> DataFrame:
-    """points(key, feeder, seq, start (null for gauges), t) without the rejected ones.
-
-    Only the last kept point counts, so rows are folded in order of seq. Keys whose points all come from one feeder in order of time
-    can't overlap and take no part in the fold."""
-    w = Window.partitionBy(key).orderBy("seq")
-    start = F.coalesce("start", F.lit(0))
-    marked = points.withColumns({"__start": start, "__end": F.col("t"), "__back": (F.col("t") <= F.lag("t").over(w)) | (start < F.lag(start).over(w))})
-    keyed = Window.partitionBy(key)
-    several = (F.min(feeder).over(keyed) != F.max(feeder).over(keyed)) | F.coalesce(F.max(F.col("__back").cast("int")).over(keyed) == 1, F.lit(False))
-    told = marked.withColumn("__fold", several).drop("__back")
-    simple = told.filter("not __fold").select(*points.columns)
-    rest = told.filter("__fold").drop("__fold").withColumn("__key", F.col(key))
-    folded = rest.repartition(key).sortWithinPartitions(key, "seq").mapInArrow(_fold, points.schema)
-    return simple.unionByName(folded)
+def reject_overlaps(points: DataFrame, key: str = "series_key") -> DataFrame:
+    """points(key, seq, start (null for gauges), t) without the rejected ones.
+
+    Only the last kept point counts, so rows are folded in order of seq: one shuffle by key, and a pass that holds a batch and one interval."""
+    rows = points.withColumns({"__key": F.col(key), "__start": F.coalesce("start", F.lit(0)).cast("long"), "__end": F.col("t").cast("long")})
+    return rows.repartition(key).sortWithinPartitions(key, "seq").mapInArrow(_fold, points.schema)
 
 
 def reject_overlaps_gauge(points: DataFrame, key: str = "series_key") -> DataFrame:

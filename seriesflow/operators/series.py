@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions.matchers import Filterset, any_of
 from ..schemas import METRIC_TYPES, VALUE_TYPES
+from ..sources.shared import side, written
 
 #: Metrics that every scrape produces; all are gauges of doubles.
 INTERNAL_METRICS = ("up", "scrape_samples_scraped", "scrape_duration_seconds", "scrape_samples_post_metric_relabeling")
@@ -85,7 +86,8 @@ def metadata_lookup(names: DataFrame, static: DataFrame, fetched: DataFrame, nam
     """names with metric_type, value_type, suffix and base: by the full name, else (recording rules are gauges) by the name without its suffix.
 
     suffix and base are '' unless the short name was needed; metric_type is null where nothing is known."""
-    known = metadata_union(static, fetched).select("metric", F.struct("metric_type", "value_type").alias("entry"))
+    # Two joins read it.
+    known = side(written(metadata_union(static, fetched).select("metric", F.struct("metric_type", "value_type").alias("entry")), "metadata"))
     base, suffix = L.split_suffix(F.col(name))
     rows = names.withColumns({"short": base, "tail": suffix})
     rows = rows.join(known.select(F.col("metric").alias(name), F.col("entry").alias("full")), name, "left")

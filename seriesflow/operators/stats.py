@@ -61,7 +61,7 @@ def ewma_rate(events: DataFrame, key: str = "key", ts: str = "ts", tick: str = "
     grid = span.select(key, F.explode(F.sequence("lo", "hi", seconds)).alias("at"))
     full = grid.join(ticks, [key, "at"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     w = Window.partitionBy(key).orderBy("at")
-    length = float(tick.split()[0]) * {"second": 1, "seconds": 1, "minute": 60, "minutes": 60}[tick.split()[1]]
+    length = (F.unix_micros(F.col("at") + seconds) - F.unix_micros("at")) / 1e6
     numbered = full.withColumns({"k": F.row_number().over(w) - 1, "x": F.col("n") / length})
     reach = math.ceil(36.5 / -math.log(1 - alpha))
     near = Window.partitionBy(key).orderBy("at").rowsBetween(-reach, 0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from ..functions import labels as L
 from ..operators.counters import drop_nan, reset_adjust
 from ..operators.histograms import assemble, distribution
 from ..operators.overlap import reject_overlaps
+from ..operators.series import join_series_asof
+from ..sources.shared import side, written
 
 POINT = ("series_key", "ref", "seq", "t", "start", "metric", "metric_kind", "value_type", "double_value", "int64_value", "distribution")
 SERIES = ("ref", "series_key", "metric", "metric_kind", "metric_type", "value_type", "suffix", "base", "labels")
@@ -21,23 +25,36 @@ def typed_scalars(points: DataFrame) -> DataFrame:
     return points.withColumns({"double_value": L.typed_double(F.col("value_type"), F.col("value")), "int64_value": F.when(F.col("value_type") == "int64", whole), "distribution": none})
 
 
-def make_points(samples: DataFrame, resolved: DataFrame) -> DataFrame:
-    """POINT columns of every point, overlaps not yet rejected. resolved is joined before any window, so samples that go nowhere aren't shuffled."""
-    joined = drop_nan(samples).join(resolved.select(*SERIES), "ref")
-    gauges = joined.filter("metric_kind = 'GAUGE'").withColumns({"start": F.lit(None).cast("long"), "value": F.col("v")})
-    # Identity columns ride along; the window sorts by ref and seq only.
-    moved = reset_adjust(joined.filter("metric_kind = 'CUMULATIVE'"))
-    counters = moved.filter("value_type <> 'distribution' and not first").withColumn("value", F.col("adjusted")).drop("adjusted", "first")
-    scalars = gauges.unionByName(counters)
-    scalars = typed_scalars(scalars)
-    members = moved.filter("value_type = 'distribution'")
-    made = distribution(assemble(members, ("series_key", "ref", "metric", "metric_kind", "value_type")))
-    made = made.withColumns({"double_value": F.lit(None).cast("double"), "int64_value": F.lit(None).cast("long")})
-    # A histogram is one feeder, whichever of its series comes first.
-    made = made.withColumn("ref", F.xxhash64("base", "key"))
-    return scalars.select(*POINT).unionByName(made.select(*POINT))
-
-
-def points(samples: DataFrame, resolved: DataFrame) -> DataFrame:
+def make_points(samples: DataFrame, resolved: DataFrame, definitions: DataFrame | None = None) -> DataFrame:
+    """POINT columns of every point, overlaps not yet rejected.
+
+    The dimension is written once. Samples are shuffled by ref, as numbers only, for one pass over all kinds of series; what they are
+    joins afterwards. Only where histograms and scalars both occur that pass is written, for both to read.
+    definitions(ref, seq) tells where the log defines a ref (anew): each definition starts the series' resets anew, and samples before a ref's first one go."""
+    dimension = written(resolved.select(*SERIES), "resolved")
+    known = side(dimension.select("ref", F.col("metric_kind").alias("kind")))
+    rows = drop_nan(samples).select("ref", "seq", "scrape_id", "t", "v").join(known, "ref")
+    if definitions is not None:
+        rows = join_series_asof(rows, definitions.select("ref", "seq", F.lit(None).cast("string").alias("labels"))).drop("labels")
+    moved = reset_adjust(rows, ["ref"] if definitions is None else ["ref", "defined"])
+    gauge = F.col("kind") == "GAUGE"
+    moved = moved.select("ref", "seq", "scrape_id", "t", F.when(~gauge, F.col("start")).alias("start"), F.when(gauge, F.col("v")).otherwise(F.col("adjusted")).alias("value"), (~gauge & F.col("first")).alias("first"))
+    kinds = {r[0] for r in dimension.select(F.col("value_type") == "distribution").distinct().collect()}
+    made = []
+    if len(kinds) > 1:
+        moved = written(moved, "moved")
+    if kinds != {True}:
+        own = dimension.filter("value_type <> 'distribution'").drop("suffix", "base", "labels")
+        made.append(typed_scalars(moved.filter("not first").join(side(own), "ref")).select(*POINT))
+    if True in kinds:
+        parts = moved.withColumnRenamed("value", "adjusted").join(side(dimension.filter("value_type = 'distribution'")), "ref")
+        found = distribution(assemble(parts, ("series_key", "metric", "metric_kind", "value_type")))
+        found = found.withColumns({"double_value": F.lit(None).cast("double"), "int64_value": F.lit(None).cast("long")})
+        # A histogram is one feeder, whichever of its series comes first.
+        made.append(found.withColumn("ref", F.xxhash64("base", "key")).select(*POINT))
+    return reduce(DataFrame.unionByName, made)
+
+
+def points(samples: DataFrame, resolved: DataFrame, definitions: DataFrame | None = None) -> DataFrame:
     """POINT columns of the points that are kept."""
-    return reject_overlaps(make_points(samples, resolved))
+    return reject_overlaps(make_points(samples, resolved, definitions))

@@ -26,11 +26,19 @@ def _rocks(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
 
 
+def _stateful(rows: DataFrame, key: str, processor: StatefulProcessor, schema: str) -> DataFrame:
+    # Expiry goes by the clock of the process.
+    return rows.groupBy(key).transformWithStateInPandas(processor, schema, "Append", "None" if processor.ttl is None else "ProcessingTime")
+
+
 class CounterDeltas(StatefulProcessor):
     """Per ref: the last accepted time and value. Emits what the counter grew by; older samples and zero deltas go."""
 
+    def __init__(self, ttl: int | None = None):
+        self.ttl = ttl
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "t long, v double")
+        self.last = handle.getValueState("last", "t long, v double", self.ttl)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         data = pd.concat(list(rows)).sort_values("seq")
@@ -52,18 +60,23 @@ class CounterDeltas(StatefulProcessor):
         pass
 
 
-def stream_counter_deltas(samples: DataFrame) -> DataFrame:
-    """(ref, seq, t, delta) of a stream of samples, in append mode. Totals are a batch or windowed aggregate over them."""
+def stream_counter_deltas(samples: DataFrame, ttl: int | None = None) -> DataFrame:
+    """(ref, seq, t, delta) of a stream of samples, in append mode. Totals are a batch or windowed aggregate over them.
+
+    State of a ref that has no samples for ttl milliseconds goes; its next sample is a first one."""
     _rocks(samples.sparkSession)
-    return drop_nan(samples).groupBy("ref").transformWithStateInPandas(CounterDeltas(), "ref long, seq long, t long, delta double", "Append", "None")
+    return _stateful(drop_nan(samples), "ref", CounterDeltas(ttl), "ref long, seq long, t long, delta double")
 
 
 class Points(StatefulProcessor):
     """Per output series: reset state of each raw series that feeds it, and the interval of the last kept point. Histograms are assembled per scrape."""
 
+    def __init__(self, ttl: int | None = None):
+        self.ttl = ttl
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.resets = handle.getMapState("resets", "ref long", "base double, start long, previous double")
-        self.interval = handle.getValueState("interval", "start long, last long")
+        self.resets = handle.getMapState("resets", "ref long", "base double, start long, previous double", self.ttl)
+        self.interval = handle.getValueState("interval", "start long, last long", self.ttl)
 
     def _adjusted(self, ref: int, t: int, v: float) -> tuple[int | None, float | None]:
         """(start, value since then), or nothing for a series' first sample."""
@@ -115,18 +128,19 @@ def _histogram(found: list) -> tuple | None:
     return int(r.seq), int(r.t), start, None, r.value_type, r.metric_type, count, max(sums, default=0.0), buckets
 
 
-def stream_points(samples: DataFrame, resolved: DataFrame) -> DataFrame:
+def stream_points(samples: DataFrame, resolved: DataFrame, ttl: int | None = None) -> DataFrame:
     """(series_key, seq, t, start, value, value_type, metric_type, double_value, int64_value, distribution) of the kept points, in append mode.
 
     value is the number before it is typed, null for histograms. A scrape's samples have to come in one micro-batch, as those of
     read_samples_stream do: a histogram is assembled from what is there.
-    resolved is a static table: it is read when the query starts; see refresh_dimensions for one that changes."""
+    resolved is a static table: it is read when the query starts; see refresh_dimensions for one that changes. State of a raw or output series
+    that has no samples for ttl milliseconds goes; its next sample is a first one."""
     _rocks(samples.sparkSession)
     side = members(resolved).withColumn("member", F.expr("metric_kind = 'CUMULATIVE' and value_type = 'distribution'")).filter(f"not member or {MEMBER}")
     side = side.select("ref", "series_key", "metric_kind", "metric_type", "value_type", "suffix", "base", "key", "bound", "member")
     joined = drop_nan(samples).join(side, "ref")
     schema = "series_key string, seq long, t long, start long, value double, value_type string, metric_type string, count double, total double, " + f"buckets {BUCKET}"
-    kept = joined.groupBy("series_key").transformWithStateInPandas(Points(), schema, "Append", "None")
+    kept = _stateful(joined, "series_key", Points(ttl), schema)
     # A scalar has no buckets, and so no distribution.
     made = distribution(typed_scalars(kept).drop("distribution"))
     return made.withColumn("distribution", F.when(F.col("buckets").isNotNull(), F.col("distribution"))).drop("count", "total", "buckets")
