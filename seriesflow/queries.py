@@ -60,28 +60,28 @@ def q_src_samples(spark, d):
 
 
 def _target_documents(spark, d):
-    """A response per region's targets, and one without success."""
-    t = X.targets(spark, d).withColumn("region", F.col("ordinal") % 3)
-    in_order = F.array_sort(F.collect_list(F.struct("ordinal", "labels", "discovered")), lambda x, y: x["ordinal"] - y["ordinal"])
+    """A response per hundred targets; every third is without success."""
+    t = X.targets(spark, d).withColumn("doc", F.expr("ordinal div 100"))
+    in_order = F.array_sort(F.collect_list(F.struct("ordinal", "labels", "discovered")), lambda x, y: (x["ordinal"] - y["ordinal"]).cast("int"))
     rows = F.transform(in_order, lambda x: F.struct(x["labels"].alias("labels"), x["discovered"].alias("discoveredLabels")))
-    docs = t.groupBy("region").agg(rows.alias("targets")).select(F.when(F.col("region") == 2, "error").otherwise("success").alias("status"), F.struct(F.col("targets").alias("activeTargets")).alias("data"))
+    docs = t.groupBy("doc").agg(rows.alias("targets")).select(F.when(F.col("doc") % 3 == 2, "error").otherwise("success").alias("status"), F.struct(F.col("targets").alias("activeTargets")).alias("data"))
     path = shared_path(spark, "targets")
     docs.write.json(path)
     return path
 
 
-@query(_with(X.TARGETS) + "select job, instance, case when kind = 1 then 'vm' || n else '' end vm, case when kind = 0 then 'pod' || n else '' end pod from fx_targets where ordinal % 3 <> 2")
+@query(_with(X.TARGETS) + "select job, instance, case when kind = 1 then 'vm' || n else '' end vm, case when kind = 0 then 'pod' || n else '' end pod from fx_targets where (ordinal // 100) % 3 <> 2")
 def q_src_targets(spark, d):
     t = readers.read_targets(spark, _target_documents(spark, d))
     return t.select(*_flat(t, "job", "instance"), L.get(F.col("discovered"), "__meta_gce_instance_id").alias("vm"), L.get(F.col("discovered"), "__meta_kubernetes_pod_name").alias("pod"))
 
 
-@query(_with(X.PART_METADATA) + "select metric, case when metric_type = 'untyped' then 'unknown' else metric_type end metric_type, help from fx_part where ordinal % 50 <> 7")
+@query(_with(X.PART_METADATA) + "select metric, case when metric_type = 'untyped' then 'unknown' else metric_type end metric_type, help from fx_part where (ordinal // 50) % 50 <> 7")
 def q_src_metadata(spark, d):
     path = shared_path(spark, "metadata")
-    p = X.part_metadata(spark, d).withColumn("doc", F.col("ordinal") % 50)
+    p = X.part_metadata(spark, d).withColumn("doc", F.expr("ordinal div 50"))
     rows = F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "metric", "metric_type", "help"))), lambda x: F.struct(x["metric"].alias("metric"), x["metric_type"].alias("type"), x["help"].alias("help")))
-    docs = p.groupBy("doc").agg(rows.alias("rows")).select(F.lit("success").alias("status"), F.when(F.col("doc") == 7, "not_found").alias("errorType"), F.when(F.col("doc") != 7, F.col("rows")).alias("data"))
+    docs = p.groupBy("doc").agg(rows.alias("rows")).select(F.lit("success").alias("status"), F.when(F.col("doc") % 50 == 7, "not_found").alias("errorType"), F.when(F.col("doc") % 50 != 7, F.col("rows")).alias("data"))
     docs.write.json(path)
     return readers.read_metadata(spark, path).select("metric", "metric_type", "help")
 
@@ -280,7 +280,7 @@ def q_resource_best_effort(spark, d):
 _MATCHED = "matched as (select s.*, t.ordinal, t.kind, t.n from fx_series s left join fx_targets t on s.job = t.job and s.instance = t.instance)"
 
 
-@query(_with(X.SAMPLES, X.SERIES) + "select s.seq, s.ref, name, usr from fx_samples s join fx_series r on s.ref = r.ref where r.segment < 5")
+@query(_with(X.SAMPLES, X.SERIES) + "select s.seq, s.ref, name, usr from fx_samples s join fx_series r on s.ref = r.ref")
 def q_join_series(spark, d):
     out = series.join_series(X.samples(spark, d), series.latest_series(X.series(spark, d)))
     return out.select("seq", "ref", L.get(F.col("labels"), "__name__").alias("name"), *_flat(out, "usr"))
@@ -308,16 +308,16 @@ def q_match_target(spark, d):
 _INTERNAL = "('up'), ('scrape_samples_scraped'), ('scrape_duration_seconds'), ('scrape_samples_post_metric_relabeling')"
 _UNION = f"""u as (select metric, case when metric_type = 'untyped' then 'unknown' else metric_type end metric_type, value_type, 'static' origin, 0 rank, ordinal from fx_part where ordinal % 10 = 0 and ordinal < 1500
   union all select m, 'gauge', 'double', 'internal', 1, 0 from (values {_INTERNAL}) i(m)
-  union all select metric, case when metric_type = 'untyped' then 'unknown' else metric_type end, null, 'fetched', 2, ordinal from fx_part where ordinal % 10 <> 0
+  union all select metric, case when metric_type = 'untyped' then 'unknown' else metric_type end, null, 'fetched', 2, ordinal from fx_part where not (ordinal % 10 = 0 and ordinal < 1500)
   union all select m, 'counter', null, 'fetched', 2, 0 from (values {_INTERNAL}) i(m)),
 best as (select * from (select *, row_number() over (partition by metric order by rank, ordinal) k from u) where k = 1)"""
 
 
 def _both_metadata(spark, d):
-    """Static entries (every tenth part, each metric once), and fetched ones (the others, and internal metrics under a wrong type)."""
+    """Static entries (of every tenth part the first with its metric), and fetched ones (all others, and internal metrics under a wrong type)."""
     p = X.part_metadata(spark, d)
     wrong = spark.createDataFrame([(m,) for m in series.INTERNAL_METRICS], "metric string").select(F.lit(0).cast("long").alias("ordinal"), "metric", F.lit("counter").alias("metric_type"), F.lit("").alias("help"))
-    return p.filter("ordinal % 10 = 0 and ordinal < 1500"), p.filter("ordinal % 10 <> 0").select("ordinal", "metric", "metric_type", "help").unionByName(wrong)
+    return p.filter("ordinal % 10 = 0 and ordinal < 1500"), p.filter("not (ordinal % 10 = 0 and ordinal < 1500)").select("ordinal", "metric", "metric_type", "help").unionByName(wrong)
 
 
 @query(_with(X.PART_METADATA, _UNION) + "select metric, metric_type, value_type, origin from best")
@@ -586,19 +586,20 @@ def q_last_point_per_series(spark, d):
     return stats.last_point_per_series(X.pair_points(spark, d).drop("ref")).select("series_key", "seq", "t", "v")
 
 
-def _batched(spark, d, max_size=7):
-    return batching.assign_batches(X.samples(spark, d).withColumnRenamed("ref", "series_key"), max_size, lanes=1)
+def _bucket(key: str, n: int) -> str:
+    """The SQL of batching.bucket."""
+    return f"(('0x' || substr(md5({key}::varchar), 1, 8))::bigint % {n})::int"
 
 
-_BATCHES = "ba as (select seq, ref series_key, row_number() over (partition by ref order by seq) round from fx_samples), bb as (select *, (row_number() over (partition by round order by series_key) - 1) // 7 chunk from ba)"
+_BATCHES = f"ba as (select seq, ref series_key, row_number() over (partition by ref order by seq) round, {_bucket('ref', 64)} lane from fx_samples), bb as (select *, ((row_number() over (partition by round, lane order by series_key) - 1) // 200)::int chunk from ba)"
 
 
-@query(_with(X.SAMPLES, _BATCHES) + "select seq, series_key, round, chunk from bb")
+@query(_with(X.SAMPLES, _BATCHES) + "select seq, series_key, round, lane, chunk from bb")
 def q_assign_batches(spark, d):
-    return _batched(spark, d).select("seq", "series_key", "round", "chunk")
+    return batching.assign_batches(X.samples(spark, d).withColumnRenamed("ref", "series_key")).select("seq", "series_key", "round", "lane", "chunk")
 
 
-@query()
+@query(_with(X.SAMPLES) + f"select {_bucket('ref', 8)} shard, count(*) n, count(distinct ref) series from fx_samples group by 1")
 def q_assign_shards(spark, d):
     return batching.assign_shards(X.samples(spark, d).withColumnRenamed("ref", "series_key"), 8).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("series_key").alias("series"))
 
@@ -636,14 +637,15 @@ def q_explicit_distribution(spark, d):
 # Streams
 
 
-def _log(spark, d, samples=None, files: int = 4) -> str:
-    """Writes scrapes as JSON files whose order in time is that of the scrapes."""
-    path = shared_path(spark, "log")
+SCRAPES_PER_FILE = 2500
+
+
+def _log(spark, d, samples=None, path: str | None = None) -> str:
+    """Writes scrapes as JSON files of bounded size (four at least), whose order in time is that of the scrapes, after what is there."""
+    path = path or shared_path(spark, "log")
     packed = readers.pack_scrapes(samples if samples is not None else X.samples(spark, d))
-    last = packed.agg(F.max("scrape_id")).first()[0] or 0
-    step = last // files + 1
-    for k in range(files):
-        packed.filter(F.col("scrape_id").between(k * step, (k + 1) * step - 1)).coalesce(1).write.mode("append").json(path)
+    files = max(4, -(-packed.count() // SCRAPES_PER_FILE))
+    readers.append_in_order(packed.repartitionByRange(files, "scrape_id").sortWithinPartitions("scrape_id"), path)
     return path
 
 
@@ -675,13 +677,13 @@ def q_stream_dedup(spark, d):
     s = X.samples(spark, d)
     path, out = _log(spark, d, s), shared_path(spark, "dedup")
     last = s.agg(F.max("scrape_id")).first()[0] or 0
-    readers.pack_scrapes(s.filter(F.col("scrape_id") > last * 3 // 4)).coalesce(1).write.mode("append").json(path)
+    _log(spark, d, s.filter(F.col("scrape_id") > last * 3 // 4), path)
     stream = streams.drop_replays(readers.read_samples_stream(spark, path), "400 days").select("seq", "ref", "t", "v")
     streams.to_table(stream, out, shared_path(spark, "checkpoint"))
     return spark.read.parquet(out).groupBy("ref", "t").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(_with(X.SAMPLES, *_DIMENSIONS, _RESOLVED, _KEYED) + "select series_key, count(*) samples from fx_samples join keyed using (ref) group by series_key")
 def q_stream_refresh(spark, d):
     """Resolution with dimensions that are read anew with every micro-batch, then points of the resolved samples."""
     path, table, out = _log(spark, d), shared_path(spark, "resolved"), shared_path(spark, "resolved-samples")
@@ -689,11 +691,14 @@ def q_stream_refresh(spark, d):
     return spark.read.parquet(out).groupBy("series_key").agg(F.count(F.lit(1)).alias("samples"))
 
 
-@query()
+@query(_with(*_ALL_POINTS) + "select series_key, count(*) points, count(*) requests, true in_limits from points group by series_key")
 def q_stream_sink(spark, d):
-    """Points delivered by foreachBatch, with the requests they went in."""
+    """Points delivered by foreachBatch: in how many requests each series went, and whether all of these held their limits."""
     path, out = _log(spark, d), shared_path(spark, "sink")
     resolved = _resolved(spark, d).filter("reason is null")
     points = streams.stream_points(readers.read_samples_stream(spark, path), resolved)
     streams.for_each_batch(points, lambda batch, n: batch.withColumn("batch", F.lit(n)).write.mode("append").parquet(out), shared_path(spark, "checkpoint"))
-    return spark.read.parquet(out).groupBy("batch", "round", "lane", "chunk").agg(F.count(F.lit(1)).alias("points"), F.countDistinct("series_key").alias("series"))
+    sent, request = spark.read.parquet(out), ("batch", "round", "lane", "chunk")
+    limits = sent.groupBy(*request).agg((F.count(F.lit(1)) <= batching.MAX_SIZE).alias("small"), (F.count(F.lit(1)) == F.countDistinct("series_key")).alias("once"))
+    told = sent.join(limits, list(request))
+    return told.groupBy("series_key").agg(F.count(F.lit(1)).alias("points"), F.countDistinct(*request).alias("requests"), F.bool_and(F.col("small") & F.col("once")).alias("in_limits"))

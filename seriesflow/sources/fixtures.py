@@ -1,4 +1,4 @@
-"""The engine's tables, derived from a star schema's (events, orders, lineitem, nation, region, supplier, part).
+"""The engine's tables, derived from a star schema's (events, orders, lineitem, customer, supplier, part).
 
 Each function's counterpart in DuckDB's SQL stands beside it."""
 
@@ -42,24 +42,22 @@ STATIC = {R.PROJECT: "proj", R.LOCATION: "loc", R.CLUSTER: "clu", R.GENERIC_LOCA
 
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ordinal, labels, discovered): of four kinds, by nation: containers, virtual machines, generic tasks, and ones that no rule knows."""
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    # Both tables have a fixed few rows.
-    pairs = nation.filter("n_nationkey < 18").join(F.broadcast(region.filter("r_regionkey < 3")), F.lit(True))
-    kind = F.col("n_nationkey") % 4
+    """(ordinal, labels, discovered), by customer: of four kinds: containers, virtual machines, generic tasks, and ones that no rule knows."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.expr("c_custkey div 3").alias("number"))
+    kind = F.col("number") % 4
     when = lambda k, v: F.when(kind.isin(k) if isinstance(k, int) else kind.isin(*k), v)
-    n = F.col("n_nationkey").cast("string")
-    labels = L.labels_of(job=F.concat(F.lit("job"), F.col("r_regionkey").cast("string")), instance=F.concat(F.lit("inst"), n))
+    n = F.col("number").cast("string")
+    labels = L.labels_of(job=F.concat(F.lit("job"), (F.col("c_custkey") % 3).cast("string")), instance=F.concat(F.lit("inst"), n))
     found = {
         R.PROJECT: when((0, 2), F.lit("proj")), R.LOCATION: when(0, F.lit("loc")), R.CLUSTER: when(0, F.lit("clu")), R.KUBERNETES + "namespace": when(0, F.lit("ns")),
         R.KUBERNETES + "pod_name": when(0, F.concat(F.lit("pod"), n)), R.KUBERNETES + "pod_container_name": when(0, F.lit("main")),
         "__meta_gce_project": when(1, F.lit("gproj")), "__meta_gce_instance_id": when(1, F.concat(F.lit("vm"), n)), "__meta_gce_zone": when(1, F.concat(F.lit("projects/p/zones/z"), n)),
         R.GENERIC_LOCATION: when(2, F.lit("gloc")), R.GENERIC_NAMESPACE: when(2, F.lit("gns")), "other": F.lit("x"),
     }
-    return pairs.select((F.col("n_nationkey") * 3 + F.col("r_regionkey")).alias("ordinal"), labels.alias("labels"), L.labels_of(**found).alias("discovered"))
+    return rows.select(F.col("c_custkey").alias("ordinal"), labels.alias("labels"), L.labels_of(**found).alias("discovered"))
 
 
-TARGETS = "fx_targets as (select n_nationkey * 3 + r_regionkey ordinal, 'job' || r_regionkey job, 'inst' || n_nationkey instance, n_nationkey n, n_nationkey % 4 kind from nation, region where r_regionkey < 3 and n_nationkey < 18)"
+TARGETS = "fx_targets as (select c_custkey ordinal, 'job' || (c_custkey % 3) job, 'inst' || (c_custkey // 3) instance, c_custkey // 3 n, (c_custkey // 3) % 4 kind from customer)"
 
 
 def static_metadata(spark: SparkSession) -> DataFrame:

@@ -30,6 +30,20 @@ def pack_scrapes(samples: DataFrame) -> DataFrame:
     return samples.groupBy("scrape_id").agg(F.array_sort(F.collect_list(F.struct("seq", "ref", "t", "v"))).alias("samples"))
 
 
+def append_in_order(rows: DataFrame, path: str) -> None:
+    """Adds rows to a folder of JSON lines, a file each partition, and makes the files' times follow the order of partitions: streams take older files first."""
+    spark = rows.sparkSession
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = lambda: {f.getPath().getName(): f.getModificationTime() for f in store.listStatus(folder) if f.getPath().getName().startswith("part-")}
+    before = found() if store.exists(folder) else {}
+    rows.write.mode("append").json(path)
+    begin = max(before.values(), default=1_000_000_000_000)
+    for k, name in enumerate(sorted(set(found()) - set(before)), 1):
+        store.setTimes(jvm.org.apache.hadoop.fs.Path(folder, name), begin + 1000 * k, -1)
+
+
 def read_samples(spark: SparkSession, path: str, form: str = "json") -> DataFrame:
     return unpack_scrapes(_read(spark, path, SCRAPES, form))
 

@@ -27,7 +27,9 @@ def _rocks(spark: SparkSession) -> None:
 
 
 def _stateful(rows: DataFrame, key: str, processor: StatefulProcessor, schema: str) -> DataFrame:
-    # Expiry goes by the clock of the process.
+    # Expiry goes by the clock. It shows when a state is read, so that batches without data aren't needed: a run over what is there would never end by them.
+    if processor.ttl is not None:
+        rows.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     return rows.groupBy(key).transformWithStateInPandas(processor, schema, "Append", "None" if processor.ttl is None else "ProcessingTime")
 
 
