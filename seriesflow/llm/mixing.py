@@ -1,8 +1,7 @@
 """Mixing sources to target weights by iterative proportional fitting. DataFrame functions only.
 
-Tokens are summed per cell of source, language and topic. A cell's weight is the product of a factor for each of the three. Raking sets the
-factors of one margin after the other to target over the tokens weighted by the other factors, round after round, until no factor
-changes any more, or for ROUNDS at most: the weighted tokens then have all target marginals. Where factors still change by more than 1 in
+Tokens are summed per cell of source, language and topic. Raking multiplies the cells' weights, one margin after the other and round
+after round, by target over present share, until no weight changes any more, or for ROUNDS at most: the weighted tokens then have all target marginals. Where weights still change by more than 1 in
 10,000 (few documents a cell, or targets that no weights meet together), a warning says by how much; the last margin is met even then. A document is then sampled
 with probability min(1, c * weight of its cell); c is calibrated so that the expected tokens are the budget.
 
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 from .shared import cut, documents
 
 MARGINS = ("source", "lang", "topic")
-#: Raking ends when no factor changes by more than this share, or after so many rounds.
+#: Raking ends when no weight changes by more than this share, or after so many rounds.
 TOLERANCE = 1e-10
 ROUNDS = 10
 POWER = 0.5
@@ -63,29 +62,28 @@ def _targets(cells: DataFrame, margin: str, given: DataFrame | None, power: floa
 def rake(cells: DataFrame, targets: dict[str, DataFrame], most: int = ROUNDS) -> DataFrame:
     """cells with weight: after it, weighted tokens have the target shares of each margin.
 
-    Cells are only ever summed up per value, which tasks begin by themselves, and join tables of one row a value."""
+    Cells are only ever summed up per value, which tasks begin by themselves, and join tables of one row a value; a value with many cells is
+    a skewed key of that join, which Spark splits. Each step is written: the next ones start from it."""
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    factors = {m: cut(cells.select(m).distinct().join(t, m, "left").select(m, (F.coalesce("share", F.lit(0.0)) * total).alias("wanted"), F.lit(1.0).alias("factor")), "factors") for m, t in targets.items()}
-
-    def joined(*margins: str) -> DataFrame:
-        now = cells.withColumn("weight", F.lit(1.0))
-        for m in margins:
-            now = now.join(factors[m].select(m, F.col("factor").alias("__f")), m).withColumn("weight", F.col("weight") * F.col("__f")).drop("__f")
-        return now
-
+    now = cells.withColumn("weight", F.lit(1.0))
+    for m, wanted in targets.items():
+        now = now.join(wanted.select(m, (F.col("share") * total).alias(f"__{m}")).hint("merge"), m, "left")
+    now = cut(now.withColumns({f"__{m}": F.coalesce(f"__{m}", F.lit(0.0)) for m in targets}), "cells")
     change = 0.0
     for _ in range(most):
         change = 0.0
-        for margin in targets:
-            mass = joined(*(m for m in targets if m != margin)).groupBy(margin).agg(F.sum(F.col("tokens") * F.col("weight")).alias("mass"))
-            new = F.when(F.col("mass") > 0, F.col("wanted") / F.col("mass")).otherwise(0.0)
-            factors[margin] = cut(factors[margin].select(margin, "wanted", F.col("factor").alias("before")).join(mass, margin).select(margin, "wanted", new.alias("factor"), "before"), "factors")
-            change = max(change, factors[margin].agg(F.max(F.abs(F.col("factor") - F.col("before")) / F.greatest(F.abs("factor"), F.abs("before"), F.lit(1e-300)))).first()[0] or 0.0)
+        for m in targets:
+            mass = now.groupBy(m).agg(F.sum(F.col("tokens") * F.col("weight")).alias("__mass"), F.max(f"__{m}").alias("__wanted"))
+            # A value without tokens, or without weight so far, has no factor.
+            factor = mass.select(m, F.when(F.col("__mass") > 0, F.col("__wanted") / F.col("__mass")).otherwise(0.0).alias("__factor"))
+            # A table of one row a value would be broadcast at every step, and stay in executors' memory long after.
+            now = cut(now.drop("__factor").join(factor.hint("merge"), m).withColumn("weight", F.col("weight") * F.col("__factor")), "cells")
+            change = max(change, now.agg(F.max(F.when(F.col("weight") > 0, F.abs(F.col("__factor") - 1)))).first()[0] or 0.0)
         if change < TOLERANCE:
             break
     if change > 1e-4:
-        warnings.warn(f"raking has not converged: factors still change by a share of {change:.3g}", stacklevel=2)
-    return cut(joined(*targets).select(*MARGINS, "tokens", "weight"), "raked")
+        warnings.warn(f"raking has not converged: weights still change by a share of {change:.3g}", stacklevel=2)
+    return now.select(*MARGINS, "tokens", "weight")
 
 
 def calibrate(cells: DataFrame, budget: float) -> DataFrame:

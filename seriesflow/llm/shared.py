@@ -16,10 +16,19 @@ from pyspark.sql import functions as F
 #: The characters that count as white space in texts.
 SPACE = "\\x20\\x09-\\x0D"
 CHUNK_BYTES = 1 << 19
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches that go to Python are bounded by bytes as well as by rows, unless the session says otherwise: texts are long."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, or, where that is unset and Spark is one local process, a temporary one."""
+    bounded_batches(spark)
     context = spark.sparkContext
     known = context.getCheckpointDir()
     if known:
@@ -95,6 +104,7 @@ def smallest_hashes(rows: DataFrame, column: str, n: int) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
