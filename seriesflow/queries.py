@@ -64,26 +64,37 @@ def _target_documents(spark, d):
     t = X.targets(spark, d).withColumn("doc", F.expr("ordinal div 100"))
     in_order = F.array_sort(F.collect_list(F.struct("ordinal", "labels", "discovered")), lambda x, y: (x["ordinal"] - y["ordinal"]).cast("int"))
     rows = F.transform(in_order, lambda x: F.struct(x["labels"].alias("labels"), x["discovered"].alias("discoveredLabels")))
-    docs = t.groupBy("doc").agg(rows.alias("targets")).select(F.when(F.col("doc") % 3 == 2, "error").otherwise("success").alias("status"), F.struct(F.col("targets").alias("activeTargets")).alias("data"))
+    docs = t.groupBy("doc").agg(rows.alias("targets")).repartitionByRange(8, "doc").sortWithinPartitions("doc")
     path = shared_path(spark, "targets")
-    docs.write.json(path)
+    docs.select(F.when(F.col("doc") % 3 == 2, "error").otherwise("success").alias("status"), F.struct(F.col("targets").alias("activeTargets")).alias("data")).write.json(path)
     return path
 
 
-@query(_with(X.TARGETS) + "select job, instance, case when kind = 1 then 'vm' || n else '' end vm, case when kind = 0 then 'pod' || n else '' end pod from fx_targets where (ordinal // 100) % 3 <> 2")
+@query(
+    _with(X.TARGETS)
+    + "select job, instance, case when kind = 1 then 'vm' || n else '' end vm, case when kind = 0 then 'pod' || n else '' end pod, row_number() over (partition by n // 500 order by ordinal)::int place from fx_targets where (ordinal // 100) % 3 <> 2"
+)
 def q_src_targets(spark, d):
+    """Targets of files of documents; place is their order among those of 500 instances, over several documents and files."""
     t = readers.read_targets(spark, _target_documents(spark, d))
-    return t.select(*_flat(t, "job", "instance"), L.get(F.col("discovered"), "__meta_gce_instance_id").alias("vm"), L.get(F.col("discovered"), "__meta_kubernetes_pod_name").alias("pod"))
+    group = F.expr("cast(substr(instance, 5) as long) div 500")
+    t = t.select("ordinal", *_flat(t, "job", "instance"), L.get(F.col("discovered"), "__meta_gce_instance_id").alias("vm"), L.get(F.col("discovered"), "__meta_kubernetes_pod_name").alias("pod"))
+    return t.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy("ordinal"))).drop("ordinal")
 
 
-@query(_with(X.PART_METADATA) + "select metric, case when metric_type = 'untyped' then 'unknown' else metric_type end metric_type, help from fx_part where (ordinal // 50) % 50 <> 7")
+@query(
+    _with(X.PART_METADATA)
+    + "select metric, case when metric_type = 'untyped' then 'unknown' else metric_type end metric_type, help, row_number() over (partition by metric order by ordinal)::int place from fx_part where (ordinal // 50) % 50 <> 7"
+)
 def q_src_metadata(spark, d):
+    """Metadata of files of documents; place is their order among those of one metric."""
     path = shared_path(spark, "metadata")
     p = X.part_metadata(spark, d).withColumn("doc", F.expr("ordinal div 50"))
     rows = F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "metric", "metric_type", "help"))), lambda x: F.struct(x["metric"].alias("metric"), x["metric_type"].alias("type"), x["help"].alias("help")))
-    docs = p.groupBy("doc").agg(rows.alias("rows")).select(F.lit("success").alias("status"), F.when(F.col("doc") % 50 == 7, "not_found").alias("errorType"), F.when(F.col("doc") % 50 != 7, F.col("rows")).alias("data"))
+    docs = p.groupBy("doc").agg(rows.alias("rows")).repartitionByRange(8, "doc").sortWithinPartitions("doc").select(F.lit("success").alias("status"), F.when(F.col("doc") % 50 == 7, "not_found").alias("errorType"), F.when(F.col("doc") % 50 != 7, F.col("rows")).alias("data"))
     docs.write.json(path)
-    return readers.read_metadata(spark, path).select("metric", "metric_type", "help")
+    read = readers.read_metadata(spark, path)
+    return read.select("metric", "metric_type", "help", F.row_number().over(Window.partitionBy("metric").orderBy("ordinal")).alias("place"))
 
 
 @query(_with(X.TARGETS) + "select ordinal, 'proj' project, 'clu' cluster, 'gloc' generic_location, case when kind = 2 then 'gns' else '' end generic_namespace, 'x' other, (1 + 4 + case kind when 0 then 3 when 1 then 3 when 2 then 1 else 0 end)::int n from fx_targets")
@@ -396,8 +407,8 @@ def q_type_series(spark, d):
     return resolve.type_series(rows).select("ordinal", "metric_kind", "value_type", "emitted", "error")
 
 
-def _resolved(spark, d):
-    return resolve.resolve_all(X.series(spark, d), X.targets(spark, d), X.static_metadata(spark), X.fetched_metadata(spark), renames=X.renames(spark))
+def _resolved(spark, d, of=None):
+    return resolve.resolve_all(X.series(spark, d) if of is None else of, X.targets(spark, d), X.static_metadata(spark), X.fetched_metadata(spark), renames=X.renames(spark))
 
 
 _REASON = "case when ordinal is null then 'target_not_found' when kind = 3 then 'unknown_resource' when name = 'signup' then 'metadata_not_found' end"
@@ -687,7 +698,9 @@ def q_stream_dedup(spark, d):
 def q_stream_refresh(spark, d):
     """Resolution with dimensions that are read anew with every micro-batch, then points of the resolved samples."""
     path, table, out = _log(spark, d), shared_path(spark, "resolved"), shared_path(spark, "resolved-samples")
-    streams.refresh_dimensions(readers.read_samples_stream(spark, path), lambda s: _resolved(s, d).filter("reason is null").select("ref", "series_key", "metric_kind", "metric_type", "value_type"), table, out, shared_path(spark, "checkpoint"))
+    fields = "ref", "series_key", "metric_kind", "metric_type", "value_type"
+    resolve_refs = lambda s, refs: _resolved(s, d, X.series(s, d).join(refs, "ref", "left_semi")).filter("reason is null").select(*fields)
+    streams.refresh_dimensions(readers.read_samples_stream(spark, path), resolve_refs, table, out, shared_path(spark, "checkpoint"))
     return spark.read.parquet(out).groupBy("series_key").agg(F.count(F.lit(1)).alias("samples"))
 
 

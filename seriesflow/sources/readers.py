@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
@@ -53,22 +53,36 @@ def read_samples_stream(spark: SparkSession, path: str, form: str = "json", file
     return unpack_scrapes(spark.readStream.schema(SCRAPES).format(form).option("maxFilesPerTrigger", files_per_trigger).load(path))
 
 
+def _documents(spark: SparkSession, path: str, schema) -> DataFrame:
+    """JSON documents with place: struct<file, block, row>, which is in order of files' names, then of lines.
+
+    A block of a file is read by one task, line after line, so that within a block the task's own counter tells the order; between blocks, their begin does.
+    No number is made of these: places compare field by field, whatever the number and size of files."""
+    docs = spark.read.schema(schema).json(path)
+    meta = docs.withColumns({"__file": F.col("_metadata.file_path"), "__block": F.col("_metadata.file_block_start"), "__row": F.monotonically_increasing_id()})
+    return meta.withColumn("place", F.struct(F.col("__file").alias("file"), F.col("__block").alias("block"), F.col("__row").alias("row"))).drop("__file", "__block", "__row")
+
+
+def _ordinal() -> Column:
+    return F.struct("place.file", "place.block", "place.row", "pos").alias("ordinal")
+
+
 def read_targets(spark: SparkSession, path: str) -> DataFrame:
     """(ordinal, labels, discovered) of target responses (a JSON document per line or file); documents without success are left out.
 
-    Targets keep their order within a document, documents that of their files."""
-    docs = spark.read.schema(TARGET_RESPONSE).json(path).filter("status = 'success'")
-    numbered = docs.select(F.monotonically_increasing_id().alias("doc"), F.posexplode("data.activeTargets").alias("pos", "t"))
-    return numbered.select((F.col("doc") * 1_000_000 + F.col("pos")).alias("ordinal"), "t.labels", F.col("t.discoveredLabels").alias("discovered"))
+    ordinal, a struct, orders targets within a document as they stand there, documents as their lines, and files by name."""
+    docs = _documents(spark, path, TARGET_RESPONSE).filter("status = 'success'")
+    numbered = docs.select("place", F.posexplode("data.activeTargets").alias("pos", "t"))
+    return numbered.select(_ordinal(), "t.labels", F.col("t.discoveredLabels").alias("discovered"))
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """(ordinal, metric, metric_type, help) of metadata responses; not_found is empty, any other error raises when it is reached."""
-    docs = spark.read.schema(METADATA_RESPONSE).json(path)
+    """(ordinal, metric, metric_type, help) of metadata responses; not_found is empty, any other error raises when it is reached. ordinal: as of read_targets."""
+    docs = _documents(spark, path, METADATA_RESPONSE)
     bad = F.col("errorType").isNotNull() & ~F.col("errorType").isin("", "not_found")
     rows = F.when(bad, F.raise_error(F.concat(F.lit("metadata lookup failed: "), F.coalesce("error", F.lit(""))))).otherwise(F.col("data"))
-    numbered = docs.select(F.monotonically_increasing_id().alias("doc"), F.posexplode(rows).alias("pos", "m"))
-    return numbered.select((F.col("doc") * 1_000_000 + F.col("pos")).alias("ordinal"), "m.metric", L.normal_type(F.col("m.type")).alias("metric_type"), "m.help")
+    numbered = docs.select("place", F.posexplode(rows).alias("pos", "m"))
+    return numbered.select(_ordinal(), "m.metric", L.normal_type(F.col("m.type")).alias("metric_type"), "m.help")
 
 
 def with_static_labels(targets: DataFrame, static: Mapping[str, str]) -> DataFrame:

@@ -4,12 +4,12 @@ Stateful operators keep their state per key in the state store; a checkpoint fol
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -169,31 +169,50 @@ def for_each_batch(points: DataFrame, fn: Callable[[DataFrame, int], None], chec
     run(points.writeStream.foreachBatch(lambda batch, n: fn(assign_batches(batch, max_size), n)), checkpoint)
 
 
-def refresh_dimensions(samples: DataFrame, resolve: Callable[[SparkSession], DataFrame], resolved_path: str, out_path: str, checkpoint: str) -> None:
-    """Resolves series anew with every micro-batch, keeps the first resolution of each ref, and appends the resolved samples.
+def refresh_dimensions(samples: DataFrame, resolve: Callable[..., DataFrame], resolved_path: str, out_path: str, checkpoint: str) -> None:
+    """Resolves the series of each micro-batch that aren't known yet, keeps the first resolution of each ref, and writes the resolved samples.
 
-    resolve reads the dimension tables as they are now. A ref that doesn't resolve yet is tried again with its next samples."""
+    resolve(spark, refs), or resolve(spark), reads the dimension tables as they are now; a ref that doesn't resolve yet is tried again with its next samples.
+    Both tables have a partition (batch) per micro-batch. A repeated micro-batch, after a crash, leaves those that are complete as they are and writes
+    the others anew, so each sample is delivered once, with the resolution that its first try found."""
+    by_refs = len(inspect.signature(resolve).parameters) > 1
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        if complete(spark, f"{out_path}/batch={number}"):
+            return
         batch = batch.persist()
         try:
-            known = spark.read.schema(_with_place(resolve(spark)).schema).parquet(resolved_path) if _exists(spark, resolved_path) else None
-            refs = batch.select("ref").distinct()
-            fresh = refs if known is None else refs.join(known.select("ref"), "ref", "left_anti")
-            _with_place(resolve(spark).join(fresh, "ref", "left_semi"), number).write.mode("append").parquet(resolved_path)
-            # A repeated micro-batch may have written twice: the first resolution counts.
-            every = spark.read.parquet(resolved_path)
-            first = every.groupBy("ref").agg(F.min_by(F.struct(*(c for c in every.columns if c not in ("ref", "place"))), "place").alias("r")).select("ref", "r.*")
-            batch.join(first, "ref").write.mode("append").parquet(out_path)
+            if not complete(spark, f"{resolved_path}/batch={number}"):
+                known = _before(spark, resolved_path, number)
+                refs = batch.select("ref").distinct()
+                fresh = refs if known is None else refs.join(known.select("ref"), "ref", "left_anti")
+                found = resolve(spark, fresh) if by_refs else resolve(spark).join(fresh, "ref", "left_semi")
+                write_once(found.dropDuplicates(["ref"]), f"{resolved_path}/batch={number}")
+            known = _before(spark, resolved_path, number + 1).drop("batch")
+            write_once(batch.join(known, "ref"), f"{out_path}/batch={number}")
         finally:
             batch.unpersist()
 
     run(samples.writeStream.foreachBatch(step), checkpoint)
 
 
-def _with_place(resolved: DataFrame, number: int = 0) -> DataFrame:
-    return resolved.withColumn("place", F.lit(number).cast(T.LongType()))
+def write_once(rows: DataFrame, path: str) -> None:
+    """rows as the whole of a partition; what an earlier, unfinished try left there goes."""
+    rows.write.mode("overwrite").parquet(path)
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a partition was written to its end."""
+    return _exists(spark, f"{path}/_SUCCESS")
+
+
+def _before(spark: SparkSession, path: str, number: int) -> DataFrame | None:
+    """What the micro-batches before wrote; they are complete, as one follows the other."""
+    if not number:
+        return None
+    schema = spark.read.parquet(f"{path}/batch=0").schema.add("batch", "long")
+    return spark.read.schema(schema).parquet(path).filter(F.col("batch") < number)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

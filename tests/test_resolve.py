@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +155,33 @@ def test_all_series_join(spark):
     """Also those that a longer log sees first in its later segments."""
     d = "/root/testdata/sf0.1"
     assert QUERIES["join_series"](spark, d).count() == fixtures.samples(spark, d).count()
+
+
+def test_documents_keep_the_order_of_files_and_lines(spark, tmp_path):
+    """Files of very different sizes in more than a thousand blocks, the larger ones later by name and first to be read."""
+    want = []
+    for name, n in (("a", 3), ("b", 1500), ("c", 40)):
+        lines = []
+        for k in range(n):
+            want += [f"{name}{k}x", f"{name}{k}y"]
+            lines.append(json.dumps({"status": "success", "data": {"activeTargets": [{"labels": {"job": "j", "instance": f"{name}{k}{p}"}, "discoveredLabels": {}} for p in "xy"]}}))
+        (tmp_path / f"{name}.json").write_text("\n".join(lines) + "\n")
+    settings = {"spark.sql.files.maxPartitionBytes": "256", "spark.sql.files.openCostInBytes": "64"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        targets = readers.read_targets(spark, str(tmp_path))
+        assert targets.rdd.getNumPartitions() > 1074
+        assert [r[0] for r in rows(targets, F.col("labels.instance"), order="ordinal")] == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_the_first_target_is_that_of_the_first_file(spark, tmp_path):
+    for name, zone in (("a", "first"), ("b", "second")):
+        document = {"status": "success", "data": {"activeTargets": [{"labels": {"job": "j", "instance": "i"}, "discoveredLabels": {"zone": zone}}] * (1 if name == "a" else 500)}}
+        (tmp_path / f"{name}.json").write_text(json.dumps(document) + "\n")
+    one = spark.createDataFrame([(1, {"job": "j", "instance": "i"})], SERIES)
+    assert rows(series.match_target(one, readers.read_targets(spark, str(tmp_path))), "ref", F.col("discovered.zone")) == [(1, "first")]
