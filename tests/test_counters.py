@@ -2,10 +2,12 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from seriesflow.functions.matchers import Matcher
 from seriesflow.operators import counters as C
 from seriesflow.operators import overlap as O
+from seriesflow.operators import spread as S
 
 from .util import rows
 
@@ -96,3 +98,35 @@ def test_aggregated_counter_uses_every_filterset(spark):
 def test_gauges_need_later_ends(spark):
     df = table(spark, [(1, 0), (3, 0), (3, 0), (2, 0), (4, 0)]).withColumnRenamed("ref", "series_key")
     assert [r[0] for r in rows(O.reject_overlaps_gauge(df), "t", order="seq")] == [1, 3, 4]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_a_hot_series_is_cut_and_gives_the_same(spark, seed):
+    """Two refs, one of them null, have most of all samples; with blocks of few samples all results are those of one window per series."""
+    rng = random.Random(seed)
+    clock, data = {}, []
+    for k in range(3000):
+        ref = rng.choice((1,) * 12 + (None,) * 3 + (2, 3))
+        clock[ref] = clock.get(ref, 1000) + rng.choice((0, 5, 10, -30, 20))
+        # A long time without a reset, then many.
+        v = float(k + rng.randrange(3)) if k < 2000 else float(rng.randrange(30))
+        data.append((7 * k, ref, clock[ref], math.nan if k % 50 == 3 else v))
+    df = spark.createDataFrame(data, SAMPLES)
+    dealt = S.spread(df, ["ref"], least=40)
+    sizes = {(r[0], r[1]): r[2] for r in dealt.groupBy("ref", S.BLOCK).count().collect()}
+    # A quarter of a partition's share is 94.
+    assert max(sizes.values()) <= 200 and len([1 for r, _ in sizes if r == 1]) > 15 and len([1 for r, b in sizes if r is None and b >= 0]) > 3
+    live = C.drop_nan(df)
+    for f, columns in ((C.reset_adjust, ("seq", "ref", "first", "start", "adjusted")), (C.drop_out_of_order, ("seq", "ref", "t", "v")), (C.counter_deltas, ("seq", "ref", "delta"))):
+        assert rows(f(live, least=40), *columns, order="seq") == rows(f(live), *columns, order="seq")
+    assert rows(C.deltas_of(df, least=40), "seq", "ref", "delta", order="seq") == rows(C.deltas_of(df), "seq", "ref", "delta", order="seq")
+    assert S.spread(df, ["ref"], least=5000) is None
+
+
+def test_a_hot_series_is_read_by_many_tasks(spark):
+    """No task of the window has more than some blocks of a series that has all rows."""
+    df = spark.range(20000).selectExpr("id seq", "1L ref", "id * 10 t", "cast(id % 977 as double) v")
+    out = C.reset_adjust(df, least=500)
+    per = [r[0] for r in out.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).select("n").collect()]
+    assert sum(per) == 20000 and max(per) < 10000
+    assert out.agg(F.sum("adjusted")).first()[0] == C.reset_adjust(df).agg(F.sum("adjusted")).first()[0]
