@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from .counters import deltas_of
 
+#: A block's weight falls by exp(-PER_BLOCK); below exp(-VISIBLE) of the rate nothing shows in a double.
+PER_BLOCK = 14.0
+VISIBLE = 42.0
+
 
 def pipeline_stats(samples: DataFrame, points: DataFrame) -> DataFrame:
     """One row: scrapes and samples read, points made."""
@@ -53,22 +57,39 @@ def last_point_per_series(points: DataFrame, key: str = "series_key") -> DataFra
 def ewma_rate(events: DataFrame, key: str = "key", ts: str = "ts", tick: str = "15 seconds", alpha: float = 0.2) -> DataFrame:
     """(key, tick_end, rate): events per second, smoothed. The first tick sets the rate, each later one moves it by alpha; ticks without events count as 0.
 
-    The rate is a sum of all ticks so far with weights that fall by 1 - alpha each tick; those whose weight is below a double's
-    precision are left out, so a window of bounded length is enough."""
-    seconds = F.expr(f"interval {tick}")
-    ticks = events.groupBy(key, F.window(ts, tick).alias("w")).agg(F.count(F.lit(1)).alias("n")).select(key, F.col("w.start").alias("at"), "n")
-    span = ticks.groupBy(key).agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
-    grid = span.select(key, F.explode(F.sequence("lo", "hi", seconds)).alias("at"))
-    full = grid.join(ticks, [key, "at"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    w = Window.partitionBy(key).orderBy("at")
-    length = (F.unix_micros(F.col("at") + seconds) - F.unix_micros("at")) / 1e6
-    numbered = full.withColumns({"k": F.row_number().over(w) - 1, "x": F.col("n") / length})
-    reach = math.ceil(36.5 / -math.log(1 - alpha))
-    near = Window.partitionBy(key).orderBy("at").rowsBetween(-reach, 0)
-    gathered = numbered.withColumn("xs", F.collect_list(F.struct("k", "x")).over(near))
-    weight = lambda s: F.when(s["k"] == 0, F.lit(1.0)).otherwise(alpha) * F.pow(F.lit(1 - alpha), F.col("k") - s["k"])
-    rate = F.aggregate("xs", F.lit(0.0), lambda a, s: a + weight(s) * s["x"])
-    return gathered.select(key, (F.col("at") + seconds).alias("tick_end"), rate.alias("rate"))
+    A tick is a map of the rate, r -> (1 - alpha) r + alpha x, and so is a run of ticks. Ticks are dealt into blocks of a fixed number; what a block adds to the rate at its
+    end is one sum over its events, and its weight falls by the same factor with every block after it. So each block gets the rate that it begins with
+    from the few blocks before it whose weight a double still shows, and its ticks are folded from there: a key's ticks are many tasks' work."""
+    width = events.sparkSession.range(1).select(F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00+00:00' + interval {tick})")).first()[0]
+    size = max(1, math.ceil(PER_BLOCK / -math.log(1 - alpha))) if 0 < alpha < 1 else 64
+    reach = math.ceil(VISIBLE / PER_BLOCK) if alpha < 1 else 1
+    number = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / width)
+    ticks = events.groupBy(key, number.alias("tick")).agg(F.count(F.lit(1)).alias("n"))
+    span = ticks.groupBy(key).agg(F.min("tick").alias("lo"), F.max("tick").alias("hi"))
+    block = F.floor(F.col("tick") / size)
+    x = F.col("n") / (width / 1e6)
+    at = (F.col("tick") - F.col("block") * size).cast("int")
+    full = ticks.withColumn("block", block).groupBy(key, "block").agg(F.map_from_entries(F.collect_list(F.struct(at, x))).alias("xs"), F.sum(x * alpha * F.pow(F.lit(1 - alpha), size - 1 - at)).alias("adds"), F.min_by(F.struct(at.alias("at"), x.alias("x")), "tick").alias("first"))
+    # The first tick of all counts in full.
+    first = (F.col("first.at") + F.col("block") * size == F.col("lo")).cast("int")
+    full = full.join(span, key).withColumn("adds", F.col("adds") + first * (1 - alpha) * F.col("first.x") * F.pow(F.lit(1 - alpha), size - 1 - F.col("first.at")))
+    later = F.explode(F.transform(F.sequence(F.lit(1), F.lit(reach)), lambda k: F.struct((F.col("block") + k).alias("block"), (F.col("adds") * F.pow(F.lit((1 - alpha) ** size), k - 1)).alias("rate"))))
+    carry = full.select(key, later.alias("c")).groupBy(key, F.col("c.block").alias("block")).agg(F.sum("c.rate").alias("rate"))
+    blocks = span.withColumn("block", F.explode(F.sequence(F.floor(F.col("lo") / size), F.floor(F.col("hi") / size))))
+    blocks = blocks.join(full.select(key, "block", "xs"), [key, "block"], "left").join(carry, [key, "block"], "left")
+    begin = F.greatest(F.col("lo") - F.col("block") * size, F.lit(0)).cast("int")
+    end = F.least(F.col("hi") - F.col("block") * size, F.lit(size - 1)).cast("int")
+    fresh = F.col("lo") >= F.col("block") * size
+    state = F.struct(F.when(~fresh, F.coalesce("rate", F.lit(0.0))).alias("r"), F.array().cast("array<double>").alias("rs"))
+    move = lambda s, i: F.coalesce(s["r"] + alpha * (_at(i) - s["r"]), _at(i))
+    rates = F.aggregate(F.sequence(begin, end), state, lambda s, i: F.struct(move(s, i).alias("r"), F.concat(s["rs"], F.array(move(s, i))).alias("rs")))["rs"]
+    rows = blocks.select(key, (F.col("block") * size + begin).alias("from"), F.posexplode(rates).alias("k", "rate"))
+    return rows.select(key, F.timestamp_micros((F.col("from") + F.col("k") + 1) * width).alias("tick_end"), "rate")
+
+
+def _at(i: Column) -> Column:
+    """The rate of a block's i-th tick; most have no events."""
+    return F.coalesce(F.try_element_at("xs", i), F.lit(0.0))
 
 
 def rate_5m(samples: DataFrame, period: str = "5 minutes", seconds: float = 300.0) -> DataFrame:

@@ -130,3 +130,24 @@ def test_a_hot_series_is_read_by_many_tasks(spark):
     per = [r[0] for r in out.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).select("n").collect()]
     assert sum(per) == 20000 and max(per) < 10000
     assert out.agg(F.sum("adjusted")).first()[0] == C.reset_adjust(df).agg(F.sum("adjusted")).first()[0]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_overlaps_of_a_hot_key_in_blocks(spark, seed):
+    """Random intervals of one key (some outlast many blocks), of a null key and of others, against one fold per key."""
+    rng = random.Random(seed)
+    data, t = [], {}
+    for k in range(2500):
+        key = rng.choice(("hot",) * 12 + (None,) * 3 + ("a", "b"))
+        now = t[key] = t.get(key, 0) + rng.choice((0, 1, 4, 9, -6))
+        start = None if rng.random() < 0.05 else now - rng.randrange(1, 12) if seed else now // 40 * 40
+        data.append((5 * k, key, start, now + (400 * (seed == 2 and rng.random() < 0.004)), f"x{k}"))
+    df = spark.createDataFrame(data, "seq long, series_key string, start long, t long, more string")
+    want, last = [], {}
+    for seq, key, start, end, _ in data:
+        if key not in last or O.accepts(start or 0, end, *last[key]):
+            last[key] = (start or 0, end)
+            want.append((seq, f"x{seq // 5}"))
+    assert S.spread(df, ["series_key"], least=20).filter("series_key = 'hot'").select(S.BLOCK).distinct().count() > 15
+    assert rows(O.reject_overlaps(df, least=20), "seq", "more", order="seq") == want
+    assert rows(O.reject_overlaps(df), "seq", "more", order="seq") == want
