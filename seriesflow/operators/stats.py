@@ -72,11 +72,13 @@ def ewma_rate(events: DataFrame, key: str = "key", ts: str = "ts", tick: str = "
     full = ticks.withColumn("block", block).groupBy(key, "block").agg(F.map_from_entries(F.collect_list(F.struct(at, x))).alias("xs"), F.sum(x * alpha * F.pow(F.lit(1 - alpha), size - 1 - at)).alias("adds"), F.min_by(F.struct(at.alias("at"), x.alias("x")), "tick").alias("first"))
     # The first tick of all counts in full.
     first = (F.col("first.at") + F.col("block") * size == F.col("lo")).cast("int")
-    full = full.join(span, key).withColumn("adds", F.col("adds") + first * (1 - alpha) * F.col("first.x") * F.pow(F.lit(1 - alpha), size - 1 - F.col("first.at")))
+    full = full.join(span.withColumnRenamed(key, "__key"), F.col(key).eqNullSafe(F.col("__key"))).withColumn("adds", F.col("adds") + first * (1 - alpha) * F.col("first.x") * F.pow(F.lit(1 - alpha), size - 1 - F.col("first.at")))
     later = F.explode(F.transform(F.sequence(F.lit(1), F.lit(reach)), lambda k: F.struct((F.col("block") + k).alias("block"), (F.col("adds") * F.pow(F.lit((1 - alpha) ** size), k - 1)).alias("rate"))))
     carry = full.select(key, later.alias("c")).groupBy(key, F.col("c.block").alias("block")).agg(F.sum("c.rate").alias("rate"))
     blocks = span.withColumn("block", F.explode(F.sequence(F.floor(F.col("lo") / size), F.floor(F.col("hi") / size))))
-    blocks = blocks.join(full.select(key, "block", "xs"), [key, "block"], "left").join(carry, [key, "block"], "left")
+    # All that is known of a block, in one shuffle; a null key is a key.
+    parts = blocks.unionByName(full.select(key, "block", "xs"), allowMissingColumns=True).unionByName(carry, allowMissingColumns=True)
+    blocks = parts.groupBy(key, "block").agg(*(F.first(c, ignorenulls=True).alias(c) for c in ("lo", "hi", "xs", "rate"))).filter("lo is not null")
     begin = F.greatest(F.col("lo") - F.col("block") * size, F.lit(0)).cast("int")
     end = F.least(F.col("hi") - F.col("block") * size, F.lit(size - 1)).cast("int")
     fresh = F.col("lo") >= F.col("block") * size
