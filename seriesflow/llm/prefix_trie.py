@@ -61,10 +61,11 @@ def numbered(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     rows = conversations.filter("conv_id is not null").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
     words = F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")
-    rows = rows.withColumns({"term": _name(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text")), "words": words})
+    term = _name(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"))
     turn = F.col("turn").asc_nulls_first()
     dealt = rows.repartitionByRange(F.col("conv_id"), turn, F.col("role"), F.substring("text", 1, 32)).sortWithinPartitions("conv_id", turn, "role", "text")
-    local = dealt.select("conv_id", "term", "words", F.spark_partition_id().alias("part"))
+    # Made after the shuffle: its ranges take a pass over the rows of their own.
+    local = dealt.select("conv_id", term.alias("term"), words.alias("words"), F.spark_partition_id().alias("part"))
     local = cut(local.mapInArrow(_number, "conv_id long, term binary, words long, part int, at long"), "turns")
     per = local.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
