@@ -34,14 +34,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def guarded(stage: Stage) -> Stage:
-    """The stage with the extra columns of docs renamed, and named as before in what it returns."""
+    """The stage with the extra columns of docs renamed, and named as before in what it returns. Names that differ by case alone are one, as to Spark."""
 
     @wraps(stage)
     def with_names(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         names = {c if c in KNOWN else f"__extra_{k}": c for k, c in enumerate(docs.columns)}
         out = stage(spark, docs.toDF(*names), sf_dir)
-        made = {c for c in out.columns if c not in names}
-        return out.select(*(F.col(c).alias(names.get(c, c)) for c in out.columns if c in made or names[c] not in made))
+        made = {c.lower() for c in out.columns if c not in names}
+        return out.select(*(F.col(c).alias(names.get(c, c)) for c in out.columns if c not in names or names[c].lower() not in made))
 
     return with_names
 

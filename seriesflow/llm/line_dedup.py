@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import cut, documents, lower_ascii
+from .shared import cut, documents, lower_ascii, unused
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -171,16 +171,17 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
     # 64 bytes for ids, hashes and what a row costs in a table of the join.
     small = (bitmaps.agg(F.sum(F.octet_length("keep") + 64)).first()[0] or 0) <= BROADCAST_BYTES
     bitmaps = F.broadcast(bitmaps) if small else bitmaps
-    keyed = docs.withColumns({"__doc": F.coalesce(F.col(id_col).cast("long"), F.lit(_EMPTY_ID)), "__salt": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
-    maps = bitmaps.select(F.col("doc").alias("__doc"), F.col("salt").alias("__salt"), F.col("keep").alias("__keep"))
-    joined = keyed.join(maps, ["__doc", "__salt"], "left").drop("__doc", "__salt")
-    schema = joined.drop("__keep").schema
+    doc, salt, keep = unused(docs, "__doc", "__salt", "__keep")
+    keyed = docs.withColumns({doc: F.coalesce(F.col(id_col).cast("long"), F.lit(_EMPTY_ID)), salt: F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
+    maps = bitmaps.select(F.col("doc").alias(doc), F.col("salt").alias(salt), F.col("keep").alias(keep))
+    joined = keyed.join(maps, [doc, salt], "left").drop(doc, salt)
+    schema = joined.drop(keep).schema
     for name, kind in (("kept_text", "string"), ("n_lines", "long"), ("n_dropped", "long")):
         schema = schema.add(name, kind)
 
     def thin(batches):
         for batch in batches:
-            texts, maps, kept, counts, losses = batch.column(text_col), batch.column("__keep"), [], [], []
+            texts, maps, kept, counts, losses = batch.column(text_col), batch.column(keep), [], [], []
             for text, packed in zip(texts.to_pylist(), maps.to_pylist(), strict=True):
                 text = text or ""
                 lost = 0
@@ -195,8 +196,8 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
                     counts.append(len(lines))
                     kept.append("\n".join(x for k, x in enumerate(lines) if k not in gone))
                 losses.append(lost)
-            cols = [batch.column(n) for n in batch.schema.names if n != "__keep"]
-            names = [n for n in batch.schema.names if n != "__keep"]
+            cols = [batch.column(n) for n in batch.schema.names if n != keep]
+            names = [n for n in batch.schema.names if n != keep]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(kept, pa.string()), pa.array(counts, pa.int64()), pa.array(losses, pa.int64())], [*names, "kept_text", "n_lines", "n_dropped"])
 
     return joined.mapInArrow(thin, schema)

@@ -19,7 +19,7 @@ import warnings
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import cut, documents
+from .shared import cut, documents, unused
 
 MARGINS = ("source", "lang", "topic")
 #: Raking ends when no weight changes by more than this share, or after so many rounds.
@@ -108,10 +108,11 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targe
         docs = docs.withColumn("topic", topic_of(F.coalesce(F.col(text_col), F.lit(""))))
     cells = cut(_cells(docs, text_col), "cells")
     wanted = {m: cut(_targets(cells, m, (targets or {}).get(m), power), "targets") for m in MARGINS}
-    done = cut(calibrate(rake(cells, wanted, rounds), budget).select(*(F.col(m).alias(f"__{m}") for m in MARGINS), F.round("weight", DIGITS).alias("weight"), F.round("probability", DIGITS).alias("probability")), "mixed")
+    keys = dict(zip(MARGINS, unused(docs, *(f"__{m}" for m in MARGINS)), strict=True))
+    done = cut(calibrate(rake(cells, wanted, rounds), budget).select(*(F.col(m).alias(k) for m, k in keys.items()), F.round("weight", DIGITS).alias("weight"), F.round("probability", DIGITS).alias("probability")), "mixed")
     side = F.broadcast(done) if done.count() <= BROADCAST_CELLS else done
-    match = [F.coalesce(F.col(m).cast("string"), F.lit("")) == F.col(f"__{m}") for m in MARGINS]
-    joined = docs.join(side, match[0] & match[1] & match[2]).drop(*(f"__{m}" for m in MARGINS))
+    match = [F.coalesce(F.col(m).cast("string"), F.lit("")) == F.col(k) for m, k in keys.items()]
+    joined = docs.join(side, match[0] & match[1] & match[2]).drop(*keys.values())
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))), 1, 12), 16, 10).cast("double") / float(16**12)
     return joined.withColumn("sampled", draw < F.col("probability"))
 

@@ -103,6 +103,17 @@ def smallest_hashes(rows: DataFrame, column: str, n: int) -> DataFrame:
     return hashed.filter(F.col("__h") <= bound if bound is not None else F.lit(False)).drop("__h").limit(n)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, made longer until no column of df has them, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
