@@ -40,7 +40,9 @@ def type_series(df: DataFrame) -> DataFrame:
 
 def resolve_all(series: DataFrame, targets: DataFrame, static: DataFrame, fetched: DataFrame, rules: Sequence[Rule] = RULES, renames: DataFrame | None = None, prefix: str = L.PREFIX, best_effort: Rule | None = None, most: int = MAX_LABELS) -> DataFrame:
     """Every series with what it resolves to, and reason where it doesn't (null where it does)."""
-    rows = match_target(series.withColumns({"raw_labels": F.col("labels"), "name": L.get(F.col("labels"), "__name__")}), targets)
+    # A ref may have several records, each defining it anew.
+    ids = [c for c in ("ref", "seq") if c in series.columns]
+    rows = match_target(series.withColumns({"raw_labels": F.col("labels"), "name": L.get(F.col("labels"), "__name__")}), targets, ids)
     rows = resolve_resource(rows, rules, best_effort)
     left = L.drop_label(L.drop_target_labels(F.col("labels"), F.coalesce("target_labels", F.create_map().cast("map<string,string>"))), "__name__")
     rows = rows.withColumn("metric_labels", left)

@@ -15,6 +15,8 @@ from ..sources.shared import side, written
 #: Metrics that every scrape produces; all are gauges of doubles.
 INTERNAL_METRICS = ("up", "scrape_samples_scraped", "scrape_duration_seconds", "scrape_samples_post_metric_relabeling")
 MAX_LABELS = 10
+#: Up to so many targets of a job and instance all of them are looked at for each of its series.
+MOST_TARGETS = 64
 
 
 def export_flags(series: DataFrame, include: Sequence[Filterset] | None, counters: Mapping[str, Sequence[Filterset]]) -> DataFrame:
@@ -53,16 +55,36 @@ def join_series_asof(samples: DataFrame, series: DataFrame) -> DataFrame:
     return seen.filter("kind = 1 and known is not null").select("ref", "sample.*", "known.labels", "known.defined")
 
 
-def match_target(series: DataFrame, targets: DataFrame) -> DataFrame:
-    """series with target_labels and discovered of the first target (by ordinal) of their job and instance whose labels agree.
+def match_target(series: DataFrame, targets: DataFrame, ids: Sequence[str] = ("ref",), most: int = MOST_TARGETS) -> DataFrame:
+    """series (a row for each ids) with target_labels and discovered of the first target (by ordinal) of their job and instance whose labels agree.
 
-    A target's label agrees if the series hasn't it or has the same value. Series without a target keep null."""
+    A target's label agrees if the series hasn't it or has the same value. Series without a target keep null.
+    If no job and instance has more than `most` targets, series meet all targets of theirs. Else they meet signatures, see _by_signature."""
     sides = targets.select("ordinal", F.col("labels").alias("target_labels"), "discovered", L.get(F.col("labels"), "job").alias("t_job"), L.get(F.col("labels"), "instance").alias("t_instance"))
-    keyed = series.withColumns({"s_job": L.get(F.col("labels"), "job"), "s_instance": L.get(F.col("labels"), "instance")})
-    agrees = F.forall(F.map_entries("target_labels"), lambda e: F.coalesce(F.try_element_at("labels", e["key"]), F.lit("")).isin("", e["value"]))
-    pairs = keyed.select("ref", "labels", "s_job", "s_instance").join(sides, (F.col("s_job") == F.col("t_job")) & (F.col("s_instance") == F.col("t_instance"))).filter(agrees)
-    first = pairs.groupBy("ref").agg(F.min_by(F.struct("target_labels", "discovered"), "ordinal").alias("target"))
-    return series.join(first, "ref", "left").select(*series.columns, "target.target_labels", "target.discovered")
+    keyed = series.select(*ids, "labels", L.get(F.col("labels"), "job").alias("s_job"), L.get(F.col("labels"), "instance").alias("s_instance"))
+    largest = sides.groupBy("t_job", "t_instance").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest > most:
+        found = _by_signature(keyed, sides, ids)
+    else:
+        agrees = F.forall(F.map_entries("target_labels"), lambda e: F.coalesce(F.try_element_at("labels", e["key"]), F.lit("")).isin("", e["value"]))
+        found = keyed.join(sides, (F.col("s_job") == F.col("t_job")) & (F.col("s_instance") == F.col("t_instance"))).filter(agrees)
+    first = found.groupBy(*ids).agg(F.min_by(F.struct("target_labels", "discovered"), "ordinal").alias("target"))
+    return series.join(first, list(ids), "left").select(*series.columns, "target.target_labels", "target.discovered")
+
+
+def _by_signature(keyed: DataFrame, sides: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """(*ids, ordinal, target_labels, discovered): of each signature the first target that agrees with a series.
+
+    A target's signature are its labels' names; those that a series has as well are what has to be equal. So per signature (and names in common) targets are
+    indexed by the values of these names, one target a value, and a series looks one value up. Series meet as many rows as there are signatures at their job and instance, not targets."""
+    place = ("job", "instance", "names")
+    named = sides.select("ordinal", "target_labels", "discovered", F.col("t_job").alias("job"), F.col("t_instance").alias("instance"), F.array_sort(F.map_keys("target_labels")).alias("names"))
+    own = F.map_keys(F.map_filter("labels", lambda _, v: v != ""))
+    asks = keyed.withColumnsRenamed({"s_job": "job", "s_instance": "instance"}).join(named.select(*place).distinct(), ["job", "instance"])
+    asks = asks.withColumn("common", F.array_intersect("names", own)).withColumn("values", F.transform("common", lambda n: L.get(F.col("labels"), n)))
+    index = named.join(asks.select(*place, "common").distinct(), list(place)).withColumn("values", F.transform("common", lambda n: L.get(F.col("target_labels"), n)))
+    first = index.groupBy(*place, "common", "values").agg(F.min_by(F.struct("ordinal", "target_labels", "discovered"), "ordinal").alias("t"))
+    return asks.select(*ids, *place, "common", "values").join(first, [*place, "common", "values"]).select(*ids, "t.*")
 
 
 def first_metadata(fetched: DataFrame) -> DataFrame:

@@ -316,6 +316,23 @@ def q_match_target(spark, d):
     return out.select("ref", F.col("target_labels").isNotNull().alias("found"), L.get(F.coalesce("discovered", F.create_map().cast("map<string,string>")), "__meta_gce_instance_id").alias("vm"))
 
 
+@query(
+    _with(X.SERIES)
+    + """, t as (select c_custkey ordinal, 'job' || (c_custkey % 3) job, c_custkey // 3 % 200 shard, case when c_custkey % 2 = 0 then 'z' || (c_custkey // 600 % 2) end zone from customer),
+s as (select *, ref // 10 % 250 shard, case when ref % 3 = 0 then 'z' || (ref % 2) end sz from fx_series)
+select s.ref, min(t.ordinal) ordinal from s left join t on s.job = t.job and s.shard = t.shard and (s.sz is null or t.zone is null or s.sz = t.zone) group by s.ref"""
+)
+def q_match_target_shared(spark, d):
+    """All targets of a job at one instance, told apart by other labels only, of which some have fewer."""
+    number = lambda c: c.cast("long").cast("string")
+    t = X.table(spark, d, "customer").select("c_custkey", F.expr("c_custkey div 3").alias("n"))
+    zone = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("z"), number(F.expr("c_custkey div 600 % 2"))))
+    targets = t.select(F.col("c_custkey").alias("ordinal"), L.labels_of(job=F.concat(F.lit("job"), number(F.col("c_custkey") % 3)), instance=F.lit("all"), shard=number(F.col("n") % 200), zone=zone).alias("labels"), L.labels_of(ordinal=number(F.col("c_custkey"))).alias("discovered"))
+    own = {"job": L.get(F.col("labels"), "job"), "instance": F.lit("all"), "usr": L.get(F.col("labels"), "usr"), "shard": number(F.expr("ref div 10 % 250")), "zone": F.when(F.col("ref") % 3 == 0, F.concat(F.lit("z"), number(F.col("ref") % 2)))}
+    out = series.match_target(X.series(spark, d).select("ref", L.labels_of(**own).alias("labels")), targets)
+    return out.select("ref", F.element_at("discovered", "ordinal").cast("long").alias("ordinal"))
+
+
 _INTERNAL = "('up'), ('scrape_samples_scraped'), ('scrape_duration_seconds'), ('scrape_samples_post_metric_relabeling')"
 _UNION = f"""u as (select metric, case when metric_type = 'untyped' then 'unknown' else metric_type end metric_type, value_type, 'static' origin, 0 rank, ordinal from fx_part where ordinal % 10 = 0 and ordinal < 1500
   union all select m, 'gauge', 'double', 'internal', 1, 0 from (values {_INTERNAL}) i(m)

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -185,3 +186,25 @@ def test_the_first_target_is_that_of_the_first_file(spark, tmp_path):
         (tmp_path / f"{name}.json").write_text(json.dumps(document) + "\n")
     one = spark.createDataFrame([(1, {"job": "j", "instance": "i"})], SERIES)
     assert rows(series.match_target(one, readers.read_targets(spark, str(tmp_path))), "ref", F.col("discovered.zone")) == [(1, "first")]
+
+
+def test_targets_by_signature_are_those_of_all_pairs(spark):
+    """Random label sets, some of them empty or missing, several signatures at one job and instance."""
+    rng = random.Random(3)
+    some = lambda names: {n: rng.choice(("", "1", "2")) for n in names if rng.random() < 0.6}
+    targets = spark.createDataFrame([(k, {**({"job": "j"} if k % 5 else {}), "instance": "i", **some("abc")}, {"n": str(k)}) for k in range(60)], TARGETS)
+    found = spark.createDataFrame([(k, {**({"job": "j"} if k % 7 else {}), "instance": "i", **some("abcd")}) for k in range(200)], SERIES)
+    # A target that agrees with little else comes first, so that the order decides among many.
+    picked = lambda most: rows(series.match_target(found, targets, most=most), "ref", F.col("discovered.n"))
+    assert picked(0) == picked(1000) and len({r[1] for r in picked(0)}) >= 10
+
+
+def test_ten_thousand_targets_of_one_instance_make_no_pairs(spark):
+    n = 10_000
+    targets = spark.range(n).selectExpr("cast(id as int) ordinal", "map('job', 'j', 'instance', 'i', 'shard', cast(id as string)) labels", "map('n', cast(id as string)) discovered")
+    found = spark.range(n).selectExpr("id ref", "map('job', 'j', 'instance', 'i', 'shard', cast(id as string)) labels")
+    keyed = found.select("ref", "labels", F.lit("j").alias("s_job"), F.lit("i").alias("s_instance"))
+    sides = targets.select("ordinal", F.col("labels").alias("target_labels"), "discovered", F.lit("j").alias("t_job"), F.lit("i").alias("t_instance"))
+    assert series._by_signature(keyed, sides, ("ref",)).count() == n
+    out = series.match_target(found, targets)
+    assert out.filter("discovered['n'] = cast(ref as string)").count() == n
