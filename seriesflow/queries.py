@@ -429,7 +429,7 @@ def _resolved(spark, d, of=None):
 
 
 _REASON = "case when ordinal is null then 'target_not_found' when kind = 3 then 'unknown_resource' when name = 'signup' then 'metadata_not_found' end"
-_RESOLVED = f"""resolved as (select ref, name, job, instance, usr, device, kind, n, case kind when 0 then 'k8s_container' when 1 then 'gce_instance' else 'generic_task' end resource_type,
+_RESOLVED = f"""resolved as (select ref, seq, name, job, instance, usr, device, kind, n, case kind when 0 then 'k8s_container' when 1 then 'gce_instance' else 'generic_task' end resource_type,
   case name when 'clicks_total' then 'clicks' when 'page_view' then 'web/views' else name end emitted, case name when 'clicks_total' then 'CUMULATIVE' when 'purchase_sum' then 'CUMULATIVE' else 'GAUGE' end metric_kind,
   case name when 'page_view' then 'int64' else 'double' end value_type from matched where {_REASON} is null)"""
 _DIMENSIONS = (X.SERIES, X.TARGETS, _MATCHED)
@@ -604,6 +604,25 @@ def q_points(spark, d):
     return _points(spark, d).select("seq", "series_key", "t", "start", "int64_value", F.round("double_value", 4).alias("double_value"))
 
 
+_ASOF_POINTS = _POINTS.replace("from live s join keyed k on s.ref = k.ref", "k.seq defined from (select s.*, r.seq since from live s asof join fx_series r on s.ref = r.ref and s.seq >= r.seq) s join keyed k on s.ref = k.ref and s.since = k.seq").replace("k.value_type k.seq", "k.value_type, k.seq").replace("partition by ref", "partition by ref, defined")
+_REDEFINED_POINTS = (X.SAMPLES, _LIVE, X.REDEFINED, X.TARGETS, _MATCHED, _RESOLVED, _KEYED, _ASOF_POINTS)
+
+
+def _redefined(spark, d):
+    """The log's definitions, and what each resolves to."""
+    records = X.redefined_series(spark, d)
+    resolved = _resolved(spark, d, records.drop("scrape_id")).filter("reason is null").withColumnRenamed("seq", "defined")
+    return records, resolved
+
+
+@query(_with(*_REDEFINED_POINTS) + _POINT)
+def q_points_redefined(spark, d):
+    """A log that defines refs anew, some with other labels: their samples go on as another output series."""
+    records, resolved = _redefined(spark, d)
+    out = plans.points(X.samples(spark, d), resolved, records.select("ref", "seq"))
+    return out.select("seq", "series_key", "t", "start", "int64_value", F.round("double_value", 4).alias("double_value"))
+
+
 @query(_with(*_ALL_POINTS) + "select (select count(distinct scrape_id) from fx_samples) batches_processed, (select count(*) from fx_samples) samples_processed, (select count(*) from points) samples_produced")
 def q_pipeline_stats(spark, d):
     return stats.pipeline_stats(X.samples(spark, d), _points(spark, d))
@@ -685,6 +704,18 @@ def q_stream_points(spark, d):
     return spark.read.parquet(out).select("seq", "series_key", "t", "start", F.round("value", 4).alias("val"), "value_type")
 
 
+@query(_with(*_REDEFINED_POINTS) + "select seq, series_key, t, start, round(val, 4) val, value_type from points")
+def q_stream_points_redefined(spark, d):
+    """The same as a stream: definitions and samples in one log, the definition of each ref in state, chained with the state of each output series."""
+    path, out = shared_path(spark, "log"), shared_path(spark, "points")
+    records, resolved = _redefined(spark, d)
+    packed = readers.pack_log(X.samples(spark, d), records)
+    readers.append_in_order(packed.repartitionByRange(max(4, -(-packed.count() // SCRAPES_PER_FILE)), "scrape_id").sortWithinPartitions("scrape_id"), path)
+    defined = streams.stream_join_asof(readers.read_log_stream(spark, path)).drop("labels")
+    streams.to_table(streams.stream_points(defined, resolved), out, shared_path(spark, "checkpoint"))
+    return spark.read.parquet(out).select("seq", "series_key", "t", "start", F.round("value", 4).alias("val"), "value_type")
+
+
 @query(_with(X.SAMPLES, _LIVE, _DELTAS.format("live")) + "select seq, ref, t, round(delta, 4) delta from deltas")
 def q_stream_counter_deltas(spark, d):
     path, out = _log(spark, d), shared_path(spark, "deltas")

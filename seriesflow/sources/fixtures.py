@@ -38,6 +38,17 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SERIES = f"fx_series as (select {REF} ref, {NAME} name, 'job' || (user_id % 3) job, 'inst' || (user_id % 20) instance, 'u' || user_id usr, 'eth' || (user_id % 3) device, min(event_id) seq, (min(event_id) // 1000)::int segment from events group by all)"
 
+def redefined_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ref, labels, segment, seq, scrape_id): every third ref is defined again 2000 places later, every sixth then with another user."""
+    once = series(spark, sf_dir)
+    other = F.when(F.col("ref") % 2 == 0, F.concat(L.get(F.col("labels"), "usr"), F.lit("b"))).otherwise(L.get(F.col("labels"), "usr"))
+    again = once.filter("ref % 3 = 0").withColumns({"labels": F.map_concat(L.drop_label(F.col("labels"), "usr"), F.create_map(F.lit("usr"), other)), "seq": F.col("seq") + 2000})
+    return once.unionByName(again).withColumn("scrape_id", F.expr("seq div 100"))
+
+
+REDEFINED = SERIES.replace("fx_series", "fx_once", 1) + """, fx_series as (select ref, name, job, instance, usr, device, seq, segment from fx_once
+    union all select ref, name, job, instance, case when ref % 2 = 0 then usr || 'b' else usr end, device, seq + 2000, segment from fx_once where ref % 3 = 0)"""
+
 STATIC = {R.PROJECT: "proj", R.LOCATION: "loc", R.CLUSTER: "clu", R.GENERIC_LOCATION: "gloc", R.GENERIC_NAMESPACE: ""}
 
 

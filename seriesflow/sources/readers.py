@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from ..schemas import METADATA_RESPONSE, SCRAPES, SERIES, TARGET_RESPONSE
+from ..schemas import LOG, METADATA_RESPONSE, SCRAPES, SERIES, TARGET_RESPONSE
 
 
 def _read(spark: SparkSession, path: str, schema, form: str) -> DataFrame:
@@ -67,6 +67,23 @@ def _ordinal() -> Column:
     return F.struct("place.file", "place.block", "place.row", "pos").alias("ordinal")
 
 
+def pack_log(samples: DataFrame, records: DataFrame) -> DataFrame:
+    """One row per scrape: its samples, and the series records(scrape_id, seq, ref, labels) that the log has there."""
+    rows = samples.select("scrape_id", F.struct("seq", "ref", "t", "v").alias("sample")).unionByName(records.select("scrape_id", F.struct("seq", "ref", "labels").alias("record")), allowMissingColumns=True)
+    in_order = lambda c: F.array_sort(F.collect_list(c), lambda x, y: (x["seq"] - y["seq"]).cast("int"))
+    return rows.groupBy("scrape_id").agg(in_order("sample").alias("samples"), in_order("record").alias("series"))
+
+
+def read_log_stream(spark: SparkSession, path: str, form: str = "json", files_per_trigger: int = 1) -> DataFrame:
+    """(seq, ref, scrape_id, t, v, labels) of an unbounded log of both kinds: labels are null in samples, t and v in series records."""
+    rows = spark.readStream.schema(LOG).format(form).option("maxFilesPerTrigger", files_per_trigger).load(path)
+    none = lambda kind: F.lit(None).cast(kind)
+    sample = lambda s: F.struct(s["seq"].alias("seq"), s["ref"].alias("ref"), s["t"].alias("t"), s["v"].alias("v"), none("map<string,string>").alias("labels"))
+    record = lambda s: F.struct(s["seq"].alias("seq"), s["ref"].alias("ref"), none("long").alias("t"), none("double").alias("v"), s["labels"].alias("labels"))
+    both = F.concat(F.transform(F.coalesce("series", F.from_json(F.lit("[]"), LOG["series"].dataType.simpleString())), record), F.transform(F.coalesce("samples", F.from_json(F.lit("[]"), LOG["samples"].dataType.simpleString())), sample))
+    return rows.select("scrape_id", F.explode(both).alias("r")).select("r.seq", "r.ref", "scrape_id", "r.t", "r.v", "r.labels")
+
+
 def read_targets(spark: SparkSession, path: str) -> DataFrame:
     """(ordinal, labels, discovered) of target responses (a JSON document per line or file); documents without success are left out.
 

@@ -70,6 +70,45 @@ def stream_counter_deltas(samples: DataFrame, ttl: int | None = None) -> DataFra
     return _stateful(drop_nan(samples), "ref", CounterDeltas(ttl), "ref long, seq long, t long, delta double")
 
 
+class Definitions(StatefulProcessor):
+    """Per ref: the series record that holds now. Emits samples with it; those before a ref's first record go."""
+
+    def __init__(self, ttl: int | None = None):
+        self.ttl = ttl
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.now = handle.getValueState("now", "labels string, defined long", self.ttl)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        data = pd.concat(list(rows))
+        record = data["labels"].notna()
+        # A record holds from its own place on, also for a sample of the same place.
+        data = data.assign(later=~record).sort_values(["seq", "later"])
+        data["defined"] = data["seq"].where(data["labels"].notna()).ffill()
+        data["labels"] = data["labels"].ffill()
+        if self.now.exists():
+            labels, defined = self.now.get()
+            data["labels"], data["defined"] = data["labels"].fillna(labels), data["defined"].fillna(defined)
+        if record.any():
+            last = data.iloc[-1]
+            self.now.update((last["labels"], int(last["defined"])))
+        out = data[data["later"] & data["defined"].notna()]
+        yield out[["ref", "seq", "scrape_id", "t", "v", "labels", "defined"]].astype({"t": "int64", "defined": "int64"})
+
+    def close(self) -> None:
+        pass
+
+
+def stream_join_asof(log: DataFrame, ttl: int | None = None) -> DataFrame:
+    """(ref, seq, scrape_id, t, v, labels, defined) of the samples of read_log_stream, but NaN: the labels that the log's last record of their ref before them gives it, and that record's place.
+
+    A record counts from its micro-batch on, for samples that follow it in the log. State of a ref that has neither for ttl milliseconds goes, and with it its definition."""
+    _rocks(log.sparkSession)
+    rows = log.filter(F.col("labels").isNotNull() | ~F.isnan("v")).withColumn("labels", F.to_json("labels"))
+    out = _stateful(rows, "ref", Definitions(ttl), "ref long, seq long, scrape_id long, t long, v double, labels string, defined long")
+    return out.withColumn("labels", F.from_json("labels", "map<string,string>"))
+
+
 class Points(StatefulProcessor):
     """Per output series: reset state of each raw series that feeds it, and the interval of the last kept point. Histograms are assembled per scrape."""
 
@@ -77,18 +116,19 @@ class Points(StatefulProcessor):
         self.ttl = ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.resets = handle.getMapState("resets", "ref long", "base double, start long, previous double", self.ttl)
+        self.resets = handle.getMapState("resets", "ref long", "base double, start long, previous double, defined long", self.ttl)
         self.interval = handle.getValueState("interval", "start long, last long", self.ttl)
 
-    def _adjusted(self, ref: int, t: int, v: float) -> tuple[int | None, float | None]:
-        """(start, value since then), or nothing for a series' first sample."""
-        if not self.resets.containsKey((ref,)):
-            self.resets.updateValue((ref,), (v, t, v))
+    def _adjusted(self, ref: int, defined: int, t: int, v: float) -> tuple[int | None, float | None]:
+        """(start, value since then), or nothing for the first sample of a series or of a new definition of it."""
+        state = self.resets.getValue((ref,)) if self.resets.containsKey((ref,)) else None
+        if state is None or state[3] != defined:
+            self.resets.updateValue((ref,), (v, t, v, defined))
             return None, None
-        base, start, previous = self.resets.getValue((ref,))
+        base, start, previous, _ = state
         if v < previous:
             base, start = 0.0, t - 1
-        self.resets.updateValue((ref,), (base, start, v))
+        self.resets.updateValue((ref,), (base, start, v, defined))
         return start, v - base
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -96,7 +136,7 @@ class Points(StatefulProcessor):
         last = tuple(self.interval.get()) if self.interval.exists() else None
         made, histograms = [], {}
         for r in data.itertuples():
-            start, value = (None, r.v) if r.metric_kind == "GAUGE" else self._adjusted(int(r.ref), int(r.t), float(r.v))
+            start, value = (None, r.v) if r.metric_kind == "GAUGE" else self._adjusted(int(r.ref), int(r.defined), int(r.t), float(r.v))
             if r.member:
                 histograms.setdefault((r.base, r.key, r.scrape_id, r.t), []).append((r, start, value))
             elif value is not None:
@@ -136,11 +176,15 @@ def stream_points(samples: DataFrame, resolved: DataFrame, ttl: int | None = Non
     value is the number before it is typed, null for histograms. A scrape's samples have to come in one micro-batch, as those of
     read_samples_stream do: a histogram is assembled from what is there.
     resolved is a static table: it is read when the query starts; see refresh_dimensions for one that changes. State of a raw or output series
-    that has no samples for ttl milliseconds goes; its next sample is a first one."""
+    that has no samples for ttl milliseconds goes; its next sample is a first one. If samples have `defined` (see stream_join_asof), each definition
+    starts the resets of its ref anew; if resolved has it as well, it is what each definition resolves to."""
     _rocks(samples.sparkSession)
     side = members(resolved).withColumn("member", F.expr("metric_kind = 'CUMULATIVE' and value_type = 'distribution'")).filter(f"not member or {MEMBER}")
-    side = side.select("ref", "series_key", "metric_kind", "metric_type", "value_type", "suffix", "base", "key", "bound", "member")
-    joined = drop_nan(samples).join(side, "ref")
+    side = side.select("ref", "series_key", "metric_kind", "metric_type", "value_type", "suffix", "base", "key", "bound", "member", *(c for c in ("defined",) if c in resolved.columns))
+    each = ["ref", "defined"] if "defined" in resolved.columns else ["ref"]
+    joined = drop_nan(samples).join(side, each)
+    if "defined" not in joined.columns:
+        joined = joined.withColumn("defined", F.lit(0).cast("long"))
     schema = "series_key string, seq long, t long, start long, value double, value_type string, metric_type string, count double, total double, " + f"buckets {BUCKET}"
     kept = _stateful(joined, "series_key", Points(ttl), schema)
     # A scalar has no buckets, and so no distribution.
