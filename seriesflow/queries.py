@@ -16,7 +16,7 @@ from .plans import points as plans
 from .sources import fixtures as X
 from .sources import readers
 from .sources.shared import shared_path
-from .streaming import streams
+from .streaming import observed, streams, ticks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -730,6 +730,57 @@ def q_stream_late(spark, d):
     return spark.read.parquet(out).select("seq", "ref", "t", F.round("delta", 4).alias("delta"))
 
 
+def _event_log(spark, d) -> str:
+    path = shared_path(spark, "events")
+    readers.append_in_order(X.table(spark, d, "events").select("event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("us")).repartitionByRange(4, "us"), path)
+    return path
+
+
+@query(
+    """with recursive e as (select event_type, time_bucket(interval '15 minutes', ts) tick, count(*) n from events group by all),
+stop as (select time_bucket(interval '15 minutes', date_trunc('millisecond', max(ts))) - interval '15 minutes' tick from events),
+g as (select event_type, unnest(generate_series(min(e.tick), any_value(stop.tick), interval '15 minutes')) tick from e, stop group by event_type),
+r as (select g.event_type, g.tick, coalesce(n, 0) / 900.0::double x, row_number() over (partition by g.event_type order by g.tick) k from g left join e on g.event_type = e.event_type and g.tick = e.tick),
+f as (select event_type, tick, k, x rate from r where k = 1 union all select r.event_type, r.tick, r.k, f.rate + 0.2 * (r.x - f.rate) from f join r on r.event_type = f.event_type and r.k = f.k + 1)
+select event_type, epoch_us(tick) // 1000000 + 900 tick_end, round(rate, 9) rate from f"""
+)
+def q_stream_ewma_rate(spark, d):
+    """Smoothed rates of a stream, up to the last tick that has ended for all."""
+    path, out = _event_log(spark, d), shared_path(spark, "rates")
+    rows = spark.readStream.schema("event_type string, us long").option("maxFilesPerTrigger", 1).json(path).select("event_type", F.timestamp_micros("us").alias("ts"))
+    streams.to_table(ticks.stream_ewma_rate(rows, "event_type", "ts", 900), out, shared_path(spark, "checkpoint"))
+    return spark.read.parquet(out).select("event_type", F.unix_seconds("tick_end").alias("tick_end"), F.round("rate", 9).alias("rate"))
+
+
+@query(
+    _with(X.SAMPLES, X.SERIES, _FEEDS, _LIVE, _DELTAS.format("live"))
+    + """select * from (select counter, (t // 60000 + 1) * 60 period_end, round(sum(sum(delta)) over (partition by counter order by t // 60000), 2) total from deltas join feeds using (ref) group by counter, t // 60000)
+where period_end * 1000 <= (select max(t) from deltas)"""
+)
+def q_stream_counter_series(spark, d):
+    """Aggregated counters' 60 s series of a stream: deltas, then periods that have ended."""
+    path, grown, out = _log(spark, d), shared_path(spark, "deltas"), shared_path(spark, "counters")
+    streams.to_table(streams.stream_counter_deltas(readers.read_samples_stream(spark, path)), grown, shared_path(spark, "checkpoint"))
+    deltas = spark.readStream.schema("ref long, seq long, t long, delta double").parquet(grown)
+    feeds = series.match_counters(X.series(spark, d), COUNTERS).select("ref", "counter")
+    streams.to_table(ticks.stream_counter_series(deltas, feeds), out, shared_path(spark, "checkpoint"))
+    return spark.read.parquet(out).select("counter", F.unix_seconds("period_end").alias("period_end"), F.round("total", 2).alias("total"))
+
+
+@query(_with(*_ALL_POINTS) + "select (select count(distinct scrape_id) from fx_samples) batches_processed, (select count(*) from fx_samples) samples_processed, (select count(*) from points) samples_produced")
+def q_stream_stats(spark, d):
+    """What a stream of points counts as it runs."""
+    path, stats_of = _log(spark, d), observed.PipelineStats()
+    scrapes = readers.read_scrapes_stream(spark, path)
+    points = streams.stream_points(observed.counted_samples(scrapes), _resolved(spark, d).filter("reason is null"))
+    spark.streams.addListener(stats_of)
+    try:
+        stats_of.wait_for(streams.to_table(observed.counted_points(points), shared_path(spark, "points"), shared_path(spark, "checkpoint")))
+    finally:
+        spark.streams.removeListener(stats_of)
+    return spark.createDataFrame([tuple(stats_of.totals().values())], ", ".join(f"{n} long" for n in observed.COUNTED))
+
+
 @query(_with(X.SAMPLES) + "select ref, t, count(distinct t) n from fx_samples group by ref, t")
 def q_stream_dedup(spark, d):
     """The log with its last quarter replayed."""

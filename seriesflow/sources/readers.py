@@ -50,7 +50,12 @@ def read_samples(spark: SparkSession, path: str, form: str = "json") -> DataFram
 
 def read_samples_stream(spark: SparkSession, path: str, form: str = "json", files_per_trigger: int = 1) -> DataFrame:
     """An unbounded table of samples: new files of scrapes are picked up as they come."""
-    return unpack_scrapes(spark.readStream.schema(SCRAPES).format(form).option("maxFilesPerTrigger", files_per_trigger).load(path))
+    return unpack_scrapes(read_scrapes_stream(spark, path, form, files_per_trigger))
+
+
+def read_scrapes_stream(spark: SparkSession, path: str, form: str = "json", files_per_trigger: int = 1) -> DataFrame:
+    """The same, a row for each scrape."""
+    return spark.readStream.schema(SCRAPES).format(form).option("maxFilesPerTrigger", files_per_trigger).load(path)
 
 
 def _documents(spark: SparkSession, path: str, schema) -> DataFrame:

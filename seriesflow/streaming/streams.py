@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ..operators.batching import assign_batches
@@ -22,7 +22,7 @@ from ..plans.points import typed_scalars
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _rocks(spark: SparkSession) -> None:
+def rocks(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
 
 
@@ -66,7 +66,7 @@ def stream_counter_deltas(samples: DataFrame, ttl: int | None = None) -> DataFra
     """(ref, seq, t, delta) of a stream of samples, in append mode. Totals are a batch or windowed aggregate over them.
 
     State of a ref that has no samples for ttl milliseconds goes; its next sample is a first one."""
-    _rocks(samples.sparkSession)
+    rocks(samples.sparkSession)
     return _stateful(drop_nan(samples), "ref", CounterDeltas(ttl), "ref long, seq long, t long, delta double")
 
 
@@ -103,7 +103,7 @@ def stream_join_asof(log: DataFrame, ttl: int | None = None) -> DataFrame:
     """(ref, seq, scrape_id, t, v, labels, defined) of the samples of read_log_stream, but NaN: the labels that the log's last record of their ref before them gives it, and that record's place.
 
     A record counts from its micro-batch on, for samples that follow it in the log. State of a ref that has neither for ttl milliseconds goes, and with it its definition."""
-    _rocks(log.sparkSession)
+    rocks(log.sparkSession)
     rows = log.filter(F.col("labels").isNotNull() | ~F.isnan("v")).withColumn("labels", F.to_json("labels"))
     out = _stateful(rows, "ref", Definitions(ttl), "ref long, seq long, scrape_id long, t long, v double, labels string, defined long")
     return out.withColumn("labels", F.from_json("labels", "map<string,string>"))
@@ -178,7 +178,7 @@ def stream_points(samples: DataFrame, resolved: DataFrame, ttl: int | None = Non
     resolved is a static table: it is read when the query starts; see refresh_dimensions for one that changes. State of a raw or output series
     that has no samples for ttl milliseconds goes; its next sample is a first one. If samples have `defined` (see stream_join_asof), each definition
     starts the resets of its ref anew; if resolved has it as well, it is what each definition resolves to."""
-    _rocks(samples.sparkSession)
+    rocks(samples.sparkSession)
     side = members(resolved).withColumn("member", F.expr("metric_kind = 'CUMULATIVE' and value_type = 'distribution'")).filter(f"not member or {MEMBER}")
     side = side.select("ref", "series_key", "metric_kind", "metric_type", "value_type", "suffix", "base", "key", "bound", "member", *(c for c in ("defined",) if c in resolved.columns))
     each = ["ref", "defined"] if "defined" in resolved.columns else ["ref"]
@@ -198,14 +198,15 @@ def drop_replays(samples: DataFrame, delay: str = "1 hour") -> DataFrame:
     return timed.dropDuplicatesWithinWatermark(["ref", "t"])
 
 
-def to_table(stream: DataFrame, path: str, checkpoint: str, form: str = "parquet") -> None:
+def to_table(stream: DataFrame, path: str, checkpoint: str, form: str = "parquet") -> StreamingQuery:
     """Runs a stream over all that is there now and appends its rows to files."""
-    run(stream.writeStream.format(form).option("path", path), checkpoint)
+    return run(stream.writeStream.format(form).option("path", path), checkpoint)
 
 
-def run(writer: DataStreamWriter, checkpoint: str) -> None:
+def run(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+    return query
 
 
 def for_each_batch(points: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, max_size: int = 200) -> None:
