@@ -6,7 +6,7 @@ a document, a partner with the needed overlap T occurs in at least one of the n
 1. A pass over all documents counts shingles and tells which are frequent; it gives the order of lists by length. (Any
    order gives right results; a good one gives short lists.)
 2. Documents with identical sets are one class, which goes on as its smallest id.
-3. The short lists deal documents to blocks. Each list first proposes its smallest member as a query against its other members,
+3. The short lists deal documents to blocks. Each list first proposes a member of each class of set sizes as a query against the class's other members,
    so thousands of near copies cost a search each, not all pairs. Lists that then still hold several components propose the pairs
    between different components, within neighbouring classes of set sizes. A pair has to pass the bounds by size, by position, and by
    a vector of counts of shingles by hash (about one count for four shingles): what two vectors differ by is a lower bound of what
@@ -294,26 +294,27 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # An id that repeats may stand for a class of its own as well.
     copies = cut(copies.join(same.select(F.col("rep").alias("id")), "id", "left_anti"), "copies")
     reps = full.select("id", "n", "prefix", "counts").join(_few(copies), "id", "left_anti")
-    lists = reps.select("id", "n", F.posexplode("prefix").alias("pos", "h"))
-    # The query that a list proposes: its smallest member.
-    hub = F.min(F.struct("id", "n", "pos")).alias("hub")
-    heads = cut(lists.groupBy("h").agg(hub, F.count(F.lit(1)).alias("m")).filter("m > 1"), "heads")
-    told = ("h", "id", "n", "pos", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.pos").alias("hub_pos"), "m")
-    merged = cut(join_counted(lists, heads, "h").select(*told), "merged")
+    # Sets that link have sizes of the same class or of neighbouring ones: classes are wider than the ratio that a link allows.
+    kind = F.floor(F.log("n") / float(np.log(1.001 * den / num))).cast("int")
+    lists = reps.select("id", "n", kind.alias("kind"), F.posexplode("prefix").alias("pos", "h"))
+    # The queries that a list proposes, one for each class of sizes: the member in whose order the list comes first. Fewest of its shingles are rarer, so of near copies it is the one that changed least.
+    hub = F.min(F.struct("pos", "id", "n")).alias("hub")
+    heads = cut(lists.groupBy("h", "kind").agg(hub, F.count(F.lit(1)).alias("same")), "heads")
+    heads = cut(heads.join(heads.groupBy("h").agg(F.sum("same").alias("m")).filter("m > 1"), "h"), "heads")
+    told = ("h", "kind", "id", "n", "pos", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.pos").alias("hub_pos"), "m")
+    merged = cut(join_counted(lists, heads, ["h", "kind"], "same").select(*told), "merged")
     small = reps.select("id", "n", "counts")
     stars = merged.filter("id <> hub").filter(_may_link("n", "pos", "hub_n", "hub_pos", num, den)).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     stars = cut(_near(stars, small, num, den), "stars")
     sets = _sets_of(stars, docs, size)
     links = _verified(stars, sets, num, den)
     first = components(links)
-    named = cut(merged.filter("m > 2").join(first.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("c", F.coalesce("component", "id")), "named")
+    named = cut(merged.join(first.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("c", F.coalesce("component", "id")), "named")
     several = cut(named.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("rows")).filter("lo < hi").select("h", "rows"), "several")
-    # Sets that link have sizes of the same class or of neighbouring ones: classes are wider than the ratio that a link allows.
-    kind = F.floor(F.log("n") / float(np.log(1.001 * den / num))).cast("int")
-    rest = cut(join_counted(named.filter("id <> hub").select("h", "id", "n", "pos", "c", kind.alias("kind")), several, "h", "rows"), "rest")
-    x = rest.select("h", F.explode(F.array(*(F.col("kind") + k for k in (-1, 0, 1)))).alias("kind"), F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("c").alias("ca"))
-    y = rest.select("h", "kind", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("c").alias("cb"))
-    pairs = x.join(y, (x["h"] == y["h"]) & (x["kind"] == y["kind"]) & (x["a"] < y["b"]) & (x["ca"] != y["cb"]) & _may_link("na", "pa", "nb", "pb", num, den)).select("a", "b").distinct()
+    rest = cut(join_counted(named.select("h", "kind", "id", "n", "pos", "c", (F.col("id") == F.col("hub")).alias("was")), several, "h", "rows"), "rest")
+    x = rest.select("h", F.explode(F.array(*(F.col("kind") + k for k in (-1, 0, 1)))).alias("kind"), F.col("kind").alias("ka"), F.col("was").alias("was_a"), F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("c").alias("ca"))
+    y = rest.select("h", "kind", F.col("was").alias("was_b"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("c").alias("cb"))
+    pairs = x.join(y, (x["h"] == y["h"]) & (x["kind"] == y["kind"]) & ~((x["ka"] == y["kind"]) & (x["was_a"] | y["was_b"])) & (x["a"] < y["b"]) & (x["ca"] != y["cb"]) & _may_link("na", "pa", "nb", "pb", num, den)).select("a", "b").distinct()
     pairs = cut(_near(pairs, small, num, den), "pairs")
     more = pairs if pairs.isEmpty() else _verified(pairs, _sets_of(pairs, docs, size), num, den)
     # An id with several texts belongs to the classes of all of them.

@@ -83,7 +83,7 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def join_counted(rows: DataFrame, counted: DataFrame, on: str, m: str = "m") -> DataFrame:
+def join_counted(rows: DataFrame, counted: DataFrame, on: str | list[str], m: str = "m") -> DataFrame:
     """rows joined with a written table of one row a key, which has in m how many of rows have the key.
 
     Keys with so many rows that a task would notice are few, at most four a partition: they are broadcast, so that their rows stay where they are."""
