@@ -730,6 +730,26 @@ def q_stream_late(spark, d):
     return spark.read.parquet(out).select("seq", "ref", "t", F.round("delta", 4).alias("delta"))
 
 
+@query(
+    _with(X.SAMPLES, _LIVE, X.SERIES)
+    + """, half as (select max(scrape_id) // 2 * 100 mid from fx_samples)
+select s.seq, s.ref, r.usr, r.seq defined from live s join fx_series r on s.ref = r.ref and s.seq >= r.seq, half where s.seq >= mid and not (r.segment <= 2 and r.ref % 4 <> 0 and r.seq < mid)"""
+)
+def q_stream_prune(spark, d):
+    """The second half of a log. What its first half has defined is the initial state; then the dead series of an old segment are removed, as prune_series removes them."""
+    s, records = X.samples(spark, d), X.series(spark, d).withColumn("scrape_id", F.expr("seq div 100"))
+    half = (s.agg(F.max("scrape_id")).first()[0] or 0) // 2
+    known, later = records.filter(F.col("scrape_id") < half), records.filter(F.col("scrape_id") >= half)
+    # Removals stand at the begin of the half.
+    gone = streams.removals(known, records.filter("ref % 4 = 0"), 2).select(F.lit(half).cast("long").alias("scrape_id"), F.lit(100 * half - 1).cast("long").alias("seq"), "ref", "checkpoint")
+    path, out = shared_path(spark, "log"), shared_path(spark, "pruned")
+    packed = readers.pack_log(s.filter(F.col("scrape_id") >= half), later, gone)
+    readers.append_in_order(packed.repartitionByRange(max(4, -(-packed.count() // SCRAPES_PER_FILE)), "scrape_id").sortWithinPartitions("scrape_id"), path)
+    left = streams.stream_join_asof(readers.read_log_stream(spark, path), initial=known)
+    streams.to_table(left.select("seq", "ref", L.get(F.col("labels"), "usr").alias("usr"), "defined"), out, shared_path(spark, "checkpoint"))
+    return spark.read.parquet(out)
+
+
 def _event_log(spark, d) -> str:
     path = shared_path(spark, "events")
     readers.append_in_order(X.table(spark, d, "events").select("event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("us")).repartitionByRange(4, "us"), path)

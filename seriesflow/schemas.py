@@ -14,8 +14,8 @@ def _struct(**fields) -> T.StructType:
 SERIES = _struct(ref=T.LongType(), labels=LABELS, segment=T.IntegerType(), seq=T.LongType())
 #: One row per scrape; its samples are applied together.
 SCRAPES = _struct(scrape_id=T.LongType(), samples=T.ArrayType(_struct(seq=T.LongType(), ref=T.LongType(), t=T.LongType(), v=T.DoubleType())))
-#: One row per scrape with the records that define series (anew) on the way; seq orders both.
-LOG = T.StructType(SCRAPES.fields).add("series", T.ArrayType(_struct(seq=T.LongType(), ref=T.LongType(), labels=LABELS)))
+#: One row per scrape with the records that define series (anew) or remove them on the way; seq orders all.
+LOG = T.StructType(SCRAPES.fields).add("series", T.ArrayType(_struct(seq=T.LongType(), ref=T.LongType(), labels=LABELS, segment=T.IntegerType()))).add("removed", T.ArrayType(_struct(seq=T.LongType(), ref=T.LongType(), checkpoint=T.IntegerType())))
 SAMPLES = _struct(seq=T.LongType(), scrape_id=T.LongType(), ref=T.LongType(), t=T.LongType(), v=T.DoubleType())
 TARGET_RESPONSE = _struct(status=T.StringType(), data=_struct(activeTargets=T.ArrayType(_struct(labels=LABELS, discoveredLabels=LABELS))))
 METADATA_RESPONSE = _struct(status=T.StringType(), errorType=T.StringType(), error=T.StringType(), data=T.ArrayType(_struct(metric=T.StringType(), type=T.StringType(), help=T.StringType())))

@@ -72,21 +72,25 @@ def _ordinal() -> Column:
     return F.struct("place.file", "place.block", "place.row", "pos").alias("ordinal")
 
 
-def pack_log(samples: DataFrame, records: DataFrame) -> DataFrame:
-    """One row per scrape: its samples, and the series records(scrape_id, seq, ref, labels) that the log has there."""
-    rows = samples.select("scrape_id", F.struct("seq", "ref", "t", "v").alias("sample")).unionByName(records.select("scrape_id", F.struct("seq", "ref", "labels").alias("record")), allowMissingColumns=True)
-    in_order = lambda c: F.array_sort(F.collect_list(c), lambda x, y: (x["seq"] - y["seq"]).cast("int"))
-    return rows.groupBy("scrape_id").agg(in_order("sample").alias("samples"), in_order("record").alias("series"))
+def pack_log(samples: DataFrame, records: DataFrame, removed: DataFrame | None = None) -> DataFrame:
+    """One row per scrape: its samples, and what the log has there of series records(scrape_id, seq, ref, labels, segment) and removals(scrape_id, seq, ref, checkpoint)."""
+    fields = {n: [f.name for f in LOG[n].dataType.elementType.fields] for n in ("samples", "series", "removed")}
+    part = lambda df, n: df.select("scrape_id", F.struct(*fields[n]).alias(n))
+    rows = part(samples, "samples").unionByName(part(records, "series"), allowMissingColumns=True)
+    if removed is not None:
+        rows = rows.unionByName(part(removed, "removed"), allowMissingColumns=True)
+    in_order = lambda c: F.array_sort(F.collect_list(c), lambda x, y: F.signum(x["seq"] - y["seq"]).cast("int")).alias(c)
+    return rows.groupBy("scrape_id").agg(*(in_order(n) for n in fields if n in rows.columns))
 
 
 def read_log_stream(spark: SparkSession, path: str, form: str = "json", files_per_trigger: int = 1) -> DataFrame:
-    """(seq, ref, scrape_id, t, v, labels) of an unbounded log of both kinds: labels are null in samples, t and v in series records."""
+    """(seq, ref, scrape_id, t, v, labels, segment, checkpoint) of an unbounded log: t and v are a sample's, labels and segment a series record's, checkpoint a removal's; the others are null."""
     rows = spark.readStream.schema(LOG).format(form).option("maxFilesPerTrigger", files_per_trigger).load(path)
-    none = lambda kind: F.lit(None).cast(kind)
-    sample = lambda s: F.struct(s["seq"].alias("seq"), s["ref"].alias("ref"), s["t"].alias("t"), s["v"].alias("v"), none("map<string,string>").alias("labels"))
-    record = lambda s: F.struct(s["seq"].alias("seq"), s["ref"].alias("ref"), none("long").alias("t"), none("double").alias("v"), s["labels"].alias("labels"))
-    both = F.concat(F.transform(F.coalesce("series", F.from_json(F.lit("[]"), LOG["series"].dataType.simpleString())), record), F.transform(F.coalesce("samples", F.from_json(F.lit("[]"), LOG["samples"].dataType.simpleString())), sample))
-    return rows.select("scrape_id", F.explode(both).alias("r")).select("r.seq", "r.ref", "scrape_id", "r.t", "r.v", "r.labels")
+    own = ("t", "v", "labels", "segment", "checkpoint")
+    kinds = {f.name: f.dataType for n in ("samples", "series", "removed") for f in LOG[n].dataType.elementType.fields}
+    part = lambda n, has: F.transform(F.coalesce(n, F.array().cast(LOG[n].dataType)), lambda s: F.struct(s["seq"].alias("seq"), s["ref"].alias("ref"), *((s[c] if c in has else F.lit(None)).cast(kinds[c]).alias(c) for c in own)))
+    every = F.concat(part("series", ("labels", "segment")), part("samples", ("t", "v")), part("removed", ("checkpoint",)))
+    return rows.select("scrape_id", F.explode(every).alias("r")).select("r.seq", "r.ref", "scrape_id", *(f"r.{c}" for c in own))
 
 
 def read_targets(spark: SparkSession, path: str) -> DataFrame:

@@ -7,8 +7,9 @@ from __future__ import annotations
 import inspect
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -26,11 +27,11 @@ def rocks(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
 
 
-def _stateful(rows: DataFrame, key: str, processor: StatefulProcessor, schema: str) -> DataFrame:
+def _stateful(rows: DataFrame, key: str, processor: StatefulProcessor, schema: str, initial: GroupedData | None = None) -> DataFrame:
     # Expiry goes by the clock. It shows when a state is read, so that batches without data aren't needed: a run over what is there would never end by them.
     if processor.ttl is not None:
         rows.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-    return rows.groupBy(key).transformWithStateInPandas(processor, schema, "Append", "None" if processor.ttl is None else "ProcessingTime")
+    return rows.groupBy(key).transformWithStateInPandas(processor, schema, "Append", "None" if processor.ttl is None else "ProcessingTime", initial)
 
 
 class CounterDeltas(StatefulProcessor):
@@ -71,44 +72,70 @@ def stream_counter_deltas(samples: DataFrame, ttl: int | None = None) -> DataFra
 
 
 class Definitions(StatefulProcessor):
-    """Per ref: the series record that holds now. Emits samples with it; those before a ref's first record go."""
+    """Per ref: the series record that holds now. Emits samples with it; those before a ref's first record go, and those after its removal."""
 
     def __init__(self, ttl: int | None = None):
         self.ttl = ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.now = handle.getValueState("now", "labels string, defined long", self.ttl)
+        self.now = handle.getValueState("now", "labels string, defined long, segment int", self.ttl)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        last = initialState.sort_values("seq").iloc[-1]
+        self.now.update((last["labels"], int(last["seq"]), int(last["segment"])))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         data = pd.concat(list(rows))
-        record = data["labels"].notna()
+        sample = data["t"].notna()
         # A record holds from its own place on, also for a sample of the same place.
-        data = data.assign(later=~record).sort_values(["seq", "later"])
-        data["defined"] = data["seq"].where(data["labels"].notna()).ffill()
-        data["labels"] = data["labels"].ffill()
-        if self.now.exists():
-            labels, defined = self.now.get()
-            data["labels"], data["defined"] = data["labels"].fillna(labels), data["defined"].fillna(defined)
-        if record.any():
-            last = data.iloc[-1]
-            self.now.update((last["labels"], int(last["defined"])))
-        out = data[data["later"] & data["defined"].notna()]
-        yield out[["ref", "seq", "scrape_id", "t", "v", "labels", "defined"]].astype({"t": "int64", "defined": "int64"})
+        data = data.assign(later=sample).sort_values(["seq", "later"])
+        place = data["later"].to_numpy().cumsum()
+        state = before = tuple(self.now.get()) if self.now.exists() else None
+        # (how many samples come before, what holds from there on); changes are few.
+        holds = [(0, state)]
+        for n, r in zip(place[~data["later"]], data[~data["later"]].itertuples(), strict=True):
+            if pd.isna(r.checkpoint):
+                state = (r.labels, int(r.seq), -1 if pd.isna(r.segment) else int(r.segment))
+            elif state is not None and state[2] <= r.checkpoint:
+                state = None
+            holds.append((int(n), state))
+        if state is None:
+            self.now.clear()
+        elif state != before:
+            self.now.update(state)
+        out = data[data["later"]]
+        ends = [n for n, _ in holds[1:]] + [len(out)]
+        which = np.repeat(np.arange(len(holds)), np.diff([0, *ends]))
+        known = np.array([h is not None for _, h in holds], bool)[which]
+        out, which = out[known], which[known]
+        of = [h or (None, 0, 0) for _, h in holds]
+        if not len(out):
+            return
+        out = out.assign(labels=pd.Series([of[k][0] for k in which], out.index, object), defined=np.array([h[1] for h in of], np.int64)[which])
+        yield out[["ref", "seq", "scrape_id", "t", "v", "labels", "defined"]].astype({"t": "int64"})
 
     def close(self) -> None:
         pass
 
 
-def stream_join_asof(log: DataFrame, ttl: int | None = None) -> DataFrame:
+def stream_join_asof(log: DataFrame, ttl: int | None = None, initial: DataFrame | None = None) -> DataFrame:
     """(ref, seq, scrape_id, t, v, labels, defined) of the samples of read_log_stream, but NaN: the labels that the log's last record of their ref before them gives it, and that record's place.
 
-    A record counts from its micro-batch on, for samples that follow it in the log. State of a ref that has neither for ttl milliseconds goes, and with it its definition."""
+    A record counts from its micro-batch on, for samples that follow it in the log. A removal (see removals) takes a ref's definition out of the state if its segment isn't after
+    the checkpoint. State of a ref that has none of these for ttl milliseconds goes, and with it its definition. initial(ref, seq, labels, segment) are series records
+    that hold when the stream starts."""
     rocks(log.sparkSession)
-    rows = log.filter(F.col("labels").isNotNull() | ~F.isnan("v")).withColumn("labels", F.to_json("labels"))
-    out = _stateful(rows, "ref", Definitions(ttl), "ref long, seq long, scrape_id long, t long, v double, labels string, defined long")
+    rows = log.filter(F.col("v").isNull() | ~F.isnan("v")).withColumn("labels", F.to_json("labels"))
+    known = None if initial is None else initial.select("ref", "seq", F.to_json("labels").alias("labels"), "segment").groupBy("ref")
+    out = _stateful(rows, "ref", Definitions(ttl), "ref long, seq long, scrape_id long, t long, v double, labels string, defined long", known)
     return out.withColumn("labels", F.from_json("labels", "map<string,string>"))
 
 
+def removals(series: DataFrame, live: DataFrame, checkpoint: int) -> DataFrame:
+    """(ref, checkpoint) for the log: the series of a segment up to the checkpoint that aren't live, as prune_series removes them."""
+    return series.filter(F.col("segment") <= checkpoint).join(live.select("ref"), "ref", "left_anti").select("ref", F.lit(checkpoint).alias("checkpoint")).distinct()
+
+
 class Points(StatefulProcessor):
     """Per output series: reset state of each raw series that feeds it, and the interval of the last kept point. Histograms are assembled per scrape."""
 
