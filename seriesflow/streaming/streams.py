@@ -28,9 +28,6 @@ def rocks(spark: SparkSession) -> None:
 
 
 def _stateful(rows: DataFrame, key: str, processor: StatefulProcessor, schema: str, initial: GroupedData | None = None) -> DataFrame:
-    # Expiry goes by the clock. It shows when a state is read, so that batches without data aren't needed: a run over what is there would never end by them.
-    if processor.ttl is not None:
-        rows.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     return rows.groupBy(key).transformWithStateInPandas(processor, schema, "Append", "None" if processor.ttl is None else "ProcessingTime", initial)
 
 
@@ -146,28 +143,32 @@ class Points(StatefulProcessor):
         self.resets = handle.getMapState("resets", "ref long", "base double, start long, previous double, defined long", self.ttl)
         self.interval = handle.getValueState("interval", "start long, last long", self.ttl)
 
-    def _adjusted(self, ref: int, defined: int, t: int, v: float) -> tuple[int | None, float | None]:
-        """(start, value since then), or nothing for the first sample of a series or of a new definition of it."""
-        state = self.resets.getValue((ref,)) if self.resets.containsKey((ref,)) else None
-        if state is None or state[3] != defined:
-            self.resets.updateValue((ref,), (v, t, v, defined))
+    def _adjusted(self, states: dict[int, tuple], ref: int, defined: int, t: int, v: float) -> tuple[int | None, float | None]:
+        """(start, value since then), or nothing for the first sample of a series or of a new definition of it. states are those of the refs met in this micro-batch."""
+        if ref not in states and self.resets.containsKey((ref,)):
+            states[ref] = tuple(self.resets.getValue((ref,)))
+        if ref not in states or states[ref][3] != defined:
+            states[ref] = (v, t, v, defined)
             return None, None
-        base, start, previous, _ = state
+        base, start, previous, _ = states[ref]
         if v < previous:
             base, start = 0.0, t - 1
-        self.resets.updateValue((ref,), (base, start, v, defined))
+        states[ref] = (base, start, v, defined)
         return start, v - base
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         data = pd.concat(list(rows)).sort_values("seq")
         last = tuple(self.interval.get()) if self.interval.exists() else None
-        made, histograms = [], {}
+        made, histograms, states = [], {}, {}
         for r in data.itertuples():
-            start, value = (None, r.v) if r.metric_kind == "GAUGE" else self._adjusted(int(r.ref), int(r.defined), int(r.t), float(r.v))
+            start, value = (None, r.v) if r.metric_kind == "GAUGE" else self._adjusted(states, int(r.ref), int(r.defined), int(r.t), float(r.v))
             if r.member:
                 histograms.setdefault((r.base, r.key, r.scrape_id, r.t), []).append((r, start, value))
             elif value is not None:
                 made.append((int(r.seq), int(r.t), start, value, r.value_type, r.metric_type, None, None, None))
+        # A ref's state is read and written once a micro-batch.
+        for ref, state in states.items():
+            self.resets.updateValue((ref,), state)
         made += [p for p in map(_histogram, histograms.values()) if p is not None]
         out = []
         for point in sorted(made, key=lambda p: p[0]):
@@ -230,8 +231,23 @@ def to_table(stream: DataFrame, path: str, checkpoint: str, form: str = "parquet
     return run(stream.writeStream.format(form).option("path", path), checkpoint)
 
 
+IDLE = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
 def run(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Runs a stream over all that is there now.
+
+    State that expires does so by the clock, which shows when it is read again: micro-batches without data aren't needed for it, and a run with them would
+    never end. So such a stream starts without them; the session's setting is as before then."""
+    spark = writer._spark
+    by_clock = "ProcessingTime" in writer._df._jdf.queryExecution().analyzed().toString()
+    before = spark.conf.get(IDLE)
+    if by_clock:
+        spark.conf.set(IDLE, "false")
+    try:
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(IDLE, before)
     query.awaitTermination()
     return query
 
