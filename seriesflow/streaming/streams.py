@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import inspect
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,8 @@ def rocks(spark: SparkSession) -> None:
 
 
 def _stateful(rows: DataFrame, key: str, processor: StatefulProcessor, schema: str, initial: GroupedData | None = None) -> DataFrame:
-    return rows.groupBy(key).transformWithStateInPandas(processor, schema, "Append", "None" if processor.ttl is None else "ProcessingTime", initial)
+    timed = processor.ttl is not None or getattr(processor, "wait", None) is not None
+    return rows.groupBy(key).transformWithStateInPandas(processor, schema, "Append", "ProcessingTime" if timed else "None", initial)
 
 
 class CounterDeltas(StatefulProcessor):
@@ -133,15 +135,38 @@ def removals(series: DataFrame, live: DataFrame, checkpoint: int) -> DataFrame:
     return series.filter(F.col("segment") <= checkpoint).join(live.select("ref"), "ref", "left_anti").select("ref", F.lit(checkpoint).alias("checkpoint")).distinct()
 
 
+class Member(NamedTuple):
+    """A sample of a histogram whose scrape is still open, adjusted for resets (value is none for a first sample)."""
+
+    base: str
+    key: str
+    scrape_id: int
+    t: int
+    seq: int
+    suffix: str
+    bound: float | None
+    start: int | None
+    value: float | None
+    value_type: str
+    metric_type: str
+
+
 class Points(StatefulProcessor):
-    """Per output series: reset state of each raw series that feeds it, and the interval of the last kept point. Histograms are assembled per scrape."""
+    """Per output series: reset state of each raw series that feeds it, and the interval of the last kept point. Histograms are assembled per scrape.
 
-    def __init__(self, ttl: int | None = None):
-        self.ttl = ttl
+    With wait, the members of the latest scrape are kept until one of a later scrape comes, or for wait milliseconds."""
+
+    def __init__(self, ttl: int | None = None, wait: int | None = None):
+        self.ttl, self.wait = ttl, wait
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.resets = handle.getMapState("resets", "ref long", "base double, start long, previous double, defined long", self.ttl)
         self.interval = handle.getValueState("interval", "start long, last long", self.ttl)
+        if self.wait is not None:
+            fields = "base string, key string, scrape_id long, t long, seq long, suffix string, bound double, start long, value double, value_type string, metric_type string"
+            self.open = handle.getListState("open", fields)
+            self.due = handle.getValueState("due", "at long")
 
     def _adjusted(self, states: dict[int, tuple], ref: int, defined: int, t: int, v: float) -> tuple[int | None, float | None]:
         """(start, value since then), or nothing for the first sample of a series or of a new definition of it. states are those of the refs met in this micro-batch."""
@@ -158,17 +183,44 @@ class Points(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         data = pd.concat(list(rows)).sort_values("seq")
-        last = tuple(self.interval.get()) if self.interval.exists() else None
-        made, histograms, states = [], {}, {}
+        made, members, states = [], self._waiting(), {}
         for r in data.itertuples():
             start, value = (None, r.v) if r.metric_kind == "GAUGE" else self._adjusted(states, int(r.ref), int(r.defined), int(r.t), float(r.v))
             if r.member:
-                histograms.setdefault((r.base, r.key, r.scrape_id, r.t), []).append((r, start, value))
+                members.append(Member(r.base, r.key, int(r.scrape_id), int(r.t), int(r.seq), r.suffix, r.bound, start, value, r.value_type, r.metric_type))
             elif value is not None:
                 made.append((int(r.seq), int(r.t), start, value, r.value_type, r.metric_type, None, None, None))
         # A ref's state is read and written once a micro-batch.
         for ref, state in states.items():
             self.resets.updateValue((ref,), state)
+        if self.wait is not None and members:
+            newest = max(m.scrape_id for m in members)
+            self.open.put([tuple(m) for m in members if m.scrape_id == newest])
+            members = [m for m in members if m.scrape_id < newest]
+            due = timerValues.getCurrentProcessingTimeInMs() + self.wait
+            self.due.update((due,))
+            self.handle.registerTimer(due)
+        yield self._kept(key, made, members)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # A scrape that has had samples since has a later timer.
+        if self.due.exists() and self.due.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():
+            members = self._waiting()
+            self.open.clear()
+            self.due.clear()
+            yield self._kept(key, [], members)
+
+    def _waiting(self) -> list[Member]:
+        if self.wait is None or not self.open.exists():
+            return []
+        return [Member(*m) for m in self.open.get()]
+
+    def _kept(self, key, made: list[tuple], members: list[Member]) -> pd.DataFrame:
+        """Of finished points and of the histograms of members, in order, those that don't overlap the last one kept."""
+        last = tuple(self.interval.get()) if self.interval.exists() else None
+        histograms = {}
+        for m in sorted(members, key=lambda m: m.seq):
+            histograms.setdefault((m.base, m.key, m.scrape_id, m.t), []).append(m)
         made += [p for p in map(_histogram, histograms.values()) if p is not None]
         out = []
         for point in sorted(made, key=lambda p: p[0]):
@@ -180,29 +232,29 @@ class Points(StatefulProcessor):
         if last is not None:
             self.interval.update(last)
         frame = pd.DataFrame(out, columns=["series_key", "seq", "t", "start", "value", "value_type", "metric_type", "count", "total", "buckets"])
-        yield frame.astype({"seq": "int64", "t": "int64", "start": "Int64", "value": "float64", "count": "float64", "total": "float64"})
+        return frame.astype({"seq": "int64", "t": "int64", "start": "Int64", "value": "float64", "count": "float64", "total": "float64"})
 
     def close(self) -> None:
         pass
 
 
-def _histogram(found: list) -> tuple | None:
-    """The point of one histogram and scrape, as histograms.assemble makes it, from (sample, start, adjusted value) of its members."""
-    counts = [(start, value) for r, start, value in found if r.suffix == "_count"]
-    if not counts or any(value is None for _, _, value in found):
+def _histogram(found: list[Member]) -> tuple | None:
+    """The point of one histogram and scrape, as histograms.assemble makes it, from its members in order."""
+    counts = [(m.start, m.value) for m in found if m.suffix == "_count"]
+    if not counts or any(m.value is None for m in found):
         return None
-    sums = [value for r, _, value in found if r.suffix == "_sum"]
-    buckets = [{"bound": b, "value": n} for b, n in sorted((float(r.bound), int(value)) for r, _, value in found if r.suffix == "_bucket")]
-    r = found[0][0]
+    sums = [m.value for m in found if m.suffix == "_sum"]
+    buckets = [{"bound": b, "value": n} for b, n in sorted((float(m.bound), int(m.value)) for m in found if m.suffix == "_bucket")]
     start, count = (max(x) for x in zip(*counts, strict=True))
-    return int(r.seq), int(r.t), start, None, r.value_type, r.metric_type, count, max(sums, default=0.0), buckets
+    return found[0].seq, found[0].t, start, None, found[0].value_type, found[0].metric_type, count, max(sums, default=0.0), buckets
 
 
-def stream_points(samples: DataFrame, resolved: DataFrame, ttl: int | None = None) -> DataFrame:
+def stream_points(samples: DataFrame, resolved: DataFrame, ttl: int | None = None, wait: int | None = None) -> DataFrame:
     """(series_key, seq, t, start, value, value_type, metric_type, double_value, int64_value, distribution) of the kept points, in append mode.
 
-    value is the number before it is typed, null for histograms. A scrape's samples have to come in one micro-batch, as those of
-    read_samples_stream do: a histogram is assembled from what is there.
+    value is the number before it is typed, null for histograms. Without wait, a scrape's samples have to come in one micro-batch, as those of
+    read_samples_stream do: a histogram is assembled from what is there. With wait they may come in several: a scrape's histograms are assembled when
+    samples of a later scrape of their output series come, or after wait milliseconds without any.
     resolved is a static table: it is read when the query starts; see refresh_dimensions for one that changes. State of a raw or output series
     that has no samples for ttl milliseconds goes; its next sample is a first one. If samples have `defined` (see stream_join_asof), each definition
     starts the resets of its ref anew; if resolved has it as well, it is what each definition resolves to."""
@@ -214,7 +266,7 @@ def stream_points(samples: DataFrame, resolved: DataFrame, ttl: int | None = Non
     if "defined" not in joined.columns:
         joined = joined.withColumn("defined", F.lit(0).cast("long"))
     schema = "series_key string, seq long, t long, start long, value double, value_type string, metric_type string, count double, total double, " + f"buckets {BUCKET}"
-    kept = _stateful(joined, "series_key", Points(ttl), schema)
+    kept = _stateful(joined, "series_key", Points(ttl, wait), schema)
     # A scalar has no buckets, and so no distribution.
     made = distribution(typed_scalars(kept).drop("distribution"))
     return made.withColumn("distribution", F.when(F.col("buckets").isNotNull(), F.col("distribution"))).drop("count", "total", "buckets")
