@@ -623,6 +623,30 @@ def q_points_redefined(spark, d):
     return out.select("seq", "series_key", "t", "start", "int64_value", F.round("double_value", 4).alias("double_value"))
 
 
+@query(
+    _with(
+        X.HISTOGRAM,
+        "h as (select rf, ls, t, any_value(start) st, any_value(cnt)::bigint cnt, any_value(total) total from hist group by rf, ls, t)",
+        "pts as (select *, row_number() over (partition by rf order by t, ls) rn from h)",
+        """f(rf, rn, ls, le, ok) as (select rf, rn, st, t, true from pts where rn = 1 union all
+ select p.rf, p.rn, case when k then p.st else f.ls end, case when k then p.t else f.le end, k from f join pts p on p.rf = f.rf and p.rn = f.rn + 1,
+ lateral (select (p.st = f.ls and p.t > f.le) or (p.st > f.ls and p.st >= f.le) as k) z)""",
+        recursive=True,
+    )
+    + "select 'h' || rf series_key, p.t, p.st start, p.cnt, null::double val from f join pts p using (rf, rn) where ok union all select 's' || rf || ls, t, st, null, round(total, 4) from h"
+)
+def q_points_histograms(spark, d):
+    """Histograms and scalars in one run. The histograms of two line statuses feed one output series, so half of their points overlap and go; each sum is a counter of its own as well."""
+    flag, status = (L.get(F.col("labels"), n) for n in ("rf", "ls"))
+    rows = X.histogram_samples(spark, d).withColumn("seq", F.expr("seq div 10 * 100 + seq % 10") + F.ascii(status) % 10 * 10)
+    sums = rows.filter("suffix = '_sum'").withColumns({"ref": F.col("ref") + 1_000_000, "base": F.lit(""), "suffix": F.lit(""), "seq": F.col("seq") + 2})
+    kind = lambda df, key, t, v: df.select("ref", key.alias("series_key"), F.lit("m").alias("metric"), F.lit("CUMULATIVE").alias("metric_kind"), F.lit(t).alias("metric_type"), F.lit(v).alias("value_type"), "suffix", "base", "labels")
+    one = lambda df: df.groupBy("ref").agg(*(F.first(c).alias(c) for c in ("labels", "suffix", "base")))
+    resolved = kind(one(rows), F.concat(F.lit("h"), flag), "histogram", "distribution").unionByName(kind(one(sums), F.concat(F.lit("s"), flag, status), "counter", "double"))
+    out = plans.points(rows.unionByName(sums).select("ref", "seq", "scrape_id", "t", "v"), resolved)
+    return out.select("series_key", "t", "start", F.col("distribution.count").alias("cnt"), F.round("double_value", 4).alias("val"))
+
+
 @query(_with(*_ALL_POINTS) + "select (select count(distinct scrape_id) from fx_samples) batches_processed, (select count(*) from fx_samples) samples_processed, (select count(*) from points) samples_produced")
 def q_pipeline_stats(spark, d):
     return stats.pipeline_stats(X.samples(spark, d), _points(spark, d))
