@@ -301,7 +301,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hub = F.min(F.struct("pos", "id", "n")).alias("hub")
     heads = cut(lists.groupBy("h", "kind").agg(hub, F.count(F.lit(1)).alias("same")), "heads")
     heads = cut(heads.join(heads.groupBy("h").agg(F.sum("same").alias("m")).filter("m > 1"), "h"), "heads")
-    told = ("h", "kind", "id", "n", "pos", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.pos").alias("hub_pos"), "m")
+    told = ("h", "kind", "id", "n", "pos", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.pos").alias("hub_pos"), "same", "m")
     merged = cut(join_counted(lists, heads, ["h", "kind"], "same").select(*told), "merged")
     small = reps.select("id", "n", "counts")
     stars = merged.filter("id <> hub").filter(_may_link("n", "pos", "hub_n", "hub_pos", num, den)).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
@@ -309,7 +309,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = _sets_of(stars, docs, size)
     links = _verified(stars, sets, num, den)
     first = components(links)
-    named = cut(merged.join(first.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("c", F.coalesce("component", "id")), "named")
+    # Two members of one class have met already.
+    named = cut(merged.filter("m > 2 or same < m").join(first.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("c", F.coalesce("component", "id")), "named")
     several = cut(named.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("rows")).filter("lo < hi").select("h", "rows"), "several")
     rest = cut(join_counted(named.select("h", "kind", "id", "n", "pos", "c", (F.col("id") == F.col("hub")).alias("was")), several, "h", "rows"), "rest")
     x = rest.select("h", F.explode(F.array(*(F.col("kind") + k for k in (-1, 0, 1)))).alias("kind"), F.col("kind").alias("ka"), F.col("was").alias("was_a"), F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("c").alias("ca"))
