@@ -299,8 +299,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lists = reps.select("id", "n", kind.alias("kind"), F.posexplode("prefix").alias("pos", "h"))
     # The queries that a list proposes, one for each class of sizes: the member in whose order the list comes first. Fewest of its shingles are rarer, so of near copies it is the one that changed least.
     hub = F.min(F.struct("pos", "id", "n")).alias("hub")
-    heads = cut(lists.groupBy("h", "kind").agg(hub, F.count(F.lit(1)).alias("same")), "heads")
-    heads = cut(heads.join(heads.groupBy("h").agg(F.sum("same").alias("m")).filter("m > 1"), "h"), "heads")
+    heads = lists.groupBy("h", "kind").agg(hub, F.count(F.lit(1)).alias("same"))
+    # A list has a row for each of its classes, few whatever its length; most lists have one member and go.
+    heads = heads.groupBy("h").agg(F.sum("same").alias("m"), F.collect_list(F.struct("kind", "hub", "same")).alias("classes")).filter("m > 1")
+    heads = cut(heads.select("h", "m", F.inline("classes")), "heads")
     told = ("h", "kind", "id", "n", "pos", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.pos").alias("hub_pos"), "same", "m")
     merged = cut(join_counted(lists, heads, ["h", "kind"], "same").select(*told), "merged")
     small = reps.select("id", "n", "counts")
