@@ -602,6 +602,21 @@ def test_calibration_takes_whole_and_different_texts(spark):
         assert language_id.calibrate(model, frame(texts), rows=2)[1] == pytest.approx(np.quantile(own, 0.999) + 0.05)
 
 
+def test_threshold_of_urls_is_that_of_all_rows(spark):
+    """Against the rows at hand: more than the 20,000 that it once stopped at, with ties within and between kinds, few different scores, and one kind only."""
+    chance = np.random.default_rng(3)
+    for n, digits in ((30_000, 4), (500, 1), (40, 0), (6, 2)):
+        yes = chance.random(n) < 0.4
+        yes[:2] = True, False
+        scores = np.round(chance.normal(size=n) + yes, digits) + 0.0
+        rows = [Row(lm_score=float(s), label="allow" if y else "block") for s, y in zip(scores, yes, strict=True)]
+        assert url_filter.threshold(spark.createDataFrame(rows).repartition(4)) == url_filter._threshold(rows)
+    assert url_filter.threshold(spark.createDataFrame([r for r in rows if r.label == "allow"])) is None
+    for rows in ([(0.5, "allow"), (1.0, "block")], [(0.5, "block"), (1.0, "allow")], [(0.5, "block"), (0.5, "allow")]):
+        rows = [Row(lm_score=s, label=k) for s, k in rows]
+        assert url_filter.threshold(spark.createDataFrame(rows)) == url_filter._threshold(rows)
+
+
 def test_grams_of_pieces_are_those_of_texts():
     a = char_models.Alphabet(bits=16, order=3, fold=True, join=True, kind="letters")
     texts = ["ab  c", "", "İx", "123", "z"]
