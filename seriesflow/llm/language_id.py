@@ -2,9 +2,9 @@
 
 Texts are lower-cased; what is no letter counts as a space, and runs of spaces as one. Each language's model gives a text a
 cross-entropy per symbol; the lowest wins. The score is the winner's share when the entropies are turned into weights
-exp(-sharpness * entropy); the sharpness is the one under which a bounded sample of labelled texts is likeliest. A text is
-`rejected` if the winner's entropy is above what all but one in a thousand of those texts have in their own language. The sample is
-of a tenth of the different labelled texts, which the models aren't counted on. Of languages with equal entropy the first in order of names wins.
+exp(-sharpness * entropy); the sharpness is the one under which the calibration texts are likeliest. A text is
+`rejected` if the winner's entropy is above what all but one in a thousand of those texts have in their own language. They are
+a tenth of the different labelled texts, all of it, which the models aren't counted on. Of languages with equal entropy the first in order of names wins.
 
 `und` is the answer for null texts and texts without a letter (score 0, not rejected). Rows whose language is null are no
 training texts, nor are rows without an id, which aren't held out either. Without any training text every answer is `und`. Repeated rows count as often as they occur, and get the same answer.
@@ -14,16 +14,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .char_models import Alphabet, Model, fit, gram_counts, text_pieces
-from .shared import documents
+from .shared import cut, documents, ranged
 
 UNKNOWN = "und"
-#: Different labelled texts that the calibration looks at, at most.
-CALIBRATION_ROWS = 4000
 SHARPNESS = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
 
 
@@ -42,12 +40,31 @@ def _entropies(model: Model, letters: Alphabet, texts: list[str]) -> tuple[np.nd
     return -means, known
 
 
-def calibrate(model: Model, texts: DataFrame, lang_col: str = "lang", text_col: str = "text", rows: int = CALIBRATION_ROWS) -> tuple[float, float]:
-    """(sharpness, highest entropy to accept) from at most `rows` different labelled texts, those with the smallest hash, each scored whole and once a label."""
-    known = texts.select(F.col(lang_col).alias("label"), F.col(text_col).alias("text")).filter(F.col("label").isin(model.labels) & F.col("text").isNotNull()).withColumn("h", F.xxhash64("text"))
-    bound = known.select("h").distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
-    if bound is None:
-        return SHARPNESS[0], float("inf")
+def _quantile(values: DataFrame, column: str, share: float) -> float:
+    """The exact quantile of a table's column, as numpy has it. Different values are counted and cut into ranges; the driver has a row for each range."""
+    table = ranged(values.groupBy(column).agg(F.count(F.lit(1)).alias("n")), column)
+    parts = table.groupBy("__part").agg(F.sum("n").alias("n")).orderBy("__part").collect()
+    place = share * (sum(r.n for r in parts) - 1)
+    found = []
+    for rank in (int(np.floor(place)), int(np.ceil(place))):
+        before = 0
+        for part in parts:
+            if rank < before + part.n:
+                break
+            before += part.n
+        upto = F.sum("n").over(Window.partitionBy("__part").orderBy(column).rowsBetween(Window.unboundedPreceding, 0))
+        mine = table.filter(F.col("__part") == part["__part"]).select(column, upto.alias("upto"))
+        found.append(mine.filter(F.col("upto") > rank - before).agg(F.min(column)).first()[0])
+    return float(np.quantile(found, place - np.floor(place)))
+
+
+def calibrate(model: Model, texts: DataFrame, lang_col: str = "lang", text_col: str = "text", rows: int | None = None) -> tuple[float, float]:
+    """(sharpness, highest entropy to accept) from all different labelled texts, each scored whole and once a label; with rows, from at most so many, those with the smallest hash."""
+    known = texts.select(F.col(lang_col).alias("label"), F.col(text_col).alias("text")).filter(F.col("label").isin(model.labels) & F.col("text").isNotNull())
+    if rows is not None:
+        known = known.withColumn("h", F.xxhash64("text"))
+        bound = known.select("h").distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+        known = known.filter(F.col("h") <= bound if bound is not None else F.lit(False))
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches):
@@ -56,22 +73,19 @@ def calibrate(model: Model, texts: DataFrame, lang_col: str = "lang", text_col:
             labels = batch.column("label").to_pylist()
             for at, piece in text_pieces(batch, "text"):
                 h, spelt = _entropies(known_model, letters, piece)
-                truth = [labels[at + k] for k in np.flatnonzero(spelt)]
-                yield pa.RecordBatch.from_arrays([pa.array(truth, pa.string()), pa.array(list(h[spelt]), pa.list_(pa.float64()))], ["label", "entropies"])
-
-    # Numbers alone come to the driver.
-    sample = known.filter(F.col("h") <= bound).select("label", "text").dropDuplicates().mapInArrow(measure, "label string, entropies array<double>").collect()
-    if not sample:
+                h, truth = h[spelt], [known_model.labels.index(labels[at + k]) for k in np.flatnonzero(spelt)]
+                own, low = h[np.arange(len(h)), truth], h.min(axis=1)
+                # Of each sharpness, the logarithm of the share that the text's own language has.
+                shares = [-beta * (own - low) - np.log(np.exp(-beta * (h - low[:, None])).sum(axis=1)) for beta in SHARPNESS]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.float64()), *(pa.array(x, pa.float64()) for x in shares)], names)
+
+    names = ["own", *(f"share{k}" for k in range(len(SHARPNESS)))]
+    # Numbers alone are written; what comes to the driver are their means and a quantile.
+    measured = cut(known.select("label", "text").dropDuplicates().mapInArrow(measure, ", ".join(f"{n} double" for n in names)), "calibration")
+    means = measured.agg(*(F.avg(n) for n in names[1:])).first()
+    if means[0] is None:
         return SHARPNESS[0], float("inf")
-    h = np.array([r.entropies for r in sample])
-    truth = np.fromiter((model.labels.index(r.label) for r in sample), np.int64, len(sample))
-    own = h[np.arange(len(h)), truth]
-
-    def likelihood(beta):
-        z = -beta * (h - h.min(axis=1, keepdims=True))
-        return float(np.mean(-beta * (own - h.min(axis=1)) - np.log(np.exp(z).sum(axis=1))))
-
-    return max(SHARPNESS, key=likelihood), float(np.quantile(own, 0.999)) + 0.05
+    return SHARPNESS[int(np.argmax(means))], _quantile(measured, "own", 0.999) + 0.05
 
 
 def fitted(texts: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[Model, float, float]:

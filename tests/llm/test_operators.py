@@ -602,6 +602,18 @@ def test_calibration_takes_whole_and_different_texts(spark):
         assert language_id.calibrate(model, frame(texts), rows=2)[1] == pytest.approx(np.quantile(own, 0.999) + 0.05)
 
 
+def test_calibration_looks_at_all_texts(spark):
+    """More different texts than the 4000 that it once stopped at: sharpness and quantile are those of all."""
+    texts = [("en", f"the cat sat on {k}th mat " + "qz" * (k % 50)) for k in range(5000)]
+    texts = [(lang, t.translate(str.maketrans("0123456789", "abcdefghij"))) for lang, t in texts]
+    model = language_id.train(spark.createDataFrame([("en", "the cat sat on the mat"), ("de", "der Hund saß")], "lang string, text string"))
+    h = -model.means([t for _, t in texts], language_id.alphabet())[0]
+    own = h[:, model.labels.index("en")]
+    likelihood = lambda beta: np.mean(-beta * (own - h.min(axis=1)) - np.log(np.exp(-beta * (h - h.min(axis=1, keepdims=True))).sum(axis=1)))
+    sharp, highest = language_id.calibrate(model, spark.createDataFrame(texts + texts[:9], "lang string, text string"))
+    assert sharp == max(language_id.SHARPNESS, key=likelihood) and highest == pytest.approx(np.quantile(own, 0.999) + 0.05, abs=1e-12)
+
+
 def test_threshold_of_urls_is_that_of_all_rows(spark):
     """Against the rows at hand: more than the 20,000 that it once stopped at, with ties within and between kinds, few different scores, and one kind only."""
     chance = np.random.default_rng(3)
