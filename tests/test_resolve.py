@@ -208,3 +208,14 @@ def test_ten_thousand_targets_of_one_instance_make_no_pairs(spark):
     assert series._by_signature(keyed, sides, ("ref",)).count() == n
     out = series.match_target(found, targets)
     assert out.filter("discovered['n'] = cast(ref as string)").count() == n
+
+
+def test_targets_that_no_series_asks_for_are_left_out_first(spark, monkeypatch):
+    """A large dimension is neither paired nor looked at for its largest job and instance where series ask for few of its targets."""
+    monkeypatch.setattr(series, "_by_signature", lambda *_: pytest.fail("the largest job and instance has no series"))
+    met = []
+    monkeypatch.setattr(series, "side", lambda table: met.append(table.count()) or table)
+    targets = spark.range(500).selectExpr("cast(id as int) ordinal", "map('job', if(id < 400, 'j', 'k'), 'instance', if(id < 400, 'i', cast(id as string))) labels", "map('n', cast(id as string)) discovered")
+    found = spark.createDataFrame([(0, {"job": "k", "instance": "450"}), (1, {"job": "k", "instance": "9"}), (2, {})], SERIES)
+    assert rows(series.match_target(found, targets), "discovered", order="ref") == [({"n": "450"},), (None,), (None,)]
+    assert met == [3, 1]
