@@ -54,6 +54,19 @@ def test_renames_and_prefix(spark):
     assert rows(out, "metric") == [("me/z/y",)]
 
 
+def test_rules_look_each_label_up_once_a_row(spark):
+    """However many rules ask for it; own labels win, also empty ones, and a rule without all of its labels, or without a target, doesn't match."""
+    gce = {"__meta_gce_project": "p", "__meta_gce_instance_id": "vm", "__meta_gce_zone": "projects/p/zones/z"}
+    made = [(0, {"x": "1", "__meta_gce_project": ""}, gce), (1, {}, {k: v for k, v in gce.items() if "zone" not in k}), (2, gce, None), (3, {"job": "j"}, {**gce, **GENERIC, "instance": "i"})]
+    out = resources.resolve_resource(spark.createDataFrame(made, "ref int, labels map<string,string>, discovered map<string,string>"))
+    best = resources.resolve_resource(spark.createDataFrame(made[1:3], "ref int, labels map<string,string>, discovered map<string,string>"), best_effort=resources.GCE)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("element_at(") <= 4
+    assert rows(out, "resource_type", "resource_labels", "labels", order="ref") == [
+        ("gce_instance", {"project_id": "", "instance_id": "vm", "zone": "z"}, {"x": "1"}), (None, None, {}), (None, None, gce), ("gce_instance", {"project_id": "p", "instance_id": "vm", "zone": "z"}, {"job": "j"}),
+    ]
+    assert rows(best, "resource_type", "resource_labels", order="ref") == [("gce_instance", {"project_id": "p", "instance_id": "vm", "zone": ""}), (None, None)]
+
+
 def test_first_rule_that_matches_wins_and_own_labels_go_first(spark):
     df = spark.createDataFrame([(0, {"job": "mine", "x": "1"}, {**GENERIC, "job": "found", "instance": "i"}), (1, {}, {"other": "x"})], "ref int, labels map<string,string>, discovered map<string,string>")
     out = resources.resolve_resource(df)
