@@ -232,3 +232,12 @@ def test_targets_that_no_series_asks_for_are_left_out_first(spark, monkeypatch):
     found = spark.createDataFrame([(0, {"job": "k", "instance": "450"}), (1, {"job": "k", "instance": "9"}), (2, {})], SERIES)
     assert rows(series.match_target(found, targets), "discovered", order="ref") == [({"n": "450"},), (None,), (None,)]
     assert met == [3, 1]
+
+
+def test_what_a_name_decides_is_worked_out_once_a_name(spark, sf_dir, monkeypatch):
+    asked, lookup = [], resolve.metadata_lookup
+    monkeypatch.setattr(resolve, "metadata_lookup", lambda names, *rest: asked.append(names.count()) or lookup(names, *rest))
+    every = fixtures.series(spark, sf_dir)
+    out = resolve.resolve_all(every, fixtures.targets(spark, sf_dir), fixtures.static_metadata(spark), fixtures.fetched_metadata(spark), renames=fixtures.renames(spark))
+    assert asked == [every.select(L.get(F.col("labels"), "__name__")).distinct().count()] and asked[0] < every.count()
+    assert out.count() == every.count()
