@@ -57,6 +57,12 @@ def test_batches_hold_their_limits(spark, sf_dir):
     assert rows and all(r.in_limits and r.requests == r.points for r in rows)
 
 
+def test_refreshed_samples_have_the_points_of_the_stream(spark, sf_dir):
+    shown_of = lambda name: QUERIES[name](spark, sf_dir).filter("t is not null").select("seq", "series_key", "t", "start", "val", "value_type")
+    got = sorted(map(tuple, shown_of("stream_refresh").collect()))
+    assert got and got == sorted(map(tuple, shown_of("stream_points").collect()))
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 3
     assert set(entry.oracle_sql()) <= set(entry.queries())
